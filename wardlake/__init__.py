@@ -1,0 +1 @@
+"""Clinical records as Spark jobs: sources, standardisation, checks, loads, star schema, metrics and streams."""
