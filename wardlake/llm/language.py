@@ -50,14 +50,14 @@ def grams(texts) -> np.ndarray:
 
 def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 150) -> np.ndarray:
     """Weights, the last one constant, of the squared hinge loss with classes of equal weight, by accelerated descent."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    rate = 1.0 / (2 * float((share * (x * x).sum(1)).sum()) + penalty)
-    w = look = np.zeros(x.shape[1])
+    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    y = y.astype(np.float32)
+    rate = 1.0 / (2 * float((share * ((x * x).sum(1) + 1)).sum()) + penalty)
+    w = look = np.zeros(x.shape[1] + 1, dtype=np.float32)
     for t in range(steps):
-        slack = np.maximum(0, 1 - y * (x @ look))
-        new = look - rate * (penalty * look - 2 * ((share * slack * y) @ x))
-        look, w = new + t / (t + 3) * (new - w), new
+        pull = share * y * np.maximum(0, 1 - y * (x @ look[:-1] + look[-1]))
+        new = (look - rate * (penalty * look - 2 * np.append(pull @ x, pull.sum()))).astype(np.float32)
+        look, w = (new + t / (t + 3) * (new - w)).astype(np.float32), new
     return w
 
 
