@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+from collections.abc import Callable, Hashable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,3 +89,19 @@ def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
+
+
+_held: dict[Hashable, object] = {}
+
+
+def worker_state(key: Hashable, make: Callable = dict):
+    """What make() gave for this key, kept in the Python worker until another key is asked for.
+
+    Workers serve all operators of a session in turn; what one of them keeps must not stay beside the next one's.
+    """
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _held[key] = make()
+    return _held[key]

@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import DOCUMENT_COLUMNS, held_out, sigmoid, small_batches, table
+from wardlake.llm.common import DOCUMENT_COLUMNS, held_out, sigmoid, small_batches, table, worker_state
 
 MODULUS, REMAINDER = 4, 2
 BUCKETS = 2048
@@ -130,6 +130,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
 def predictor(model: LanguageModel | None) -> Callable:
     @F.pandas_udf("lang_pred string, score double")
     def predict(text: pd.Series) -> pd.DataFrame:
+        worker_state("language")
         if model is None:
             return pd.DataFrame({"lang_pred": [UNKNOWN] * len(text), "score": 0.0})
         parts = [model.predict(text.iloc[i : i + 256].tolist()) for i in range(0, len(text), 256)]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, held_out, isotonic, labelled_sample, part_of, small_batches, table
+from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, held_out, isotonic, labelled_sample, part_of, small_batches, table, worker_state
 from wardlake.llm.textstats import QUALITY, quality_features
 
 MODULUS, REMAINDER, CUT = 4, 2, 0.7
@@ -93,6 +93,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", bound: int
 def scorer(model: QualityModel | None) -> Callable:
     @F.pandas_udf(DoubleType())
     def score(text: pd.Series) -> pd.Series:
+        worker_state("quality")
         return pd.Series(model.score(statistics(text)) if model is not None else np.full(len(text), 0.5), dtype="float64")
 
     return score

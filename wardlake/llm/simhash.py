@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, small_batches, table
+from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, small_batches, table, worker_state
 
 SHINGLE, SEED, THRESHOLD = 4, 42, 4
 #: Rows of one anchor that one task compares; larger anchors are compared in a grid of such blocks.
@@ -47,6 +47,7 @@ def simhash(text: str | None) -> int:
 
 @F.pandas_udf(LongType())
 def simhash_of(text: pd.Series) -> pd.Series:
+    worker_state("simhash")
     return pd.Series([simhash(t) for t in text], dtype="int64")
 
 
@@ -127,7 +128,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[apart], names[low[apart]]
 
 
-def links_in(group: np.ndarray, fp: np.ndarray, own: np.ndarray, at_once: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+def links_in(group: np.ndarray, fp: np.ndarray, own: np.ndarray, at_once: int = 300_000) -> tuple[np.ndarray, np.ndarray]:
     """Links within groups, sorted by group: every own fingerprint against all of its group, as a forest of each batch."""
     first = np.searchsorted(group, group[own], "left")
     n = np.searchsorted(group, group[own], "right") - first
@@ -154,6 +155,8 @@ def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: list[pd.DataFrame] = []
     size = 0
 
+    worker_state("simhash")
+
     def out(b: pd.DataFrame) -> pd.DataFrame:
         x, y = links_in(b["cell"].to_numpy(), b["fp"].to_numpy(np.int64), b["own"].to_numpy(bool))
         return pd.DataFrame({"a": x, "b": y})

@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from wardlake.llm.common import small_batches, table
+from wardlake.llm.common import small_batches, table, worker_state
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-CACHE_PARTS = 350_000
+#: Words and letter runs that a Python worker keeps, twice over: a run costs more to make.
+WORDS_KEPT, RUNS_KEPT = 80_000, 200_000
 LONGEST_KEPT = 64
 #: Fixed value: how this tokenizer splits text.
 RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -36,11 +37,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class Recent(dict):
-    """A cache of what make(key) gives, for at most twice CACHE_PARTS keys: the latest ones, and the ones before them."""
+    """A cache of what make(key) gives, for at most twice `most` keys: the latest ones, and the ones before them."""
 
-    def __init__(self, make: Callable):
+    def __init__(self, make: Callable, most: int):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
         value = self.older.pop(key, None)
@@ -48,7 +49,7 @@ class Recent(dict):
             value = self.make(key)
             if len(key) > LONGEST_KEPT:
                 return value
-        if len(self) >= CACHE_PARTS:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[key] = value
@@ -75,8 +76,8 @@ class PackedIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.runs = Recent(self.of_run)
-        self.words = Recent(self.of_word)
+        self.runs = Recent(self.of_run, RUNS_KEPT)
+        self.words = Recent(self.of_word, WORDS_KEPT)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -96,14 +97,9 @@ class PackedIds:
         return b"".join(map(self.words.__getitem__, text.lower().encode("utf-8").split()))
 
 
-_caches: dict[str, PackedIds] = {}
-
-
 def packed_ids(path: str) -> PackedIds:
-    """This Python worker's cache for the tokenizer file."""
-    if path not in _caches:
-        _caches[path] = PackedIds(path)
-    return _caches[path]
+    """This Python worker's caches for the tokenizer file."""
+    return worker_state(("tokens", path), lambda: PackedIds(path))
 
 
 def token_counter(path: str) -> Callable:

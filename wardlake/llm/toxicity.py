@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-from wardlake.llm.common import checkpointed, held_out, isotonic, labelled_sample, part_of, sigmoid, small_batches, table
+from wardlake.llm.common import checkpointed, held_out, isotonic, labelled_sample, part_of, sigmoid, small_batches, table, worker_state
 from wardlake.llm.textstats import DIGIT, LEAD, LOWER, STOPS, SYMBOLS, UPPER, WIDE, byte_counts
 
 MODULUS, REMAINDER, CUT = 3, 1, 0.7
@@ -160,14 +160,8 @@ class ToxicityModel:
         return np.interp(self.trees.margin(toxic_for(self.learned).matrix(texts)), *self.knots)
 
 
-_made: dict[frozenset, Toxic] = {}
-
-
 def toxic_for(learned: frozenset[str]) -> Toxic:
-    if learned not in _made:
-        _made.clear()
-        _made[learned] = Toxic(learned)
-    return _made[learned]
+    return worker_state(("toxicity", learned), lambda: Toxic(learned))
 
 
 @F.pandas_udf(ArrayType(StringType()))
