@@ -21,7 +21,7 @@ from wardlake.llm.common import small_batches, table, worker_state
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Words and letter runs that a Python worker keeps, twice over: a run costs more to make.
-WORDS_KEPT, RUNS_KEPT = 80_000, 200_000
+WORDS_KEPT, RUNS_KEPT = 150_000, 320_000
 LONGEST_KEPT = 64
 #: Fixed value: how this tokenizer splits text.
 RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
