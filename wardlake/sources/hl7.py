@@ -34,7 +34,8 @@ def parsed(raw: DataFrame) -> DataFrame:
     lines = F.filter(F.split(F.regexp_replace("raw", "\r\n|\n", "\r"), "\r"), lambda s: F.length(F.trim(s)) > 0)
     pieces = lambda x: F.transform(F.split(x, quoted(rep)), lambda r: F.split(r, quoted(comp)))
     fields = lambda s: F.transform(F.split(s, quoted(f)), lambda x: F.when(x == marks, F.array(F.array(x))).otherwise(pieces(x)))
-    return raw.withColumn("segs", F.transform(lines, fields))
+    # explode, so that the message is split once and not again for every field taken from it
+    return raw.select("*", F.explode(F.array(F.transform(lines, fields))).alias("segs"))
 
 
 def segment(name: str, n: int = 0) -> Column:
