@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from wardlake.llm.common import small_batches, table, worker_state
+from wardlake.llm.common import checkpointed, small_batches, table, worker_state
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -117,13 +117,14 @@ def length_histogram(docs: DataFrame, text: str = "text", path: str | None = Non
     Columns: n_tokens; documents and tokens of exactly that length; documents_from and tokens_from of that length or
     more (suffix sums); kept_at_limit, the tokens that remain when every document is cut to n_tokens; quantile, the
     share of documents of at most that length. Null and empty texts have 0 tokens. An empty table gives no rows.
-    Documents are counted where they lie and only (length, count) pairs move. The suffix sums run over ranges of
+    Documents are counted where they lie and only (length, count) pairs move; these are written to the checkpoint folder,
+    so that both of their uses below read them there and no text is tokenised twice. The suffix sums run over ranges of
     lengths and then over the ranges' totals, so no task holds all lengths.
     """
     small_batches(docs.sparkSession)
     counted = docs.select(token_counter(path or tokenizer_path())(F.col(text)).alias("n_tokens"))
     bins = counted.groupBy("n_tokens").agg(F.count("*").alias("documents")).withColumn("tokens", F.col("n_tokens") * F.col("documents"))
-    bins = bins.withColumn("span", F.floor(F.log2(F.col("n_tokens") + 1) * 8).cast("int"))
+    bins = checkpointed(bins.withColumn("span", F.floor(F.log2(F.col("n_tokens") + 1) * 8).cast("int")))
     inside = Window.partitionBy("span").orderBy(F.desc("n_tokens")).rowsBetween(Window.unboundedPreceding, 0)
     after = Window.partitionBy("all").orderBy(F.desc("span")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("all")
