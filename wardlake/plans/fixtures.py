@@ -72,8 +72,18 @@ select n_nationkey as location_key, n_name as unit, concat('FAC-', cast(n_region
   case n_nationkey % 4 when 0 then 'ICU' when 1 then 'Med-Surg' when 2 then 'Step-Down' else 'Clinic' end as location_type,
   case n_regionkey when 0 then 'Cardiology' when 1 then 'Medical' else 'Surgical' end as service_line, cast(n_nationkey * 3 as int) as operational_beds, cast(n_nationkey * 3 + 2 as int) as licensed_beds
 from {nation}"""
+ARRIVALS = """
+select ts as arrived, concat('FAC-', cast(user_id % 3 as string)) as facility, case event_id % 2 when 0 then 'Main' else 'Fast track' end as ed_location, event_id % 60 + 5 as wait_minutes, event_id * 13 % 400 + 60 as stay_minutes,
+  case event_type when 'purchase' then 'admitted' when 'view' then 'discharged' when 'click' then 'transferred' when 'signup' then 'ama' else 'lwbs' end as disposition, event_id % 5 + 1 as esi
+from {events}"""
+OBSERVED = """
+select cast(ts as date) as metric_date, concat('FAC-', cast(user_id % 3 as string)) as facility, value as amount,
+  case event_type when 'purchase' then 'CAUTI' when 'view' then 'CLABSI' when 'click' then 'FALLS' when 'signup' then 'PRESSURE_INJ' else 'READM-30' end as indicator_code,
+  case event_type when 'purchase' then 'Catheter infections' when 'view' then 'Central line infections' when 'click' then 'Falls' when 'signup' then 'Pressure injuries' else 'Readmissions in 30 days' end as indicator_name,
+  case event_type when 'purchase' then 'infection' when 'view' then 'infection' when 'error' then 'outcome' else 'safety' end as indicator_category
+from {events}"""
 
-SPARK = {"patients": PATIENTS, "encounters": ENCOUNTERS, "diagnoses": DIAGNOSES, "procedures": PROCEDURES, "medications": MEDICATIONS, "labs": LABS, "vitals": VITALS, "ed_hourly": ED_HOURLY, "locations": LOCATIONS}
+SPARK = {"patients": PATIENTS, "encounters": ENCOUNTERS, "diagnoses": DIAGNOSES, "procedures": PROCEDURES, "medications": MEDICATIONS, "labs": LABS, "vitals": VITALS, "ed_hourly": ED_HOURLY, "locations": LOCATIONS, "arrivals": ARRIVALS, "observed": OBSERVED}
 DUCKDB = SPARK | {"encounters": ENCOUNTERS_DUCKDB}
 
 
