@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.operators import marts, views
+from wardlake.operators import marts, metrics, views
 
 STAYS = "unit string, operational_beds int, admission_date timestamp_ntz, discharge_date timestamp_ntz"
 
@@ -29,6 +29,11 @@ def test_census_of_open_early_and_undated_stays(spark):
     assert got == {("A", d): (1, 0, 0, None) for d in range(1, 6)}
 
 
+def test_daily_census_leaves_out_undated_stays(spark):
+    enc = spark.createDataFrame([("ICU", "inpatient", None, None), ("ICU", "inpatient", datetime(2024, 1, 1), None)], "department string, encounter_type string, admission_date timestamp_ntz, discharge_date timestamp_ntz")
+    assert [r["total_census"] for r in metrics.daily_census(enc, "2024-01-01", "2024-01-02").collect()] == [1, 1]
+
+
 def test_census_of_nothing(spark):
     assert census(spark) == {}
 

@@ -17,13 +17,14 @@ def census_table(stays: DataFrame, keys: list[str], first: str, last: str) -> Da
     """keys, census_date, midnight_census, admissions, discharges and occupancy_rate for each day on which a place had any.
 
     Each stay becomes one row for each of its nights, its admission and its discharge inside the window, and one grouping
-    counts them, so days are not joined with stays. keys hold operational_beds.
+    counts them, so days are not joined with stays. keys hold operational_beds. A stay without an admission has no nights,
+    one without a discharge is still there.
     """
     a, b = F.col("admission_date").cast("date"), F.col("discharge_date").cast("date")
     low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
     start, end = F.greatest(a, low), F.least(F.coalesce(F.date_sub(b, 1), high), high)
     row = lambda day, *what: F.struct(day.alias("census_date"), *[F.lit(int(name in what)).alias(name) for name in ("night", "came", "left")])
-    nights = F.when(start <= end, F.transform(F.sequence(start, end), lambda d: row(d, "night"))).otherwise(F.array().cast("array<struct<census_date:date,night:int,came:int,left:int>>"))
+    nights = F.when(a.isNotNull() & (start <= end), F.transform(F.sequence(start, end), lambda d: row(d, "night"))).otherwise(F.array().cast("array<struct<census_date:date,night:int,came:int,left:int>>"))
     days = stays.select(*keys, F.explode(F.concat(nights, F.array(row(a, "came"), row(b, "left")))).alias("d")).select(*keys, "d.*").where(F.col("census_date").between(low, high))
     counts = days.groupBy("census_date", *keys).agg(F.sum("night").alias("midnight_census"), F.sum("came").alias("admissions"), F.sum("left").alias("discharges"))
     return counts.withColumn("occupancy_rate", F.round(F.col("midnight_census") * 100.0 / F.nullif("operational_beds", F.lit(0)), 2))

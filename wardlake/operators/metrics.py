@@ -18,7 +18,7 @@ def daily_census(enc: DataFrame, first: str, last: str) -> DataFrame:
     end = F.least(F.coalesce(F.date_sub(b, 1), high), high)
     start = F.greatest(a, low)
     stays = enc.select("department", "encounter_type", a.alias("a"), b.alias("b"), start.alias("s"), end.alias("e"))
-    present = stays.where("s <= e").select(F.explode(F.sequence("s", "e")).alias("census_date"), "department", "encounter_type")
+    present = stays.where("a is not null and s <= e").select(F.explode(F.sequence("s", "e")).alias("census_date"), "department", "encounter_type")
     counts = present.groupBy("census_date").agg(F.count("*").alias("total_census"), F.count_if(F.col("department") == "ICU").alias("icu_census"), F.count_if(F.col("department").isin("MED", "SURG")).alias("med_surg_census"), F.count_if(F.col("encounter_type") == "observation").alias("observation_census"))
     moves = stays.select(F.explode(F.array(F.struct(F.col("a").alias("census_date"), F.lit(1).alias("i"), F.lit(0).alias("o")), F.struct(F.col("b").alias("census_date"), F.lit(0).alias("i"), F.lit(1).alias("o")))).alias("m")).select("m.*").where(F.col("census_date").between(low, high))
     moves = moves.groupBy("census_date").agg(F.sum("i").alias("admissions"), F.sum("o").alias("discharges"))
