@@ -27,16 +27,20 @@ STEMS = (3, 4, 5, 6, 7, 8)
 INSULTS = "idiot idiots moron morons stupid dumb loser losers trash scum garbage worthless pathetic disgusting clown clowns imbecile fool jerk creep bastard bitch asshole retard vermin filth freak hate".split()
 SECOND_PERSON = {"you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "sie", "ihr", "tu", "te", "toi", "vous", "votre", "tú", "ti", "usted", "ustedes", "tus"}
 NEAR = 6
+#: Weight from which a word counts as a strong mark.
+STRONG = 2.5
 _leet = str.maketrans("0134578@$!", "oieastba" + "si")
 _token = regex.compile(r"\S+")
 _strip = regex.compile(r"^[^\p{L}\p{N}@$]+|[^\p{L}\p{N}@$]+$")
 _spelled = regex.compile(r"(?<!\S)\p{L}(?:[\s.\-_*]\p{L}){3,}(?!\S)")
 _run = regex.compile(r"(.)\1{2,}")
+#: What most tokens come to.
+NOTHING = (False, False, False, False, 0.0)
 _inner = regex.compile(r"[^\p{L}]")
 
 FEATURES = [
     "insult_hits", "insult_rate", "learned_hits", "learned_rate", "hidden_hits", "hidden_rate", "any_hit", "second_person_rate", "hits_near_second_person",
-    "log_words", "upper", "shout_words", "exclamations", "questions", "symbols", "digits", "stretched", "spelled_out", "letters", "stops",
+    "evidence", "evidence_rate", "strongest", "strong_words", "log_words", "upper", "shout_words", "exclamations", "questions", "symbols", "digits", "stretched", "spelled_out", "letters", "stops",
 ]
 
 
@@ -45,31 +49,51 @@ def plain(word: str) -> str:
     return _run.sub(r"\1", _inner.sub("", word.translate(_leet)))
 
 
+def drawn_out(raw: bytes) -> int:
+    """How often a visible byte is repeated three times or more in a row."""
+    b = np.frombuffer(raw, dtype=np.uint8)
+    same = (b[1:] == b[:-1]) & (b[1:] > 32)
+    runs = same[1:] & same[:-1]
+    return int(runs[:1].sum() + (runs[1:] & ~runs[:-1]).sum())
+
+
+@dataclass(frozen=True)
+class Lexicon:
+    """kept: the few entries that explain the toxic documents best. weights: of every entry that marks them, the
+    logarithm of how many times as often it is in them as in others."""
+
+    kept: frozenset[str]
+    weights: tuple[tuple[str, float], ...]
+
+
 class Toxic:
     """Features of texts for given lexicons. What a token comes to is kept for the tokens that recur, within a bound."""
 
-    def __init__(self, learned: frozenset[str]):
-        self.insults, self.learned = frozenset(INSULTS), learned
+    def __init__(self, learned: Lexicon):
+        self.insults, self.learned, self.weights = frozenset(INSULTS), learned.kept, dict(learned.weights)
         self.kinds: dict[str, tuple] = {}
 
     def knows(self, word: str) -> bool:
         return word in self.learned or any(word[:k] + "*" in self.learned for k in STEMS if k <= len(word))
 
+    def weight(self, word: str) -> float:
+        """The largest weight of the word and its beginnings."""
+        return max(self.weights.get(word, 0.0), *(self.weights.get(word[:k] + "*", 0.0) for k in STEMS if k <= len(word)), 0.0)
+
     def kind(self, token: str) -> tuple:
-        """(insult, learned, hidden, second person) of a lower-case token."""
-        found = self.kinds.get(token)
-        if found is None:
-            word = _strip.sub("", token)
-            insult, learned = word in self.insults, self.knows(word)
-            hidden = False
-            if not (insult or learned) and len(word) > 3:
-                bare = plain(word)
-                hidden = bare != word and len(bare) > 3 and (bare in self.insults or self.knows(bare))
-            found = (insult, learned, hidden, word in SECOND_PERSON)
-            if len(self.kinds) >= 200_000:
-                self.kinds.clear()
-            if len(token) <= 40:
-                self.kinds[token] = found
+        """(insult, learned, hidden, second person, weight) of a lower-case token; NOTHING for most."""
+        word = _strip.sub("", token)
+        insult, learned = word in self.insults, self.knows(word)
+        hidden = False
+        if not (insult or learned) and len(word) > 3:
+            bare = plain(word)
+            hidden = bare != word and len(bare) > 3 and (bare in self.insults or self.knows(bare))
+        found = (insult, learned, hidden, word in SECOND_PERSON, self.weight(word))
+        found = NOTHING if found == NOTHING else found
+        if len(self.kinds) >= 200_000:
+            self.kinds.clear()
+        if len(token) <= 40:
+            self.kinds[token] = found
         return found
 
     def features(self, text: str | None) -> list[float]:
@@ -78,11 +102,14 @@ class Toxic:
         n = byte_counts(raw)
         words = text.lower().split()
         m, chars = max(1, len(words)), max(1, int(n[LEAD].sum()))
-        kinds = list(map(self.kind, words))
-        hits = [i for i, k in enumerate(kinds) if k[0] or k[1] or k[2]]
-        you = np.array([i for i, k in enumerate(kinds) if k[3]], dtype=float)
+        get, kind = self.kinds.get, self.kind
+        found = [(i, k) for i, k in enumerate([get(w) or kind(w) for w in words]) if k is not NOTHING]
+        hits = [i for i, k in found if k[0] or k[1] or k[2]]
+        you = np.array([i for i, k in found if k[3]], dtype=float)
         near = sum(bool(len(you)) and float(np.abs(you - i).min()) <= NEAR for i in hits)
-        insults, learned, hidden = (sum(k[j] for k in kinds) for j in range(3))
+        insults, learned, hidden = (sum(k[j] for _, k in found) for j in range(3))
+        marked = {words[i]: k[4] for i, k in found if k[4]}
+        evidence = sum(marked.values())
         spelled = 0
         if n[SYMBOLS | STOPS].sum() or len(words) > 3:
             spelled = sum(_inner.sub("", x.lower()) in self.insults or self.knows(_inner.sub("", x.lower())) for x in _spelled.findall(text))
@@ -90,8 +117,9 @@ class Toxic:
         shouted = sum(1 for w in text.split() if len(w) > 2 and w.isupper()) if n[UPPER].sum() * 20 > letters else 0
         return [
             np.log1p(insults), min(1.0, 20 * insults / m), np.log1p(learned), min(1.0, 20 * learned / m), np.log1p(hidden + spelled), min(1.0, 20 * (hidden + spelled) / m),
-            float(bool(hits) or spelled > 0), len(you) / m, np.log1p(near), np.log1p(m), n[UPPER].sum() / letters, shouted / m, min(1.0, n[ord("!")] / m), min(1.0, n[ord("?")] / m),
-            min(2.0, n[SYMBOLS].sum() / m), n[DIGIT].sum() / chars, min(1.0, sum(1 for _ in _run.finditer(text)) / m) if n[UPPER | LOWER].sum() else 0.0, float(spelled), letters / chars, min(2.0, n[STOPS].sum() / m),
+            float(bool(hits) or spelled > 0), len(you) / m, np.log1p(near), np.log1p(evidence), evidence / m, max(marked.values(), default=0.0), np.log1p(sum(w >= STRONG for w in marked.values())),
+            np.log1p(m), n[UPPER].sum() / letters, shouted / m, min(1.0, n[ord("!")] / m), min(1.0, n[ord("?")] / m),
+            min(2.0, n[SYMBOLS].sum() / m), n[DIGIT].sum() / chars, min(1.0, drawn_out(raw) / m), float(spelled), letters / chars, min(2.0, n[STOPS].sum() / m),
         ]
 
     def matrix(self, texts) -> np.ndarray:
@@ -152,7 +180,7 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: f
 
 @dataclass
 class ToxicityModel:
-    learned: frozenset[str]
+    learned: Lexicon
     trees: Trees
     knots: tuple[np.ndarray, np.ndarray]
 
@@ -160,7 +188,7 @@ class ToxicityModel:
         return np.interp(self.trees.margin(toxic_for(self.learned).matrix(texts)), *self.knots)
 
 
-def toxic_for(learned: frozenset[str]) -> Toxic:
+def toxic_for(learned: Lexicon) -> Toxic:
     return worker_state(("toxicity", learned), lambda: Toxic(learned))
 
 
@@ -173,21 +201,21 @@ def words_of(text: pd.Series) -> pd.Series:
     return pd.Series([entries(t) if t else [] for t in text])
 
 
-def lexicon(sample: DataFrame) -> frozenset[str]:
+def lexicon(sample: DataFrame) -> Lexicon:
     """Words that mark the toxic documents of the sample, by document counts: in at least LEAST_SHARE of them and
     LEAST_RATIO times as often as in the others. Entries are words and beginnings of words. Of these, entries are kept in
     turn, those that explain most and mark best first, while they explain toxic documents that no kept entry explains;
-    so words that only keep company with insults are left out."""
+    so words that only keep company with insults are left out; the weights of all entries are there beside them."""
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     bad, good = sizes.get(1.0, 0), sizes.get(0.0, 0)
     if not bad or not good:
-        return frozenset()
+        return Lexicon(frozenset(), ())
     words = sample.select("doc_id", "y", F.explode(words_of("text")).alias("word"))
     rate = (F.col("bad") + 0.5) / (bad + 1) / ((F.col("good") + 0.5) / (good + 1))
     marks = words.groupBy("word").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good")).where((F.col("bad") >= max(3, LEAST_SHARE * bad)) & (rate >= LEAST_RATIO)).orderBy(F.desc("bad"), "good", "word").limit(LEXICON)
     marks = {r["word"]: np.log((r["bad"] + 0.5) / (bad + 1) * (good + 1) / (r["good"] + 0.5)) for r in marks.collect()}
     if not marks:
-        return frozenset()
+        return Lexicon(frozenset(), ())
     has = words.where((F.col("y") == 1) & F.col("word").isin(list(marks))).groupBy("word").agg(F.collect_set("doc_id").alias("docs")).collect()  # at most LEXICON words in the bounded sample
     left = {r["word"]: set(r["docs"]) for r in has}
     kept: set[str] = set()
@@ -198,7 +226,7 @@ def lexicon(sample: DataFrame) -> frozenset[str]:
             break
         kept.add(best)
         left = {w: d - gone for w, d in left.items()}
-    return frozenset(kept)
+    return Lexicon(frozenset(kept), tuple(sorted((w, round(float(x), 6)) for w, x in marks.items())))
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", bound: int = SAMPLE, seed: int = 3) -> ToxicityModel | None:
