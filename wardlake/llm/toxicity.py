@@ -18,7 +18,8 @@ from wardlake.llm.textstats import DIGIT, LEAD, LOWER, STOPS, SYMBOLS, UPPER, WI
 MODULUS, REMAINDER, CUT = 3, 1, 0.7
 #: At most about so many labelled documents are learned from.
 SAMPLE = 16_000
-#: An entry of the lexicon occurs in so many toxic documents of its part of the sample, as a share, and so many times as
+FOLDS = 3
+#: An entry of the lexicon occurs in so many toxic documents of its folds of the sample, as a share, and so many times as
 #: often there as in others. LEXICON entries at most are looked at.
 LEAST_SHARE, LEAST_RATIO, LEXICON = 0.008, 5.0, 1500
 #: Lengths of the word beginnings that are entries too, marked by a final *.
@@ -201,53 +202,71 @@ def words_of(text: pd.Series) -> pd.Series:
     return pd.Series([entries(t) if t else [] for t in text])
 
 
-def lexicon(sample: DataFrame) -> Lexicon:
-    """Words that mark the toxic documents of the sample, by document counts: in at least LEAST_SHARE of them and
-    LEAST_RATIO times as often as in the others. Entries are words and beginnings of words. Of these, entries are kept in
-    turn, those that explain most and mark best first, while they explain toxic documents that no kept entry explains;
-    so words that only keep company with insults are left out; the weights of all entries are there beside them."""
-    sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
-    bad, good = sizes.get(1.0, 0), sizes.get(0.0, 0)
-    if not bad or not good:
-        return Lexicon(frozenset(), ())
-    words = sample.select("doc_id", "y", F.explode(words_of("text")).alias("word"))
-    rate = (F.col("bad") + 0.5) / (bad + 1) / ((F.col("good") + 0.5) / (good + 1))
-    marks = words.groupBy("word").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good")).where((F.col("bad") >= max(3, LEAST_SHARE * bad)) & (rate >= LEAST_RATIO)).orderBy(F.desc("bad"), "good", "word").limit(LEXICON)
-    marks = {r["word"]: np.log((r["bad"] + 0.5) / (bad + 1) * (good + 1) / (r["good"] + 0.5)) for r in marks.collect()}
-    if not marks:
-        return Lexicon(frozenset(), ())
-    has = words.where((F.col("y") == 1) & F.col("word").isin(list(marks))).groupBy("word").agg(F.collect_set("doc_id").alias("docs")).collect()  # at most LEXICON words in the bounded sample
-    left = {r["word"]: set(r["docs"]) for r in has}
-    kept: set[str] = set()
-    while left:
-        best = max(sorted(left), key=lambda w: len(left[w]) * marks[w])
-        gone = left.pop(best)
-        if len(gone) < max(2, 0.003 * bad):
-            break
-        kept.add(best)
-        left = {w: d - gone for w, d in left.items()}
-    return Lexicon(frozenset(kept), tuple(sorted((w, round(float(x), 6)) for w, x in marks.items())))
+def lexicons(sample: DataFrame, folds: int) -> list[Lexicon]:
+    """For each fold (column part) a lexicon learned on the others, and last one learned on all of them.
+
+    Entries are words and beginnings of words that mark the toxic documents, by document counts: in at least LEAST_SHARE
+    of them and LEAST_RATIO times as often as in the others; LEXICON entries at most, those in most toxic documents first.
+    Of these, entries are kept in turn, those that explain most and mark best first, while they explain toxic documents
+    that no kept entry explains; so words that only keep company with insults are left out. The weights of all entries
+    are there beside them.
+    """
+    sizes = {(r["y"], r["part"]): r["count"] for r in sample.groupBy("y", "part").count().collect()}
+    words = sample.select("doc_id", "y", "part", F.explode(words_of("text")).alias("word"))
+    counts = words.groupBy("word").agg(*[F.count_if((F.col("y") == y) & (F.col("part") == k)).alias(f"{name}{k}") for name, y in (("bad", 1), ("good", 0)) for k in range(folds)])
+    learned: list[tuple[float, dict[str, float]]] = []
+    for fold in range(folds + 1):
+        own = [k for k in range(folds) if k != fold]
+        bad, good = (sum(sizes.get((y, k), 0) for k in own) for y in (1.0, 0.0))
+        if not bad or not good:
+            learned.append((0, {}))
+            continue
+        b, g = (sum((F.col(f"{name}{k}") for k in own), F.lit(0)) for name in ("bad", "good"))
+        ratio = (b + 0.5) / (bad + 1) / ((g + 0.5) / (good + 1))
+        marks = counts.where((b >= max(3, LEAST_SHARE * bad)) & (ratio >= LEAST_RATIO)).select("word", b.alias("bad"), g.alias("good"), F.log(ratio).alias("weight"))
+        learned.append((bad, {r["word"]: r["weight"] for r in marks.orderBy(F.desc("bad"), "good", "word").limit(LEXICON).collect()}))
+    entries = sorted(set().union(*(marks for _, marks in learned)))
+    if not entries:
+        return [Lexicon(frozenset(), ()) for _ in learned]
+    has = words.where((F.col("y") == 1) & F.col("word").isin(entries)).groupBy("word").agg(F.collect_set(F.struct("part", "doc_id")).alias("docs")).collect()  # a few times LEXICON words at most, in the bounded sample
+    docs_with = {r["word"]: [(d["part"], d["doc_id"]) for d in r["docs"]] for r in has}
+    out = []
+    for fold, (bad, marks) in enumerate(learned):
+        left = {w: {d for d in docs_with[w] if d[0] != fold} for w in marks}
+        kept: set[str] = set()
+        while left:
+            best = max(sorted(left), key=lambda w: len(left[w]) * marks[w])
+            gone = left.pop(best)
+            if len(gone) < max(2, 0.003 * bad):
+                break
+            kept.add(best)
+            left = {w: d - gone for w, d in left.items()}
+        out.append(Lexicon(frozenset(kept), tuple(sorted((w, round(float(x), 6)) for w, x in marks.items()))))
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", bound: int = SAMPLE, seed: int = 3) -> ToxicityModel | None:
-    """Learns from at most about `bound` labelled documents that are not held out: the lexicon on half of them, the
-    trees on a quarter and the calibration on another. None where there are not both labels to learn from."""
+    """Learns from at most about `bound` labelled documents that are not held out. Three quarters are folds: the trees see
+    each fold's documents through the lexicon of the other folds. The last quarter, through the lexicon of all folds,
+    calibrates. None where there are not both labels to learn from."""
     small_batches(docs.sparkSession)
-    sample = checkpointed(labelled_sample(docs, labels, target, MODULUS, REMAINDER, bound).withColumn("part", part_of(F.col("doc_id"), 4, seed)).repartition(16))
-    learned = lexicon(sample.where("part < 2"))
+    sample = checkpointed(labelled_sample(docs, labels, target, MODULUS, REMAINDER, bound).withColumn("part", part_of(F.col("doc_id"), FOLDS + 1, seed)).repartition(16))
+    learned = lexicons(sample.where(F.col("part") < FOLDS), FOLDS)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tools = worker_state(("toxicity", tuple(learned)), lambda: [Toxic(x) for x in learned])
         for b in batches:
-            yield pd.DataFrame({"part": b["part"], "y": b["y"], "x": list(toxic_for(learned).matrix(b["text"]))})
+            for part, rows in b.groupby("part"):
+                yield pd.DataFrame({"part": rows["part"], "y": rows["y"], "x": list(tools[part].matrix(rows["text"]))})
 
-    rows = sample.where("part > 1").select("part", "y", "text").mapInPandas(measured, "part int, y double, x array<double>").toPandas()  # 20 numbers for each document of the bounded sample
-    grow = rows[rows["part"] == 2]
+    rows = sample.select("part", "y", "text").mapInPandas(measured, "part int, y double, x array<double>").toPandas()  # some 20 numbers for each document of the bounded sample
+    grow = rows[rows["part"] < FOLDS]
     if grow["y"].nunique() < 2:
         return None
     trees = boost(np.stack(grow["x"]), grow["y"].to_numpy(float))
-    rest = rows[rows["part"] == 3]
+    rest = rows[rows["part"] == FOLDS]
     rest = rest if rest["y"].nunique() > 1 else grow
-    return ToxicityModel(learned, trees, isotonic(trees.margin(np.stack(rest["x"])), rest["y"].to_numpy(float)))
+    return ToxicityModel(learned[-1], trees, isotonic(trees.margin(np.stack(rest["x"])), rest["y"].to_numpy(float)))
 
 
 def scorer(model: ToxicityModel | None) -> Callable:
