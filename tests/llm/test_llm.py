@@ -215,3 +215,13 @@ def test_pipeline(spark):
         if k < len(corpus_pipeline.STAGES) - 1:
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert docs.count() > 0
+
+
+def test_toxic_evidence_of_a_text():
+    for raw in [b"", b"a", b"aa", b"aaa", b"aaaa b", b"abbbcccd   eeee!!!", b"\n\n\n\n"]:
+        assert toxicity.drawn_out(raw) == len(re.findall(rb"([^\x00-\x20])\1{2,}", raw))
+    tool = toxicity.Toxic(toxicity.Lexicon(frozenset({"bad*"}), (("bad*", 2.0), ("badly", 3.0))))
+    assert [tool.weight(w) for w in ("badly", "badge", "ba", "")] == [3.0, 2.0, 0.0, 0.0]
+    x = dict(zip(toxicity.FEATURES, tool.features("Badly badly badge here"), strict=True))
+    assert x["evidence"] == pytest.approx(math.log1p(5.0)) and x["strongest"] == 3.0 and x["learned_hits"] == pytest.approx(math.log1p(3))
+    assert len(tool.features(None)) == len(toxicity.FEATURES)
