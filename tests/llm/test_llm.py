@@ -142,6 +142,18 @@ def test_neighbours(spark):
     assert list(out[out["query_id"] == 1000].sort_values("rank")["vec_id"]) == [1001, 1002, 1003, 1004, 1005]
 
 
+def test_neighbours_in_many_small_buckets(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BUCKET", 16)  # as many buckets as a table 16 times as large would have
+    x = np.random.default_rng(4).normal(size=(12_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    out = neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), every=100).toPandas()
+    near = x[::100] @ x.T
+    near[np.arange(120), np.arange(0, 12_000, 100)] = -1
+    best = np.argsort(-near, axis=1)[:, :5]
+    got = out.groupby("query_id")["vec_id"].agg(set)
+    assert np.mean([len(set(b) & got.get(100 * i, set())) / 5 for i, b in enumerate(best.tolist())]) >= 0.9
+
+
 def test_classifiers_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet").toPandas().set_index("doc_id")

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from wardlake.llm.common import checkpointed, small_batches, table
 
 TABLES, PROBES, NEAREST = 12, 6, 5
+#: The share of true neighbours that a plan must find for a sample of at most so many queries; above 0.9, as a sample errs.
+GOAL, SAMPLED = 0.95, 128
+#: How often a plan may multiply the tables and the probes before buckets are doubled instead.
+MORE_TABLES, MORE_PROBES = (1, 4 / 3, 2, 3, 4), (1, 4 / 3, 2, 3, 4, 6, 8, 12)
 #: Rows that a bucket has on average; the number of buckets of a table follows from it.
 BUCKET = 256
 #: Rows of one bucket that one task compares at once; larger buckets are dealt out by a hash.
@@ -96,20 +100,79 @@ def rerank(keep: int):
             return pd.DataFrame(columns=columns)
         x, q = (np.stack([np.asarray(v, dtype=np.float64) for v in f["vector"]]) for f in (index, queries))
         x_norm, q_norm = np.sqrt((x * x).sum(1)), np.sqrt((q * q).sum(1))
-        lo, out = index["lo"].to_numpy(np.int64), []
+        lo, ids, out = index["lo"].to_numpy(np.int64), index["ids"].to_numpy(), []
         for i in range(0, len(q), 256):
             near = (q[i : i + 256] @ x.T) / x_norm
-            for k, row in enumerate(near, i):
-                cut = np.partition(row, len(row) - keep)[len(row) - keep] if len(row) > keep else -np.inf
-                at = np.flatnonzero(row >= cut - 1e-9 * abs(cut)) if np.isfinite(cut) else np.arange(len(row))
-                exact = (x[at] * q[k]).sum(1) / (x_norm[at] * q_norm[k])
-                order = np.lexsort((lo[at], -exact))[:keep]
-                out += [(queries["lo"].iat[k], queries["h"].iat[k], float(exact[j]), index["ids"].iat[at[j]]) for j in order]
-        return pd.DataFrame(out, columns=columns)
+            cut = np.partition(near, len(x) - keep, axis=1)[:, len(x) - keep, None] if len(x) > keep else np.full((len(near), 1), -np.inf)
+            with np.errstate(invalid="ignore"):
+                k, at = np.nonzero(~np.isfinite(cut) | (near >= cut - 1e-9 * np.abs(cut)))
+            exact = np.concatenate([(x[at[j : j + 8192]] * q[i + k[j : j + 8192]]).sum(1) for j in range(0, len(at), 8192)]) / (x_norm[at] * q_norm[i + k])
+            order = np.lexsort((lo[at], -exact, k))
+            k, at, exact = k[order], at[order], exact[order]
+            top = np.arange(len(k)) - np.searchsorted(k, k, "left") < keep
+            k, at, exact = k[top] + i, at[top], exact[top]
+            out.append(pd.DataFrame({"q_lo": queries["lo"].to_numpy()[k], "q_h": queries["h"].to_numpy()[k], "score": exact, "ids": ids[at]}))
+        return pd.concat(out)
 
     return best
 
 
+def brute_force(queries: pd.DataFrame, keep: int):
+    """For mapInPandas: of each query (by its place), the `keep` nearest of the part's other vectors of its length."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = pd.DataFrame({"query": [], "score": [], "lo": [], "h": [], "vector": []})
+        for b in batches:
+            for dim, part in b.groupby("dim"):
+                own = np.flatnonzero(queries["dim"] == dim)
+                if not len(own):
+                    continue
+                score = units(queries["vector"].iloc[own]) @ units(part["vector"]).T
+                lo, h = part["lo"].to_numpy(), part["h"].to_numpy()
+                score[(queries["lo"].to_numpy()[own, None] == lo) & (queries["h"].to_numpy()[own, None] == h)] = -np.inf
+                at = np.argpartition(-score, min(keep, score.shape[1]) - 1, axis=1)[:, :keep]
+                found = pd.DataFrame({"query": np.repeat(own, at.shape[1]), "score": np.take_along_axis(score, at, 1).ravel(), "lo": lo[at.ravel()], "h": h[at.ravel()], "vector": part["vector"].to_numpy()[at.ravel()]})
+                best = pd.concat([best, found[np.isfinite(found["score"])]]).sort_values(["query", "score", "lo"], ascending=[True, False, True]).groupby("query").head(keep)
+        yield best.astype({"query": "int64", "lo": "int64", "h": "int64"})
+
+    return rows
+
+
+def cheapest(pairs: list[tuple[np.ndarray, np.ndarray]], tables: int, probes: int, bits: int, every: int, seed: int) -> tuple[int, int, int, float]:
+    """(tables, probes, bits, recall): of those that find GOAL of the pairs (unit vectors of queries, their neighbours;
+    one entry for each length of vectors) the plan that moves and compares least. `tables` and `probes` are the least.
+
+    Buckets are doubled only where no number of tables and probes allowed is enough; with two buckets all is found."""
+    most_tables, most_probes = (round(n * max(more)) for n, more in ((tables, MORE_TABLES), (probes, MORE_PROBES)))
+    while True:
+        asked = [buckets(q, most_tables, most_probes, bits, seed) == buckets(x, most_tables, 1, bits, seed) for q, x in pairs]
+        at = np.concatenate([np.where(hit.any(2), hit.argmax(2), most_probes) for hit in asked]) if asked else np.zeros((0, most_tables))
+        plans = []
+        for t in (round(tables * m) for m in MORE_TABLES):
+            first = at[:, :t].min(1)  # a pair is found with more probes than this
+            for p in (round(probes * m) for m in MORE_PROBES):
+                plans.append((t * (1 + 2 * p / every), t, p, float((first < p).mean()) if len(first) else 1.0))
+        good = [p for p in plans if p[3] >= GOAL]
+        if good or bits <= 1:
+            _, t, p, recall = min(good) if good else max(plans, key=lambda x: x[3])
+            return t, p, bits, recall
+        bits -= 1
+
+
+def plan(entries: DataFrame, queries: DataFrame, tables: int, probes: int, bits: int, every: int, nearest: int, seed: int) -> tuple[int, int, int, float]:
+    """The cheapest plan for a sample of the queries, whose true neighbours one pass over all entries finds."""
+    some = queries.orderBy(F.xxhash64("lo", "h", F.lit(seed)), "lo").limit(SAMPLED).toPandas()
+    if not len(some):
+        return tables, probes, bits, 1.0
+    found = entries.select("lo", "h", "dim", "vector").mapInPandas(brute_force(some, nearest), "query long, score double, lo long, h long, vector array<double>")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "lo"))
+    true = found.withColumn("place", place).where(F.col("place") <= nearest).select("query", "vector").toPandas()  # `nearest` rows a query
+    pairs = []
+    for _, part in true.groupby(some["dim"].to_numpy()[true["query"].to_numpy()]) if len(true) else []:
+        pairs.append((units(some["vector"].iloc[part["query"].to_numpy()]), units(part["vector"])))
+    return cheapest(pairs, tables, probes, bits, every, seed)
+
+
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """vec_id and vector of the rows that take part, each once: ids that are not null, vectors of finite numbers, not all 0."""
     v = F.col("vector")
@@ -125,6 +188,9 @@ def nearest(vectors: DataFrame, every: int = 50, vec_id: str = "vec_id", embeddi
     never compared. Equal vectors are one entry with their smallest ids, which are all that a result can show, so a vector
     that very many rows share costs no more than another. The entries are dealt out over the buckets of every table;
     queries go to several buckets of each; a large bucket is split and its queries go to each part.
+
+    `tables` and `probes` are the least: the true neighbours of a bounded sample of the queries, found in one pass over all
+    entries, tell how many more it takes to find GOAL of them in a table of this size.
     """
     small_batches(vectors.sparkSession)
     keep = nearest + 1
@@ -136,6 +202,7 @@ def nearest(vectors: DataFrame, every: int = 50, vec_id: str = "vec_id", embeddi
     asking = asked.join(firsts, "vector").select(F.col("vec_id").alias("query_id"), F.col("lo").alias("q_lo"), F.col("h").alias("q_h"), "vector")
     queries = asking.groupBy("q_lo", "q_h", "vector").agg(F.lit(1)).select(F.col("q_lo").alias("lo"), F.col("q_h").alias("h"), F.size("vector").alias("dim"), F.col("vector").cast("array<double>").alias("vector"))
     bits = max(1, round(math.log2(max(2.0, rows.where("place = 1").count() / BUCKET))))
+    tables, probes, bits, _ = plan(entries, queries, tables, probes, bits, every, nearest, seed)
     shape = "lo long, h long, dim int, vector array<double>"
     index = entries.mapInPandas(hashed(tables, 1, bits, seed), f"{shape}, ids array<long>, tab int, bucket long")
     looked = queries.mapInPandas(hashed(tables, probes, bits, seed), f"{shape}, tab int, bucket long")
