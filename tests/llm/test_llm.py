@@ -202,6 +202,28 @@ def test_url_rules_and_model(spark):
         assert r["ratio"] == pytest.approx(math.log(p(r["g"], 0, 4)) - math.log(p(r["g"], 1, 4)))
 
 
+def test_url_scores_use_the_ratio_of_every_string(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    names = ["".join(chr(0x4E00 + k) for k in rng.integers(0, 20_000, 400)) for _ in range(400)]  # more distinct strings than 2^17
+    rows = [(i, f"http://{('shop.com', 'x.net', 'y.org')[i % 3]}/{('a', 'fr', 'b')[i % 3]}/{n}") for i, n in enumerate(names)] + [(9000, None), (9001, None)]
+    monkeypatch.setattr(urls, "OFTEN", 500)  # both ways of looking up are taken
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r["page_id"]: r for r in urls.filtered(pages).collect()}
+    counted = defaultdict(lambda: [0, 0])
+    for i, url in rows:
+        s = "\x02" * 4 + (url or "") + "\x03"
+        for k in range(len(s) - 4):
+            c = counted[s[k : k + 5]]
+            if got[i]["rule"]:
+                c[got[i]["verdict"] == "block"] += 1
+    ratio = {r["g"]: r["ratio"] for r in urls.log_ratios(spark.createDataFrame([(g, a, b) for g, (a, b) in counted.items()], "g string, allowed long, blocked long")).collect()}
+    assert len(got) == len(rows) and got[9000]["url_score"] == got[9001]["url_score"] and len(counted) > 1 << 17
+    for i, url in rows:
+        s = "\x02" * 4 + (url or "") + "\x03"
+        mean = np.mean([ratio[s[k : k + 5]] for k in range(len(s) - 4)])
+        assert got[i]["url_score"] is None if got[i]["rule"] else got[i]["url_score"] == pytest.approx(mean, abs=1e-8)
+
+
 def test_media_round_trip(spark):
     for r in media.with_media(docs_of(spark, ODD)).collect():
         data = (r["text"] or "").encode()

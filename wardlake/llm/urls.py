@@ -14,8 +14,10 @@ from wardlake.llm.common import checkpointed, table
 #: (verdict, rule); a rule is a host and the beginning of a path.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 ORDER = 4
-#: The model's table of log ratios: a fixed number of cells, whatever the corpus.
-CELLS = 1 << 18
+#: Keys of so large a share of the rows (one in OFTEN) are looked up in a broadcast table, others by a shuffle.
+OFTEN = 1 << 16
+#: Log ratios are whole numbers of 1 / SCALE.
+SCALE = 1 << 32
 #: How many sightings the next shorter context counts as.
 BACK_OFF = 2.0
 _start, _end = "\x02" * ORDER, "\x03"
@@ -64,38 +66,45 @@ def log_ratios(counted: DataFrame) -> DataFrame:
     return shorter.select("g", "allowed", "blocked", (F.log("p_allowed") - F.log("p_blocked")).alias("ratio"))
 
 
-def cell(g: Column) -> Column:
-    return F.pmod(F.xxhash64(g), F.lit(CELLS))
+def looked_up(rows: DataFrame, values: DataFrame, key: str, value: str) -> DataFrame:
+    """rows with the value of their key, the same for null as for other keys; values: key, n (about how many of the rows
+    have it) and value, for each key once.
+
+    Keys with at least one in OFTEN of the rows are OFTEN at most and are broadcast; of all others no task gets many, so
+    they are shuffled.
+    """
+    total = values.agg(F.sum("n")).first()[0] or 0
+    often, seldom = (values.where(c).select(key, value) for c in (F.col("n") * OFTEN >= total, F.col("n") * OFTEN < total))
+    marked = rows.join(F.broadcast(often), key, "left")
+    return marked.where(F.col(value).isNotNull()).unionByName(marked.where(F.col(value).isNull()).drop(value).join(seldom, key))
 
 
 @dataclass
 class UrlModel:
-    """table: one row with the array of log ratios by cell; threshold: URLs whose mean ratio reaches it are allowed."""
+    """ratios: g, n (its sightings), ratio (in units of 1 / SCALE) for every distinct string of characters that was seen;
+    threshold: URLs whose mean ratio reaches it are allowed."""
 
-    table: DataFrame
+    ratios: DataFrame
     threshold: float
 
-    def scored(self, df: DataFrame, url: Column, out: str = "url_score") -> DataFrame:
-        """df with the mean log ratio over the characters of the URL. The array is a scalar subquery's result: one
-        constant for all rows."""
-        g = grams(url)
-        total = F.aggregate(g, F.lit(0.0), lambda t, x: t + F.get(F.col("_ratios"), cell(x).cast("int")))
-        return df.withColumn("_ratios", self.table.scalar()).withColumn(out, total / F.size(g)).drop("_ratios")
-
-
-def fit(judged: DataFrame) -> UrlModel:
-    """judged: url and verdict (allow, block or null). All rows count: those without a verdict add what characters and
-    contexts there are, the others train the two models and set the threshold where the balanced accuracy on them is best
-    (among cells of a histogram of a fixed width). With one kind of verdict or none the threshold is 0."""
-    seen = judged.select(F.explode(grams(F.coalesce("url", F.lit("")))).alias("g"), (F.col("verdict") == "allow").alias("a"), (F.col("verdict") == "block").alias("b"))
-    counted = checkpointed(seen.groupBy("g").agg(F.count_if("a").alias("allowed"), F.count_if("b").alias("blocked")))
-    weight = F.col("allowed") + F.col("blocked") + 1
-    cells = log_ratios(counted).groupBy(cell(F.col("g")).alias("k")).agg((F.sum(F.col("ratio") * weight) / F.sum(weight)).alias("v"))
-    spark = judged.sparkSession
-    filled = spark.range(CELLS).withColumnRenamed("id", "k").join(cells, "k", "left").select(F.struct("k", F.coalesce("v", F.lit(0.0)).alias("v")).alias("e"))
-    table = checkpointed(filled.groupBy().agg(F.transform(F.array_sort(F.collect_list("e")), lambda e: e.v).alias("ratios")))  # CELLS numbers
-    model = UrlModel(table, 0.0)
-    bins = model.scored(judged.where("verdict is not null"), F.coalesce("url", F.lit(""))).select("verdict", F.floor(F.least(F.greatest("url_score", F.lit(-10.0)), F.lit(10.0)) * 100).alias("at")).groupBy("at").agg(F.count_if(F.col("verdict") == "allow").alias("a"), F.count_if(F.col("verdict") == "block").alias("b")).orderBy("at").collect()  # 2001 bins at most
+    def scored(self, urls: DataFrame) -> DataFrame:
+        """Distinct url with url_score, the mean log ratio over its characters. Whole numbers are summed, so the order of
+        rows changes nothing."""
+        looked = looked_up(urls.select("url", F.explode(grams(F.col("url"))).alias("g")), self.ratios, "g", "ratio")
+        return looked.groupBy("url").agg((F.sum("ratio") / (F.count("*") * float(SCALE))).alias("url_score"))
+
+
+def fit(judged: DataFrame) -> tuple[UrlModel, DataFrame]:
+    """The model, and url, n, verdict and url_score of each distinct URL. judged: distinct url, n (its rows) and verdict
+    (allow, block or null). All rows count: those without a verdict add what characters and contexts there are, the others
+    train the two models and set the threshold where the balanced accuracy on them is best (among cells of a histogram of
+    a fixed width). With one kind of verdict or none the threshold is 0."""
+    seen = judged.select(F.explode(grams(F.col("url"))).alias("g"), "n", (F.col("verdict") == "allow").alias("a"), (F.col("verdict") == "block").alias("b"))
+    counted = checkpointed(seen.groupBy("g").agg(F.sum(F.when(F.col("a"), F.col("n")).otherwise(0)).alias("allowed"), F.sum(F.when(F.col("b"), F.col("n")).otherwise(0)).alias("blocked"), F.count("*").alias("n")))
+    ratios = log_ratios(counted).select("g", F.round(F.col("ratio") * SCALE).cast("long").alias("ratio"))
+    model = UrlModel(checkpointed(counted.select("g", "n").join(ratios, "g")), 0.0)
+    scores = checkpointed(judged.join(model.scored(judged), "url"))
+    bins = scores.where("verdict is not null").select("verdict", "n", F.floor(F.least(F.greatest(F.col("url_score"), F.lit(-10.0)), F.lit(10.0)) * 100).alias("at")).groupBy("at").agg(F.sum(F.when(F.col("verdict") == "allow", F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("verdict") == "block", F.col("n")).otherwise(0)).alias("b")).orderBy("at").collect()  # 2001 bins at most
     allowed, blocked = sum(r["a"] for r in bins), sum(r["b"] for r in bins)
     if allowed and blocked:
         best, kept, gone = -1.0, allowed, 0
@@ -103,7 +112,7 @@ def fit(judged: DataFrame) -> UrlModel:
             if (right := kept / allowed + gone / blocked) > best:
                 best, model.threshold = right, r["at"] / 100
             kept, gone = kept - r["a"], gone + r["b"]
-    return model
+    return model, scores
 
 
 def filtered(pages: DataFrame, url: str = "url", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
@@ -111,16 +120,19 @@ def filtered(pages: DataFrame, url: str = "url", rules: tuple[tuple[str, str], .
     names are replaced.
 
     Null and empty URLs and those without `://` have an empty host and path, fit no rule and are judged as they are.
-    Repeated rows get equal values. Counts come from all rows; scoring moves nothing, since the model is one array of
-    CELLS numbers.
+    Repeated rows get equal values. Counts come from all rows; each distinct URL is scored once, by the ratios of all
+    strings that were seen, however many.
     """
     host, path = parts(F.col(url))
     known = pages.withColumn("host", host).withColumn("path", path)
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     known = known.withColumn("rule", rule).withColumn("verdict", verdict)
-    model = fit(known.select(F.col(url).alias("url"), "verdict"))
-    known = model.scored(known, F.when(F.col("verdict").isNull(), F.coalesce(F.col(url), F.lit(""))))
-    return known.withColumn("verdict", F.coalesce("verdict", F.when(F.col("url_score") >= model.threshold, "allow").otherwise("block")))
+    judged = checkpointed(known.select(F.coalesce(F.col(url), F.lit("")).alias("url"), "verdict").groupBy("url", "verdict").agg(F.count("*").alias("n")))
+    model, scores = fit(judged)
+    open_ = known.where("verdict is null").withColumn("_url", F.coalesce(F.col(url), F.lit("")))
+    open_ = looked_up(open_.drop("url_score"), scores.where("verdict is null").select(F.col("url").alias("_url"), "n", "url_score"), "_url", "url_score").drop("_url")
+    open_ = open_.withColumn("verdict", F.when(F.col("url_score") >= model.threshold, "allow").otherwise("block"))
+    return known.where("verdict is not null").withColumn("url_score", F.lit(None).cast("double")).unionByName(open_)
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
