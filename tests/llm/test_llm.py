@@ -169,6 +169,14 @@ def test_classifiers_on_held_out_rows(spark):
     assert (p["lang_pred"] == p["lang"]).mean() > 0.97
 
 
+def test_quality_sees_all_words():
+    words = [f"w{k}" for k in range(200)]
+    at = quality.QUALITY.index("unique_in_window")
+    assert quality.quality_features(" ".join(words))[at] == 1.0
+    assert quality.quality_features(" ".join(words[:50] + ["junk"] * 150))[at] == pytest.approx(53 / 200)
+    assert quality.quality_features(" ".join(words[:50] + ["junk"] * 10))[at] == pytest.approx(51 / 60)
+
+
 def test_classifiers_on_odd_rows(spark):
     docs, none = docs_of(spark, ODD), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.with_quality(docs, quality.fit(docs, none)).count() == len(ODD)

@@ -38,12 +38,12 @@ def quality_features(text: str | None) -> list[float]:
     distinct = len(set(words))
     same = sum(map(bytes.__eq__, words, words[1:]))
     top = max(Counter(words).values()) if words else 0
-    windows = [len(set(words[i : i + 50])) / len(words[i : i + 50]) for i in range(0, len(words), 200)] or [1.0]
+    window = sum(len(set(words[i : i + 50])) for i in range(0, len(words), 50)) / len(words) if words else 1.0  # the last may be short
     letters = n[UPPER | LOWER | WIDE].sum()
     run = np.diff(np.flatnonzero(np.diff(np.frombuffer(data, dtype=np.uint8), prepend=256, append=256))).max(initial=0) if data else 0
     return [
         np.log1p(chars), np.log1p(len(words)), min(40.0, len(data) / m), n[UPPER].sum() / max(1, letters), n[DIGIT].sum() / chars, n[SPACE].sum() / chars,
         min(4.0, n[SYMBOLS].sum() / m), min(2.0, n[ord("|")] / m), min(3.0, n[ord("!")] / m), min(3.0, n[STOPS].sum() / m), letters / chars,
-        distinct / m, same / m, top / m, np.log1p(len(lines)), 1 - len(set(lines)) / max(1, len(lines)), np.log1p(len(words) / max(1, len(lines))), float(np.mean(windows)),
+        distinct / m, same / m, top / m, np.log1p(len(lines)), 1 - len(set(lines)) / max(1, len(lines)), np.log1p(len(words) / max(1, len(lines))), window,
         np.log1p(run), min(1.0, n[CONTROL].sum() / chars),
     ]
