@@ -259,6 +259,18 @@ def test_pipeline(spark):
     assert docs.count() > 0
 
 
+def test_rows_with_null_and_repeated_ids_stay(spark):
+    texts = [" ".join(f"{name}{k}" for k in range(80)) for name in "abcdef"]
+    rows = [(7, texts[0]), (7, texts[1]), (9, texts[0]), (12, texts[1]), (3, texts[2]), (3, texts[2]), (None, texts[3]), (None, texts[4])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    one = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.one_of_each(docs).collect())
+    assert one == sorted([(7, texts[0]), (7, texts[1]), (3, texts[2]), (0, texts[3]), (0, texts[4])])
+    mixed = sorted((r["doc_id"] or 0, r["text"]) for r in mixing.mixed_documents(docs).collect())  # one source: all once
+    assert mixed == sorted((i or 0, t) for i, t in rows)
+    odd = spark.createDataFrame([(1, "x", None, "en", 1), (1, "x", "en", None, 1)], DOCS)
+    assert mixing.mixed_documents(odd, most=1).count() == 2
+
+
 def test_toxic_evidence_of_a_text():
     for raw in [b"", b"a", b"aa", b"aaa", b"aaaa b", b"abbbcccd   eeee!!!", b"\n\n\n\n"]:
         assert toxicity.drawn_out(raw) == len(re.findall(rb"([^\x00-\x20])\1{2,}", raw))

@@ -32,6 +32,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def row_key(columns: list[str]) -> Column:
+    """32 hex digits by what a row holds; only rows that are equal in all columns share them. Nulls count as values."""
+    held = [c for name in columns for c in (F.col(name).isNull(), F.col(name))]
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), *held)), 16, "0") for seed in (1, 2)])
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Texts can be long: hand them to Python in small Arrow batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import DOCUMENT_COLUMNS, WORD, checkpointed, table
+from wardlake.llm.common import DOCUMENT_COLUMNS, WORD, checkpointed, row_key, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
@@ -139,13 +139,15 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix, with the columns of documents: one row for each time that a document is taken.
 
     All but each source's last take hold the whole text; that one holds the words up to where the source's target
-    ends. Rows that repeat a doc_id count as one document, and ids that are null as none; documents not taken go.
+    ends. Every row is a document of its own, as in mix(), also where ids are null or repeated; documents not taken go.
+    Rows are named by what they hold, and equal rows by their place in the stream too.
     """
-    docs = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).select(*DOCUMENT_COLUMNS)
-    takes = mix(docs, **how).pieces.groupBy("doc_id", "epoch").agg(F.sum("length").alias("words"))
+    docs = docs.select(*DOCUMENT_COLUMNS).withColumn("_row", row_key(DOCUMENT_COLUMNS))
+    takes = mix(docs, doc_id="_row", **how).pieces.groupBy(F.col("doc_id").alias("_row"), "first", "epoch").agg(F.sum("length").alias("words"))
+    docs = docs.dropDuplicates(["_row"])  # equal rows: each has takes of its own
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     cut = F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), " ")
-    kept = docs.join(takes, "doc_id").withColumn("text", F.when(word_count(F.col("text")) > F.col("words"), cut).otherwise(F.col("text")))
+    kept = docs.join(takes, "_row").withColumn("text", F.when(word_count(F.col("text")) > F.col("words"), cut).otherwise(F.col("text")))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
 
 

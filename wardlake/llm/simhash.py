@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, small_batches, table, worker_state
+from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, row_key, small_batches, table, worker_state
 
 SHINGLE, SEED, THRESHOLD = 4, 42, 4
 #: Rows of one anchor that one task compares; larger anchors are compared in a grid of such blocks.
@@ -216,6 +216,18 @@ def components(pairs: DataFrame) -> DataFrame:
         state = new
 
 
+def with_components(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
+    """doc_id, the columns `more`, fp, root (a fingerprint, one for each component) and component_id for every row."""
+    small_batches(docs.sparkSession)
+    prints = checkpointed(docs.select(F.col(doc_id).alias("doc_id"), *more, simhash_of(F.col(text)).alias("fp")))
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    linked = components(links(distinct))
+    named = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct()).join(distinct.withColumnRenamed("fp", "node"), "node")
+    least = named.groupBy("root").agg(F.min("first").alias("component"))
+    component = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(least, "root", "left").select("fp", "root", F.coalesce("component", "first").alias("component_id"))
+    return prints.join(component, "fp")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint and component_id for every row: component_id is the smallest doc_id that links reach.
 
@@ -224,22 +236,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     fingerprint, which is null if it has no other. An empty table gives no rows. Exact copies meet as one fingerprint
     before anything is compared.
     """
-    small_batches(docs.sparkSession)
-    prints = checkpointed(docs.select(F.col(doc_id).alias("doc_id"), simhash_of(F.col(text)).alias("fp")))
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    linked = components(links(distinct))
-    named = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct()).join(distinct.withColumnRenamed("fp", "node"), "node")
-    least = named.groupBy("root").agg(F.min("first").alias("component"))
-    component = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(least, "root", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
-    return prints.join(component, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return with_components(docs, doc_id, text).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that are the first of their component. Rows with a null doc_id stay; of rows that repeat a doc_id one
-    stays."""
-    firsts = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.select(*DOCUMENT_COLUMNS).join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null").select(*DOCUMENT_COLUMNS))
+    """The document of each component with the smallest doc_id; where rows with other contents repeat that id, the one whose
+    content has the smallest hash, so reruns agree. Of equal rows one stays. Rows with a null doc_id all stay."""
+    docs = docs.select(*DOCUMENT_COLUMNS).withColumn("_row", row_key(DOCUMENT_COLUMNS))
+    named = with_components(docs, "doc_id", "text", "_row").where("doc_id is not null")
+    firsts = named.groupBy("root").agg(F.min(F.struct("doc_id", "_row")).alias("one")).select("one._row")
+    kept = docs.where("doc_id is not null").join(firsts, "_row", "left_semi").dropDuplicates(["_row"])
+    return kept.unionByName(docs.where("doc_id is null")).drop("_row")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
