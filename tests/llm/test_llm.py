@@ -185,6 +185,20 @@ def test_classifiers_on_odd_rows(spark):
     assert len(got) == len(ODD) and all(r["lang_pred"] == "und" for r in got if not (r["text"] or "").strip())
 
 
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(8)
+    names = [*[f"q{k:02}" for k in range(62)], "en-AU", "en-GB", "en-US", "en"]
+    rows = []
+    for name in names:
+        words = ["".join(chr(97 + k) for k in rng.integers(0, 26, 6)) for _ in range(30)]
+        rows += [(len(rows) + k, " ".join(rng.choice(words, 60)), name, None, 0) for k in range(8)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = language.fit(docs)
+    assert sorted(x for own in model.families.values() for x in own) == sorted(names) and len(model.pairs) == 6
+    got = language.with_language(docs, model).select("lang", "lang_pred").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.97
+
+
 def test_url_rules_and_model(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://A.Example.com/en/x?y"), (4, "http://www.example.com/en/"), (5, "http://com"), (6, "http://x.net/fr/1#z"), (7, "http://x.net/frx"), (8, "http://shop.com/a")]
     out = {r["page_id"]: r for r in urls.filtered(spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))).collect()}

@@ -13,12 +13,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import DOCUMENT_COLUMNS, held_out, sigmoid, small_batches, table, worker_state
+from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, held_out, sigmoid, small_batches, table, worker_state
 
 MODULUS, REMAINDER = 4, 2
 BUCKETS = 2048
-#: At most about so many documents of each language are learned from, and so many languages.
-SAMPLE, LANGUAGES = 1500, 64
+#: At most about so many documents of each language are learned from. All languages are learned; where they are more than
+#: LANGUAGES, the documents of each get fewer, so that the sample is no larger, but not fewer than LEAST.
+SAMPLE, LANGUAGES, LEAST = 1500, 64, 50
 UNKNOWN = "und"
 #: Families by ISO 639-1 code. A code that is not here is a family of its own.
 FAMILIES = {
@@ -61,6 +62,26 @@ def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int =
     return w
 
 
+def family_of(code: str) -> str:
+    return FAMILY_OF.get(code.lower().replace("_", "-").split("-")[0], code)
+
+
+def vectors(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Grams and languages of a sample, in an order of its own."""
+    rows = rows.sort_values(["lang", "x"], kind="stable")
+    return np.stack([np.frombuffer(b, dtype=np.float16).astype(np.float32) for b in rows["x"]]), rows["lang"].to_numpy()
+
+
+def family_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+    """For one family's sample: a support vector machine for each two of its languages."""
+    x, y = vectors(rows)
+    out = []
+    for p, q in combinations(sorted(set(y)), 2):
+        at = np.isin(y, [p, q])
+        out.append((p, q, linear_svm(x[at], np.where(y[at] == p, 1.0, -1.0)).tobytes()))
+    return pd.DataFrame(out, columns=["p", "q", "w"])
+
+
 @dataclass
 class LanguageModel:
     """families: languages of each; gates: one weight row for each family against the rest; pairs: for two languages
@@ -95,36 +116,41 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", bound: int = SAMPLE, seed: int = 7) -> LanguageModel | None:
-    """Learns from text and lang of documents that are not held out: at most about `bound` of each language, taken by
-    a hash of doc_id, and the LANGUAGES most frequent languages. None where there is none to learn."""
+    """Learns from text and lang of documents that are not held out: every value of lang, from at most about `bound`
+    documents of each (fewer where languages are many), taken by a hash of doc_id. None where there is none to learn.
+
+    Families are told apart on the driver, which holds the bounded sample; each family's pairs are fitted in a task.
+    """
     small_batches(docs.sparkSession)
     known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null and doc_id is not null").where(~held_out(F.col("doc_id"), MODULUS, REMAINDER))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
+    counts = checkpointed(known.groupBy("lang").agg(F.count("*").alias("n")))  # a row for each language
+    languages = counts.count()
+    if not languages:
         return None
-    share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1_000_000, int(1_000_000 * bound / n)))])
-    sample = known.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) < F.coalesce(share[F.col("lang")], F.lit(0)))
+    most = bound if languages <= LANGUAGES else min(bound, max(LEAST, bound * LANGUAGES // languages))
+    sample = known.join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(10**12)) * F.col("n").cast("double") < float(10**12) * most)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             b = b[[bool(_letter.search(t)) for t in b["text"]]] if len(b) else b
-            yield pd.DataFrame({"lang": b["lang"], "x": [row.astype(np.float16).tobytes() for row in grams(b["text"].tolist())]})
+            if len(b):
+                yield pd.DataFrame({"lang": b["lang"].tolist(), "family": [family_of(c) for c in b["lang"]], "x": [row.astype(np.float16).tobytes() for row in grams(b["text"].tolist())]}, dtype=object)
 
-    rows = sample.select("text", "lang").mapInPandas(measured, "lang string, x binary").toPandas()  # bounded: 4 KB for each document of the sample
-    if not len(rows):
-        return None
-    rows = rows.sort_values(["lang", "x"], kind="stable")
-    x, y = np.stack([np.frombuffer(b, dtype=np.float16).astype(np.float32) for b in rows["x"]]), rows["lang"].to_numpy()
+    rows = checkpointed(sample.select("text", "lang").mapInPandas(measured, "lang string, family string, x binary"))  # 4 KB for each document of the sample
     families = defaultdict(list)
-    for code in sorted(set(y)):
-        families[FAMILY_OF.get(code.lower().replace("_", "-").split("-")[0], code)].append(code)
-    gates = {f: linear_svm(x, np.where(np.isin(y, own), 1.0, -1.0)) for f, own in families.items()} if len(families) > 1 else {}
-    pairs = {}
-    for own in families.values():
-        for p, q in combinations(own, 2):
-            at = np.isin(y, [p, q])
-            pairs[p, q] = linear_svm(x[at], np.where(y[at] == p, 1.0, -1.0))
-    return LanguageModel(dict(families), gates, pairs)
+    for r in rows.select("family", "lang").distinct().orderBy("lang").collect():
+        families[r["family"]].append(r["lang"])
+    if not families:
+        return None
+    families = {f: sorted(own) for f, own in sorted(families.items(), key=lambda item: min(item[1]))}
+    gates = {}
+    if len(families) > 1:
+        x, y = vectors(rows.select("lang", "x").toPandas())
+        gates = {f: linear_svm(x, np.where(np.isin(y, own), 1.0, -1.0)) for f, own in families.items()}
+    several = [f for f, own in families.items() if len(own) > 1]
+    fitted = rows.where(F.col("family").isin(several)).groupBy("family").applyInPandas(family_pairs, "p string, q string, w binary").collect() if several else []
+    pairs = {(r["p"], r["q"]): np.frombuffer(bytes(r["w"]), dtype=np.float32) for r in fitted}
+    return LanguageModel(families, gates, pairs)
 
 
 def predictor(model: LanguageModel | None) -> Callable:
