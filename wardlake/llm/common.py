@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 #: A word: what lies between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of text that a Python worker takes apart at once.
+SLICE = 8 << 20
+#: Keys of so large a share of the rows (one in OFTEN) are looked up in a broadcast table, others by a shuffle.
+OFTEN = 1 << 16
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -23,11 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, written to the shared checkpoint folder and read back: its lineage ends there, on storage that outlives executors.
 
-    The folder is the session's spark.checkpoint.dir; a temporary one is taken only where none is set (local mode).
+    The folder is the session's spark.checkpoint.dir. Only a local session may go without: it gets a temporary one. On a
+    cluster such a folder would lie on each machine's own disk, so an error is raised there.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="wardlake-checkpoint-"))
     return df.checkpoint(eager=True)
 
@@ -38,9 +45,42 @@ def row_key(columns: list[str]) -> Column:
     return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), *held)), 16, "0") for seed in (1, 2)])
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Texts can be long: hand them to Python in small Arrow batches."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def looked_up(rows: DataFrame, values: DataFrame, key: str, value: str) -> DataFrame:
+    """rows with the value of their key; values: key, n (about how many of the rows have it) and value, for each key once.
+    Keys and values are never null.
+
+    Keys with at least one in OFTEN of the rows are OFTEN at most and are broadcast; of all others no task gets many, so
+    they are shuffled.
+    """
+    total = values.agg(F.sum("n")).first()[0] or 0
+    often, seldom = (values.where(c).select(key, value) for c in (F.col("n") * OFTEN >= total, F.col("n") * OFTEN < total))
+    marked = rows.join(F.broadcast(often), key, "left")
+    return marked.where(F.col(value).isNotNull()).unionByName(marked.where(F.col(value).isNull()).drop(value).join(seldom, key))
+
+
+def text_offsets(texts: pa.Array) -> np.ndarray:
+    """Where each text begins in the array's bytes, and where the last ends."""
+    where = texts.buffers()[1]
+    if where is None:
+        return np.zeros(len(texts) + 1, dtype=np.int64)
+    return np.frombuffer(where, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(the bytes of all texts in turn and one zero after them, where each text begins and the last ends)."""
+    offsets, data = text_offsets(texts), texts.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return np.append(raw, np.uint8(0)), offsets - offsets[0]
+
+
+def slices(texts: pa.Array, most: int = SLICE) -> Iterator[pa.Array]:
+    """A batch of texts in parts of at most `most` bytes (or of one text, if it is longer), so that what is worked out for
+    each word of a part stays small. Spark bounds the batch itself (spark.sql.execution.arrow.maxBytesPerBatch)."""
+    offsets, at = text_offsets(texts), 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        yield texts.slice(at, upto - at)
+        at = upto
 
 
 def fold(doc_id: Column, modulus: int) -> Column:

@@ -10,16 +10,18 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, held_out, sigmoid, small_batches, table, worker_state
+from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, held_out, sigmoid, table, worker_state
 
 MODULUS, REMAINDER = 4, 2
 BUCKETS = 2048
 #: At most about so many documents of each language are learned from. All languages are learned; where they are more than
 #: LANGUAGES, the documents of each get fewer, so that the sample is no larger, but not fewer than LEAST.
 SAMPLE, LANGUAGES, LEAST = 1500, 64, 50
+#: Documents that families are told apart by, at most, but of each language two: 8 KB of the driver's memory for each.
+GATED = 16_000
 UNKNOWN = "und"
 #: Families by ISO 639-1 code. A code that is not here is a family of its own.
 FAMILIES = {
@@ -119,9 +121,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     """Learns from text and lang of documents that are not held out: every value of lang, from at most about `bound`
     documents of each (fewer where languages are many), taken by a hash of doc_id. None where there is none to learn.
 
-    Families are told apart on the driver, which holds the bounded sample; each family's pairs are fitted in a task.
+    Families are told apart on the driver, by at most GATED documents; each family's pairs are fitted in a task.
     """
-    small_batches(docs.sparkSession)
     known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null and doc_id is not null").where(~held_out(F.col("doc_id"), MODULUS, REMAINDER))
     counts = checkpointed(known.groupBy("lang").agg(F.count("*").alias("n")))  # a row for each language
     languages = counts.count()
@@ -134,7 +135,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         for b in batches:
             b = b[[bool(_letter.search(t)) for t in b["text"]]] if len(b) else b
             if len(b):
-                yield pd.DataFrame({"lang": b["lang"].tolist(), "family": [family_of(c) for c in b["lang"]], "x": [row.astype(np.float16).tobytes() for row in grams(b["text"].tolist())]}, dtype=object)
+                x = [row.astype(np.float16).tobytes() for i in range(0, len(b), 256) for row in grams(b["text"].iloc[i : i + 256].tolist())]
+                yield pd.DataFrame({"lang": b["lang"].tolist(), "family": [family_of(c) for c in b["lang"]], "x": x}, dtype=object)
 
     rows = checkpointed(sample.select("text", "lang").mapInPandas(measured, "lang string, family string, x binary"))  # 4 KB for each document of the sample
     families = defaultdict(list)
@@ -145,7 +147,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     families = {f: sorted(own) for f, own in sorted(families.items(), key=lambda item: min(item[1]))}
     gates = {}
     if len(families) > 1:
-        x, y = vectors(rows.select("lang", "x").toPandas())
+        each = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("x"), "x"))
+        x, y = vectors(rows.withColumn("each", each).where(F.col("each") <= max(2, GATED // languages)).select("lang", "x").toPandas())
         gates = {f: linear_svm(x, np.where(np.isin(y, own), 1.0, -1.0)) for f, own in families.items()}
     several = [f for f, own in families.items() if len(own) > 1]
     fitted = rows.where(F.col("family").isin(several)).groupBy("family").applyInPandas(family_pairs, "p string, q string, w binary").collect() if several else []
@@ -171,7 +174,6 @@ def with_language(docs: DataFrame, model: LanguageModel | None, text: str = "tex
     A text that is null or has no letter is `und` with score 0, as every text is where nothing was learned. Equal texts
     get the same values; an empty table stays empty.
     """
-    small_batches(docs.sparkSession)
     found = docs.withColumn("_found", predictor(model)(F.col(text)))
     return found.withColumn("lang_pred", F.col("_found.lang_pred")).withColumn("score", F.col("_found.score")).drop("_found")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from wardlake.llm.common import small_batches, table
+from wardlake.llm.common import table
 
 RATE, UNIT = 8000, 64
 FRAME, HOP = 256, 128
@@ -43,11 +43,11 @@ def samples(media: bytes) -> bytes:
 
 def spectral_peaks(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Times (in hops) and bins of the strongest bin of each band of each frame, where it is stronger than in the next frame
-    and no weaker than in the one before. The whole payload, some thousand frames at a time."""
+    and no weaker than in the one before. The whole payload, filled with silence to whole frames, some thousand frames at a
+    time."""
     x = np.frombuffer(payload, dtype=np.uint8)
-    if len(x) < FRAME:
-        x = np.pad(x, (0, FRAME - len(x)), constant_values=128)
-    n = 1 + (len(x) - FRAME) // HOP
+    n = 1 + max(0, -(-(len(x) - FRAME) // HOP))
+    x = np.pad(x, (0, (n - 1) * HOP + FRAME - len(x)), constant_values=128)
     frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
     times, tones = [], []
     for i in range(0, n, FRAMES_AT_ONCE):
@@ -101,13 +101,14 @@ def with_media(docs: DataFrame, text: str = "text") -> DataFrame:
     tail_crc32, and the fingerprint as the arrays times and prints, of one length, in order of time).
 
     Every row stays and columns of these names are replaced. Null and empty texts become UNIT zeros. Equal texts get equal
-    values. Each row is worked on alone, a block of frames at a time.
+    values, repeated rows and ids too; an empty table stays empty. Each row is worked on alone, a block of frames at a
+    time, so a very long text takes its own bytes a few times over.
     """
-    small_batches(docs.sparkSession, 500)
     return docs.withColumn("media", wav_of(F.col(text))).withColumn("audio", read_back(F.col("media")))
 
 
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's media facts and fingerprint: a digest of it as feature, and the arrays themselves."""
     made = with_media(table(spark, sf_dir, "documents").select("doc_id", "text"))
     feature = F.concat_ws(":", F.size("audio.prints").cast("string"), F.lower(F.hex(F.xxhash64("audio.times", "audio.prints"))))
     return made.select(
@@ -119,4 +120,6 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         feature.alias("feature"),
+        "audio.times",
+        "audio.prints",
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, held_out, isotonic, labelled_sample, part_of, small_batches, table, worker_state
+from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, held_out, isotonic, labelled_sample, part_of, table, worker_state
 from wardlake.llm.textstats import QUALITY, quality_features
 
 MODULUS, REMAINDER, CUT = 4, 2, 0.7
@@ -63,8 +63,6 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", bound: int
 
     The sample's statistics lie in a few partitions; each adds up its normal equations, and the driver adds those.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
@@ -105,7 +103,6 @@ def with_quality(docs: DataFrame, model: QualityModel | None, text: str = "text"
     Null texts score as empty ones, equal texts score the same, an empty table stays empty; without a model all
     scores are 0.5.
     """
-    small_batches(docs.sparkSession)
     return docs.withColumn(out, scorer(model)(F.col(text)))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, row_key, small_batches, table, worker_state
+from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, looked_up, row_key, table, worker_state
 
 SHINGLE, SEED, THRESHOLD = 4, 42, 4
 #: Rows of one anchor that one task compares; larger anchors are compared in a grid of such blocks.
@@ -128,23 +129,62 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[apart], names[low[apart]]
 
 
-def links_in(group: np.ndarray, fp: np.ndarray, own: np.ndarray, at_once: int = 300_000) -> tuple[np.ndarray, np.ndarray]:
+def tested(group: np.ndarray, fp: np.ndarray, own: np.ndarray, at_once: int = 300_000) -> list[tuple[np.ndarray, np.ndarray]]:
     """Links within groups, sorted by group: every own fingerprint against all of its group, as a forest of each batch."""
     first = np.searchsorted(group, group[own], "left")
     n = np.searchsorted(group, group[own], "right") - first
-    left = fp[own]
+    left, upto = fp[own], np.concatenate([[0], np.cumsum(n)])
     out: list[tuple[np.ndarray, np.ndarray]] = []
     done = 0
     while done < len(left):
-        upto = done + max(1, int(np.searchsorted(np.cumsum(n[done:]), at_once, "right")))
-        m = n[done:upto]
-        x = np.repeat(left[done:upto], m)
-        at = np.arange(len(x)) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[done:upto], m)
+        end = max(done + 1, int(np.searchsorted(upto, upto[done] + at_once, "right")) - 1)
+        m = n[done:end]
+        x = np.repeat(left[done:end], m)
+        at = np.arange(len(x)) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[done:end], m)
         differ = np.bitwise_count((x ^ fp[at]).view(np.uint64))
         near = (differ > 0) & (differ <= THRESHOLD)
         if near.any():
             out.append(forest(x[near], fp[at[near]]))
-        done = upto
+        done = end
+    return out
+
+
+#: How a half of 32 bits is cut to tell apart the rows of a large cell, as (blocks, blocks that must agree): THRESHOLD
+#: differing bits leave at least that many blocks alike.
+CUTS = ((5, 1), (6, 2), (8, 4))
+
+
+def keys_of(word: np.ndarray, blocks: int, alike: int) -> Iterator[np.ndarray]:
+    """For each choice of `alike` blocks of a half, the bits of these blocks."""
+    edges = np.linspace(0, 32, blocks + 1).round().astype(int)
+    masks = [((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    for chosen in combinations(masks, alike):
+        yield word & np.uint64(sum(chosen))
+
+
+def links_in(cell: np.ndarray, fp: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links within cells, sorted by cell; the last bit of a cell's number names the half that its anchor is of.
+
+    A small cell is compared row by row. The rows of a larger one differ in the other half: they are told apart by blocks
+    of it, for every choice of blocks of which one must agree, so that the tests of a cell grow far slower than its square.
+    """
+    edges = np.flatnonzero(np.diff(cell)) + 1
+    bounds = np.concatenate([[0], edges, [len(cell)]])
+    mine = np.concatenate([[0], np.cumsum(own)])
+    tests = np.diff(bounds) * np.diff(mine[bounds])
+    large = np.flatnonzero(tests > 1 << 20)
+    small = np.ones(len(cell), dtype=bool)
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    for k in large:
+        at = slice(bounds[k], bounds[k + 1])
+        small[at] = False
+        word = (fp[at].view(np.uint64) >> np.uint64(0 if cell[bounds[k]] & 1 else 32)) & np.uint64(0xFFFFFFFF)
+        rows = bounds[k + 1] - bounds[k]
+        blocks, alike = min(CUTS, key=lambda c: comb(*c) * (30 * rows + tests[k] / 2 ** (32 * c[1] / c[0])))
+        for key in keys_of(word, blocks, alike):
+            order = np.argsort(key, kind="stable")
+            out += tested(key[order], fp[at][order], own[at][order])
+    out += tested(cell[small], fp[small], own[small])
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return forest(*(np.concatenate(x) for x in zip(*out, strict=True)))
@@ -191,24 +231,27 @@ def links(fingerprints: DataFrame) -> DataFrame:
     down = F.transform(F.sequence(F.lit(0).cast("long"), F.col("side") - 1), lambda k: F.struct((at * F.col("side") + k).alias("cell"), F.lit(True).alias("own")))
     plain = F.array(F.struct(F.lit(0).cast("long").alias("cell"), F.col("own")))
     cells = cut.select("anchor", "fp", F.explode(F.when(F.col("side") == 1, plain).when(F.col("own"), F.concat(across, down)).otherwise(across)).alias("c"))
-    cells = cells.select(F.xxhash64("anchor", "c.cell").alias("cell"), "fp", F.col("c.own").alias("own"))
+    half = F.shiftright("anchor", 30).bitwiseAND(F.lit(1).cast("long"))
+    cells = cells.select(F.shiftleft(F.xxhash64("anchor", "c.cell"), 1).bitwiseOR(half).alias("cell"), "fp", F.col("c.own").alias("own"))
     return cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(compared, "a long, b long")
 
 
 def components(pairs: DataFrame) -> DataFrame:
     """node, root: the smallest node that links a-b reach, for each node that has a link.
 
-    Large-star and small-star steps by turns, each a grouped minimum joined back to the links, until the links are stars.
-    Each step's links are written to the checkpoint folder.
+    Large-star and small-star steps by turns, each a grouped minimum looked up from the links, until the links are stars.
+    Each step's links are written to the checkpoint folder. The links of a node that very many have (the smallest of a large
+    group) stay where they lie: such nodes are few and are broadcast.
     """
     edges = checkpointed(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u != v").distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", "n", F.least("u", "m").alias("m"))
+        large = looked_up(both, checkpointed(low), "u", "m").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = checkpointed(large)
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = looked_up(large, checkpointed(least), "u", "m").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u != v").distinct()
         edges = checkpointed(small)
         new = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first()
         if new == state:
@@ -218,14 +261,15 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def with_components(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
     """doc_id, the columns `more`, fp, root (a fingerprint, one for each component) and component_id for every row."""
-    small_batches(docs.sparkSession)
     prints = checkpointed(docs.select(F.col(doc_id).alias("doc_id"), *more, simhash_of(F.col(text)).alias("fp")))
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     linked = components(links(distinct))
-    named = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct()).join(distinct.withColumnRenamed("fp", "node"), "node")
-    least = named.groupBy("root").agg(F.min("first").alias("component"))
-    component = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(least, "root", "left").select("fp", "root", F.coalesce("component", "first").alias("component_id"))
-    return prints.join(component, "fp")
+    rooted = distinct.join(linked.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = checkpointed(rooted)
+    least = rooted.groupBy("root").agg(F.struct(F.min("first").alias("id")).alias("component"), F.count("*").alias("n"))
+    named = looked_up(rooted.select("root", "fp", F.col("n").alias("rows")), checkpointed(least), "root", "component")
+    found = named.select("fp", F.col("rows").alias("n"), F.struct("root", F.col("component.id").alias("component_id")).alias("of"))
+    return looked_up(prints, checkpointed(found), "fp", "of").select("doc_id", *more, "fp", "of.root", "of.component_id")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -9,13 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from wardlake.llm.common import checkpointed, table
+from wardlake.llm.common import checkpointed, looked_up, table
 
 #: (verdict, rule); a rule is a host and the beginning of a path.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 ORDER = 4
-#: Keys of so large a share of the rows (one in OFTEN) are looked up in a broadcast table, others by a shuffle.
-OFTEN = 1 << 16
 #: Log ratios are whole numbers of 1 / SCALE.
 SCALE = 1 << 32
 #: How many sightings the next shorter context counts as.
@@ -66,19 +64,6 @@ def log_ratios(counted: DataFrame) -> DataFrame:
     return shorter.select("g", "allowed", "blocked", (F.log("p_allowed") - F.log("p_blocked")).alias("ratio"))
 
 
-def looked_up(rows: DataFrame, values: DataFrame, key: str, value: str) -> DataFrame:
-    """rows with the value of their key, the same for null as for other keys; values: key, n (about how many of the rows
-    have it) and value, for each key once.
-
-    Keys with at least one in OFTEN of the rows are OFTEN at most and are broadcast; of all others no task gets many, so
-    they are shuffled.
-    """
-    total = values.agg(F.sum("n")).first()[0] or 0
-    often, seldom = (values.where(c).select(key, value) for c in (F.col("n") * OFTEN >= total, F.col("n") * OFTEN < total))
-    marked = rows.join(F.broadcast(often), key, "left")
-    return marked.where(F.col(value).isNotNull()).unionByName(marked.where(F.col(value).isNull()).drop(value).join(seldom, key))
-
-
 @dataclass
 class UrlModel:
     """ratios: g, n (its sightings), ratio (in units of 1 / SCALE) for every distinct string of characters that was seen;
