@@ -3,27 +3,33 @@
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import small_batches, table
+from wardlake.llm.common import slices, table
 from wardlake.llm.tokens import END_ID, packed_ids, tokenizer_path
 
 WINDOW = 4096
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Open windows that a task keeps; beyond them its fullest one is filled by pieces of its emptiest.
+MOST_OPEN = 2048
+COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+PIECES = ", ".join(f"{c} long" for c in COLUMNS)
 
 
 class Packer:
     """Packs items online. levels[h] counts the open windows with h tokens; an item goes where the sum of the squares
-    of these counts ends smallest. Only open windows keep ids, and close() leaves none half filled."""
+    of these counts ends smallest. used lists the levels that occur, so that only they are looked at. Only open windows
+    keep ids, and close() leaves none half filled."""
 
-    def __init__(self, window: int, first_id: int, most_open: int = 2048):
+    def __init__(self, window: int, first_id: int, most_open: int = MOST_OPEN):
         self.window, self.next_id, self.most_open = window, first_id, most_open
-        self.levels = np.zeros(window + 1, dtype=np.int64)
+        self.levels = [0] * (window + 1)
+        self.used: list[int] = []
         self.open: dict[int, list[list]] = {}  # level -> windows, each a list of pieces (doc, start, ids, tokens of doc)
         self.n_open = 0
         self.rows: list[tuple] = []
@@ -38,17 +44,27 @@ class Packer:
 
     def level_for(self, size: int) -> int:
         """0 for a new window. Moving a window from h to h + size changes the sum by 2 (N[h + size] - N[h] + 1);
-        a full window leaves it, a new one joins it. Ties go to the fuller window."""
-        n = self.levels
-        top = self.window - size
-        change = 2 * (n[size + 1 : self.window + 1] - n[1 : top + 1] + 1)
-        if top > 0:
-            change[-1] = 1 - 2 * n[top]
-            change = np.where(n[1 : top + 1] > 0, change, np.iinfo(np.int64).max)
-            best = top - int(np.argmin(change[::-1]))
-            if change[best - 1] <= 2 * n[size] + 1:
-                return best
-        return 0
+        a full window leaves it, a new one joins it. Ties go to the fuller window, and to an open one."""
+        n, best, least = self.levels, 0, 2 * self.levels[size] + 1
+        for h in self.used[: bisect_right(self.used, self.window - size)]:
+            change = 1 - 2 * n[h] if h + size == self.window else 2 * (n[h + size] - n[h] + 1)
+            if change <= least:
+                best, least = h, change
+        return best
+
+    def put(self, level: int, pieces: list) -> None:
+        if not self.levels[level]:
+            insort(self.used, level)
+        self.open.setdefault(level, []).append(pieces)
+        self.levels[level] += 1
+        self.n_open += 1
+
+    def take(self, level: int) -> list:
+        self.levels[level] -= 1
+        self.n_open -= 1
+        if not self.levels[level]:
+            del self.used[bisect_left(self.used, level)]
+        return self.open[level].pop()
 
     def add(self, doc, ids: bytes) -> None:
         total, start = len(ids) // 4, 0
@@ -59,32 +75,21 @@ class Packer:
         if not size:
             return
         level = self.level_for(size)
-        if level:
-            pieces = self.open[level].pop()
-            self.levels[level] -= 1
-            self.n_open -= 1
-        else:
-            pieces = []
+        pieces = self.take(level) if level else []
         pieces.append((doc, start, ids[4 * start :], total))
         if level + size == self.window:
-            self.emit(pieces)
-            return
-        self.open.setdefault(level + size, []).append(pieces)
-        self.levels[level + size] += 1
-        self.n_open += 1
-        if self.n_open >= self.most_open:
-            self.close()
-
-    def close(self) -> None:
-        """Fills the fullest open windows with pieces of the emptiest, cut where needed; what one last window holds is
-        cut into windows whose lengths are powers of two."""
-        windows = [(level, pieces) for level in sorted(self.open, reverse=True) for pieces in self.open[level]]
-        self.open, self.n_open = {}, 0
-        self.levels[:] = 0
-        i, j = 0, len(windows) - 1
-        while i < j:
-            level, pieces = windows[i]
-            donor = windows[j][1]
+            return self.emit(pieces)
+        self.put(level + size, pieces)
+        if self.n_open > self.most_open:
+            self.fill()
+
+    def fill(self) -> None:
+        """Fills the fullest open window with pieces of the emptiest ones, the last of them cut where needed."""
+        level = self.used[-1]
+        pieces = self.take(level)
+        while level < self.window and self.used:
+            low = self.used[0]
+            donor = self.take(low)
             while level < self.window and donor:
                 doc, start, ids, total = donor.pop()
                 room = self.window - level
@@ -92,31 +97,33 @@ class Packer:
                     donor.append((doc, start + room, ids[4 * room :], total))
                     ids = ids[: 4 * room]
                 pieces.append((doc, start, ids, total))
-                level += len(ids) // 4
-            if level == self.window:
-                self.emit(pieces)
-                i += 1
-            else:
-                windows[i] = (level, pieces)
-            windows[j] = (sum(len(x[2]) for x in donor) // 4, donor)
-            if not donor:
-                j -= 1
-        if i == j and windows[i][1]:
-            pieces = windows[i][1][::-1]
-            left = sum(len(x[2]) for x in pieces) // 4
-            if left == self.window:
-                return self.emit(pieces[::-1])
-            for bit in reversed(range(self.window.bit_length())):
-                if left >> bit & 1:
-                    room, taken = 1 << bit, []
-                    while room:
-                        doc, start, ids, total = pieces.pop()
-                        if len(ids) > 4 * room:
-                            pieces.append((doc, start + room, ids[4 * room :], total))
-                            ids = ids[: 4 * room]
-                        taken.append((doc, start, ids, total))
-                        room -= len(ids) // 4
-                    self.emit(taken)
+                level, low = level + len(ids) // 4, low - len(ids) // 4
+            if donor:
+                self.put(low, donor)
+        if level == self.window:
+            self.emit(pieces)
+        else:
+            self.put(level, pieces)
+
+    def close(self) -> None:
+        """Fills windows until one is left, which is cut into windows whose lengths are powers of two."""
+        while self.n_open > 1:
+            self.fill()
+        if not self.used:
+            return
+        left = self.used[0]
+        pieces = self.take(left)[::-1]
+        for bit in reversed(range(self.window.bit_length())):
+            if left >> bit & 1:
+                room, taken = 1 << bit, []
+                while room:
+                    doc, start, ids, total = pieces.pop()
+                    if len(ids) > 4 * room:
+                        pieces.append((doc, start + room, ids[4 * room :], total))
+                        ids = ids[: 4 * room]
+                    taken.append((doc, start, ids, total))
+                    room -= len(ids) // 4
+                self.emit(taken)
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, path: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -124,35 +131,41 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: in
 
     A document is its text's ids and then end_id; a null or empty text is end_id alone. A document of a window or more
     first fills windows of its own; the rest is placed whole by the sum-of-squares rule. Each task packs its own
-    partition as it reads it, with at most `most_open` open windows, and nothing is shuffled. When a task ends,
-    pieces of its emptiest windows are cut to fill the others, and the last window is cut at powers of two, which need
-    no padding. sequence_id is unique over all tasks and the same when a task is run again. Repeated rows and repeated
-    or null ids are documents of their own.
+    partition as it reads it, with at most MOST_OPEN open windows, and nothing is shuffled. One more than that, and the
+    fullest is filled at once by cutting the emptiest ones, as all are when a task ends; no padding is added by that. The
+    last window is cut at powers of two, which need no padding either. sequence_id is unique over all tasks and the same
+    when a task is run again on the same rows. Repeated rows and repeated or null ids are documents of their own; other
+    columns of docs are left out, whatever their names. An empty table gives no rows. Very long texts are tokenised alone.
     """
-    small_batches(docs.sparkSession)
     path, tail = path or tokenizer_path(), end_id.to_bytes(4, "little")
 
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         ids = packed_ids(path)
         packer = Packer(window, TaskContext.get().partitionId() << 40)
 
-        def out() -> pd.DataFrame:
+        def out() -> pa.RecordBatch:
             rows, packer.rows = packer.rows, []
-            frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-            return frame.astype({"doc_id": "Int64"})
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * len(COLUMNS))], COLUMNS)
 
         for batch in batches:
-            for doc, t in zip(batch["d"], batch["t"], strict=True):
-                packer.add(None if pd.isna(doc) else int(doc), ids.of(t) + tail)
-            if len(packer.rows) >= 5000:
-                yield out()
+            numbers, at = batch.column(0).to_pylist(), 0
+            for part in slices(batch.column(1)):
+                all_ids, ends = ids.of_all(part)
+                begin = 0
+                for doc, end in zip(numbers[at : at + len(part)], ends.tolist(), strict=True):
+                    packer.add(doc, all_ids[begin:end].tobytes() + tail)
+                    begin = end
+                at += len(part)
+                if len(packer.rows) >= 5000:
+                    yield out()
         packer.close()
         yield out()
 
-    return docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t")).mapInPandas(packed, PIECES)
+    return docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t")).mapInArrow(packed, PIECES)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces; null and repeated ids, null and very long texts as in pack()."""
     return pack(table(spark, sf_dir, "documents"))

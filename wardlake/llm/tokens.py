@@ -1,33 +1,35 @@
 """Token ids by a public tokenizer, and the exact length histogram of a corpus.
 
 The tokenizer of this file drops white space and never joins characters across it, so a text's ids are the
-concatenation of the ids of its white-space-separated parts. Each Python worker keeps bounded caches from parts to
-packed ids and asks the tokenizer only for parts it has not seen lately.
+concatenation of the ids of its white-space-separated words. Words are split and numbered for many texts at once, each
+distinct word is looked up once, and the ids are gathered by number. Python workers keep bounded caches and ask the
+tokenizer only for letter runs that they have not seen lately.
 """
 
 from __future__ import annotations
 
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from wardlake.llm.common import checkpointed, small_batches, table, worker_state
+from wardlake.llm.common import checkpointed, slices, table, text_bytes, worker_state
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-#: Words and letter runs that a Python worker keeps, twice over: a run costs more to make.
-WORDS_KEPT, RUNS_KEPT = 150_000, 320_000
+#: Letter runs whose ids a Python worker keeps, twice over.
+RUNS_KEPT = 320_000
 LONGEST_KEPT = 64
 #: Fixed value: how this tokenizer splits text.
 RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-#: Beyond Latin letters, normal forms and case are left to the tokenizer; so are control characters and rare spaces.
-WIDE = regex.compile("[\u0130\u0250-\U0010ffff]")
+#: Control characters and rare spaces: words that hold them are left to the tokenizer.
 ODD = regex.compile("[\x00-\x1f\x7f-\xa0]")
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -64,11 +66,19 @@ def byte_letters() -> str:
     return "".join(chr(b) if b in shown else chr(next(other)) for b in range(256))
 
 
+def wide_texts(texts: pa.Array) -> np.ndarray:
+    """Which texts go to the tokenizer whole: normal forms and case beyond Latin letters (from U+0250 on, and U+0130) are
+    left to it, and so are texts that may hold one of its special tokens."""
+    data, offsets = text_bytes(texts)
+    b, after = data[:-1], data[1:]
+    found = np.flatnonzero((b > 0xC9) | ((b == 0xC9) & (after >= 0x90)) | ((b == 0xC4) & (after == 0xB0)) | ((b == ord("<")) & (after == ord("|"))))
+    return np.searchsorted(found, offsets[1:]) > np.searchsorted(found, offsets[:-1])
+
+
 class PackedIds:
-    """A text's ids as little-endian unsigned 32-bit integers.
+    """Ids of texts as unsigned 32-bit integers.
 
-    Texts of Latin letters take a short way: there lower case and splitting can be done a word at a time, and the words
-    and their letter runs recur. All others go to the tokenizer whole. Both give the same ids.
+    In texts of Latin letters, lower case and splitting can be done a word at a time, and their letter runs recur. All others go to the tokenizer whole. Both give the same ids.
     """
 
     def __init__(self, path: str):
@@ -77,24 +87,59 @@ class PackedIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.runs = Recent(self.of_run, RUNS_KEPT)
-        self.words = Recent(self.of_word, WORDS_KEPT)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def of_run(self, run: str) -> bytes:
-        return array("I", [x.id for x in self.model.tokenize(run.encode().decode("latin-1").translate(self.letters))]).tobytes()
-
-    def of_word(self, word: bytes) -> bytes:
-        text = word.decode()
-        return self.whole(text) if ODD.search(text) else b"".join(map(self.runs.__getitem__, RUNS.findall(text)))
+        shown = run if run.isascii() else run.encode().decode("latin-1").translate(self.letters)
+        return array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
+
+    def of_word(self, word: str) -> bytes:
+        if word.isalpha():
+            return self.runs[word]
+        core = word.rstrip(SIGNS)
+        if core.isalpha():
+            return self.runs[core] + self.runs[word[len(core) :]]
+        return self.whole(word) if ODD.search(word) else b"".join(map(self.runs.__getitem__, RUNS.findall(word)))
+
+    def words_of(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(the ids of each distinct word, the number of the word at each place, where each text's places end). A text that
+        has to be looked at whole counts as one word."""
+        wide = wide_texts(texts)
+        plain = pc.utf8_lower(pc.if_else(pa.array(wide), "", pc.fill_null(texts, ""))) if wide.any() else pc.utf8_lower(pc.fill_null(texts, ""))
+        split = pc.ascii_split_whitespace(plain)
+        coded = split.flatten().dictionary_encode()
+        ids = list(map(self.of_word, coded.dictionary.to_pylist()))
+        number, ends = coded.indices.to_numpy().astype(np.int64), split.offsets.to_numpy()[1:].astype(np.int64) - split.offsets[0].as_py()
+        at = np.flatnonzero(wide)
+        if len(at):  # such a text's only word is the empty one so far
+            number[ends[at] - 1] = len(ids) + np.arange(len(at))
+            ids += [self.whole(texts[int(i)].as_py()) for i in at]
+        return ids, number, ends
+
+    def lengths(self, texts: pa.Array) -> np.ndarray:
+        """How many ids each text has."""
+        if not len(texts):
+            return np.zeros(0, dtype=np.int64)
+        ids, number, ends = self.words_of(texts)
+        upto = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))[number] // 4)])
+        return np.diff(upto[ends], prepend=0)
+
+    def of_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts in turn, where each text's ids end)."""
+        if not len(texts):
+            return np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+        ids, number, ends = self.words_of(texts)
+        pool = np.frombuffer(b"".join(ids), dtype="<u4")
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(length) - length
+        n = length[number]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        return pool[np.arange(upto[-1]) + np.repeat(first[number] - upto[:-1], n)], upto[ends]
 
     def of(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if "<|" in text or not (text.isascii() or not WIDE.search(text)):
-            return self.whole(text)
-        return b"".join(map(self.words.__getitem__, text.lower().encode("utf-8").split()))
+        return self.of_all(pa.array([text], pa.string()))[0].tobytes()
 
 
 def packed_ids(path: str) -> PackedIds:
@@ -103,10 +148,11 @@ def packed_ids(path: str) -> PackedIds:
 
 
 def token_counter(path: str) -> Callable:
-    @F.pandas_udf(LongType())
-    def n_tokens(text: pd.Series) -> pd.Series:
+    @F.arrow_udf("long")
+    def n_tokens(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids = packed_ids(path)
-        return pd.Series([len(ids.of(t)) // 4 for t in text], dtype="int64")
+        for batch in texts:
+            yield pa.array(np.concatenate([np.zeros(0, np.int64), *[ids.lengths(part) for part in slices(batch)]]))
 
     return n_tokens
 
@@ -121,7 +167,6 @@ def length_histogram(docs: DataFrame, text: str = "text", path: str | None = Non
     so that both of their uses below read them there and no text is tokenised twice. The suffix sums run over ranges of
     lengths and then over the ranges' totals, so no task holds all lengths.
     """
-    small_batches(docs.sparkSession)
     counted = docs.select(token_counter(path or tokenizer_path())(F.col(text)).alias("n_tokens"))
     bins = counted.groupBy("n_tokens").agg(F.count("*").alias("documents")).withColumn("tokens", F.col("n_tokens") * F.col("documents"))
     bins = checkpointed(bins.withColumn("span", F.floor(F.log2(F.col("n_tokens") + 1) * 8).cast("int")))
