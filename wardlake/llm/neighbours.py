@@ -4,24 +4,29 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from wardlake.llm.common import checkpointed, small_batches, table
+from wardlake.llm.common import checkpointed, table
 
-TABLES, PROBES, NEAREST = 12, 6, 5
+NEAREST = 5
 #: The share of true neighbours that a plan must find for a sample of at most so many queries; above 0.9, as a sample errs.
 GOAL, SAMPLED = 0.95, 128
-#: How often a plan may multiply the tables and the probes before buckets are doubled instead.
-MORE_TABLES, MORE_PROBES = (1, 4 / 3, 2, 3, 4), (1, 4 / 3, 2, 3, 4, 6, 8, 12)
-#: Rows that a bucket has on average; the number of buckets of a table follows from it.
-BUCKET = 256
-#: Rows of one bucket that one task compares at once; larger buckets are dealt out by a hash.
+#: The numbers of tables and of probes to each that a plan may have; where none of them is enough, buckets are doubled.
+TABLES, PROBES = (2, 3, 4, 6, 8, 12, 16, 24, 36, 48), (4, 6, 8, 12, 18, 24, 36, 48, 72)
+#: Entries that a bucket has on average; the number of buckets of a table follows from it.
+BUCKET = 1024
+#: Entries and queries of one bucket that one task compares at once; larger buckets are cut into a grid of such blocks.
 BLOCK = 20_000
+#: Large buckets that are looked up in a broadcast table; if there are more, they are joined by a shuffle.
+FEW = 50_000
 ROUNDS = 3
 
 
@@ -71,87 +76,119 @@ def buckets(x: np.ndarray, tables: int, probes: int, bits: int, seed: int) -> np
     return out
 
 
-def units(vectors: pd.Series) -> np.ndarray:
-    x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+def matrix(vectors: pa.Array) -> np.ndarray:
+    """Vectors of one length as rows in double precision, each divided by its largest component: no square overflows."""
+    flat = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    x = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+    return x / np.abs(x).max(1, keepdims=True)
+
+
+def units(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def hashed(tables: int, probes: int, bits: int, seed: int):
-    """For mapInPandas: each vector of (lo, h, dim, vector, ids) once for each bucket it is in or looks into."""
+def by_length(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, those with vectors of one length together."""
+    dim = batch.column("dim").to_numpy()
+    for d in np.unique(dim):
+        yield batch.take(pa.array(np.flatnonzero(dim == d)))
+
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def hashed(tables: int, probes: int, bits: int, seed: int, carried: list[str]):
+    """For mapInArrow: tab, bucket, dim and the carried columns of each vector, once for each bucket that it is in or looks
+    into."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for dim, part in b.groupby("dim"):
-                code = buckets(units(part["vector"]), tables, probes, bits, seed)
+            for part in by_length(b):
+                code = buckets(units(matrix(part.column("vector"))), tables, probes, bits, seed)
                 for t in range(tables):
                     for p in range(probes):
-                        first = np.ones(len(part), bool) if p == 0 else (code[:, t, :p] != code[:, t, p : p + 1]).all(1)
-                        yield part[first].assign(tab=t, bucket=code[first, t, p])
+                        at = np.arange(len(part)) if p == 0 else np.flatnonzero((code[:, t, :p] != code[:, t, p : p + 1]).all(1))
+                        own = part if p == 0 else part.take(pa.array(at))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(code[at, t, p]), own.column("dim"), *(own.column(c) for c in carried)], ["tab", "bucket", "dim", *carried])
 
     return rows
 
 
 def rerank(keep: int):
-    """For cogrouped cells: the `keep` nearest vectors of the cell for each query, by exact cosines in double precision."""
-    columns = ["q_lo", "q_h", "score", "ids"]
+    """For cogrouped cells: the `keep` nearest entries of the cell for each query, by exact cosines in double precision."""
+    shape = pa.schema([("q_lo", pa.int64()), ("q_h", pa.int64()), ("score", pa.float64()), ("ids", pa.list_(pa.int64()))])
 
-    def best(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    def best(index: pa.Table, queries: pa.Table) -> pa.Table:
         if not len(index) or not len(queries):
-            return pd.DataFrame(columns=columns)
-        x, q = (np.stack([np.asarray(v, dtype=np.float64) for v in f["vector"]]) for f in (index, queries))
+            return shape.empty_table()
+        x, q = matrix(index["vector"]), matrix(queries["vector"])
         x_norm, q_norm = np.sqrt((x * x).sum(1)), np.sqrt((q * q).sum(1))
-        lo, ids, out = index["lo"].to_numpy(np.int64), index["ids"].to_numpy(), []
+        ids = index["ids"].combine_chunks()
+        lo = ids.flatten().to_numpy()[ids.offsets.to_numpy()[:-1] - ids.offsets[0].as_py()]
+        q_lo, q_h, out = queries["lo"].to_numpy(), queries["h"].to_numpy(), []
         for i in range(0, len(q), 256):
             near = (q[i : i + 256] @ x.T) / x_norm
             cut = np.partition(near, len(x) - keep, axis=1)[:, len(x) - keep, None] if len(x) > keep else np.full((len(near), 1), -np.inf)
-            with np.errstate(invalid="ignore"):
-                k, at = np.nonzero(~np.isfinite(cut) | (near >= cut - 1e-9 * np.abs(cut)))
+            k, at = np.nonzero(~np.isfinite(cut) | (near >= cut - 1e-9 * q_norm[i : i + 256, None]))
             exact = np.concatenate([(x[at[j : j + 8192]] * q[i + k[j : j + 8192]]).sum(1) for j in range(0, len(at), 8192)]) / (x_norm[at] * q_norm[i + k])
             order = np.lexsort((lo[at], -exact, k))
             k, at, exact = k[order], at[order], exact[order]
             top = np.arange(len(k)) - np.searchsorted(k, k, "left") < keep
             k, at, exact = k[top] + i, at[top], exact[top]
-            out.append(pd.DataFrame({"q_lo": queries["lo"].to_numpy()[k], "q_h": queries["h"].to_numpy()[k], "score": exact, "ids": ids[at]}))
-        return pd.concat(out)
+            out.append(pa.Table.from_arrays([pa.array(q_lo[k]), pa.array(q_h[k]), pa.array(exact), ids.take(pa.array(at))], schema=shape))
+        return pa.concat_tables(out)
 
     return best
 
 
-def brute_force(queries: pd.DataFrame, keep: int):
-    """For mapInPandas: of each query (by its place), the `keep` nearest of the part's other vectors of its length."""
+def brute_force(queries: pa.Table, keep: int, itself: bool):
+    """For mapInArrow: of each query (by its place), the `keep` nearest of the part's entries of its length, with or without
+    its own entry."""
+    dims, q_lo, q_h = (queries[c].to_numpy() for c in ("dim", "lo", "h"))
+    own = {d: np.flatnonzero(dims == d) for d in np.unique(dims).tolist()}
+    asked = {d: matrix(queries["vector"].take(pa.array(at))) for d, at in own.items()}
+    names = ["query", "score", "lo", "ids", "vector"]
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = pd.DataFrame({"query": [], "score": [], "lo": [], "h": [], "vector": []})
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = pd.DataFrame({c: [] for c in names})
         for b in batches:
-            for dim, part in b.groupby("dim"):
-                own = np.flatnonzero(queries["dim"] == dim)
-                if not len(own):
+            for part in by_length(b):
+                d = part.column("dim")[0].as_py()
+                if d not in own:
                     continue
-                score = units(queries["vector"].iloc[own]) @ units(part["vector"]).T
-                lo, h = part["lo"].to_numpy(), part["h"].to_numpy()
-                score[(queries["lo"].to_numpy()[own, None] == lo) & (queries["h"].to_numpy()[own, None] == h)] = -np.inf
+                q, x, lo, h = asked[d], matrix(part.column("vector")), part.column("lo").to_numpy(), part.column("h").to_numpy()
+                score = (units(q) @ units(x).T).clip(-1, 1)
+                if not itself:
+                    score[(q_lo[own[d], None] == lo) & (q_h[own[d], None] == h)] = -np.inf
                 at = np.argpartition(-score, min(keep, score.shape[1]) - 1, axis=1)[:, :keep]
-                found = pd.DataFrame({"query": np.repeat(own, at.shape[1]), "score": np.take_along_axis(score, at, 1).ravel(), "lo": lo[at.ravel()], "h": h[at.ravel()], "vector": part["vector"].to_numpy()[at.ravel()]})
-                best = pd.concat([best, found[np.isfinite(found["score"])]]).sort_values(["query", "score", "lo"], ascending=[True, False, True]).groupby("query").head(keep)
-        yield best.astype({"query": "int64", "lo": "int64", "h": "int64"})
+                k, at = np.repeat(np.arange(len(q)), at.shape[1]), at.ravel()
+                fine = np.isfinite(score[k, at])
+                k, at = k[fine], at[fine]
+                exact = (x[at] * q[k]).sum(1) / (np.sqrt((x[at] * x[at]).sum(1)) * np.sqrt((q[k] * q[k]).sum(1)))
+                taken = part.take(pa.array(at))
+                found = pd.DataFrame({"query": own[d][k], "score": exact, "lo": lo[at], "ids": taken.column("ids").to_pylist(), "vector": taken.column("vector").to_pylist()})
+                best = pd.concat([best, found] if len(best) else [found]).sort_values(["query", "score", "lo"], ascending=[True, False, True]).groupby("query").head(keep)
+        yield pa.RecordBatch.from_arrays([pa.array(best[c].tolist(), t) for c, t in zip(names, (pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())), strict=True)], names)
 
     return rows
 
 
-def cheapest(pairs: list[tuple[np.ndarray, np.ndarray]], tables: int, probes: int, bits: int, every: int, seed: int) -> tuple[int, int, int, float]:
+def searched(entries: DataFrame, queries: pa.Table, keep: int, itself: bool) -> DataFrame:
+    """query (its place), ids and vector of the nearest entries, by one pass over all entries."""
+    found = entries.select("lo", "h", "dim", "ids", "vector").mapInArrow(brute_force(queries, keep, itself), "query long, score double, lo long, ids array<long>, vector array<double>")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "lo"))
+    return found.withColumn("place", place).where(F.col("place") <= keep)
+
+
+def cheapest(pairs: list[tuple[np.ndarray, np.ndarray]], bits: int, every: int, seed: int) -> tuple[int, int, int, float]:
     """(tables, probes, bits, recall): of those that find GOAL of the pairs (unit vectors of queries, their neighbours;
-    one entry for each length of vectors) the plan that moves and compares least. `tables` and `probes` are the least.
+    one entry for each length of vectors) the plan that moves least.
 
     Buckets are doubled only where no number of tables and probes allowed is enough; with two buckets all is found."""
-    most_tables, most_probes = (round(n * max(more)) for n, more in ((tables, MORE_TABLES), (probes, MORE_PROBES)))
     while True:
-        asked = [buckets(q, most_tables, most_probes, bits, seed) == buckets(x, most_tables, 1, bits, seed) for q, x in pairs]
-        at = np.concatenate([np.where(hit.any(2), hit.argmax(2), most_probes) for hit in asked]) if asked else np.zeros((0, most_tables))
+        asked = [buckets(q, TABLES[-1], PROBES[-1], bits, seed) == buckets(x, TABLES[-1], 1, bits, seed) for q, x in pairs]
+        at = np.concatenate([np.where(hit.any(2), hit.argmax(2), PROBES[-1]) for hit in asked]) if asked else np.zeros((0, TABLES[-1]))
         plans = []
-        for t in (round(tables * m) for m in MORE_TABLES):
+        for t in TABLES:
             first = at[:, :t].min(1)  # a pair is found with more probes than this
-            for p in (round(probes * m) for m in MORE_PROBES):
-                plans.append((t * (1 + 2 * p / every), t, p, float((first < p).mean()) if len(first) else 1.0))
+            plans += [(t * (1 + 2 * p / every), t, p, float((first < p).mean()) if len(first) else 1.0) for p in PROBES]
         good = [p for p in plans if p[3] >= GOAL]
         if good or bits <= 1:
             _, t, p, recall = min(good) if good else max(plans, key=lambda x: x[3])
@@ -159,64 +196,107 @@ def cheapest(pairs: list[tuple[np.ndarray, np.ndarray]], tables: int, probes: in
         bits -= 1
 
 
-def plan(entries: DataFrame, queries: DataFrame, tables: int, probes: int, bits: int, every: int, nearest: int, seed: int) -> tuple[int, int, int, float]:
+def plan(entries: DataFrame, bits: int, every: int, nearest: int, seed: int) -> tuple[int, int, int, float]:
     """The cheapest plan for a sample of the queries, whose true neighbours one pass over all entries finds."""
-    some = queries.orderBy(F.xxhash64("lo", "h", F.lit(seed)), "lo").limit(SAMPLED).toPandas()
+    some = entries.where("asked").select("lo", "h", "dim", "vector").orderBy(F.xxhash64("lo", "h", F.lit(seed)), "lo").limit(SAMPLED).toArrow()
     if not len(some):
-        return tables, probes, bits, 1.0
-    found = entries.select("lo", "h", "dim", "vector").mapInPandas(brute_force(some, nearest), "query long, score double, lo long, h long, vector array<double>")
-    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "lo"))
-    true = found.withColumn("place", place).where(F.col("place") <= nearest).select("query", "vector").toPandas()  # `nearest` rows a query
+        return TABLES[0], PROBES[0], bits, 1.0
+    true = searched(entries, some, nearest, False).select("query", "vector").toArrow()  # `nearest` rows a query
+    query, dim = true["query"].to_numpy(), some["dim"].to_numpy()
     pairs = []
-    for _, part in true.groupby(some["dim"].to_numpy()[true["query"].to_numpy()]) if len(true) else []:
-        pairs.append((units(some["vector"].iloc[part["query"].to_numpy()]), units(part["vector"])))
-    return cheapest(pairs, tables, probes, bits, every, seed)
+    for d in np.unique(dim):
+        at = np.flatnonzero(dim[query] == d)
+        if len(at):
+            pairs.append((units(matrix(some["vector"].take(pa.array(query[at])))), units(matrix(true["vector"].take(pa.array(at))))))
+    return cheapest(pairs, bits, every, seed)
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """vec_id and vector of the rows that take part, each once: ids that are not null, vectors of finite numbers, not all 0."""
+    """vec_id, vector and its hashes h, h2 of the rows that take part: ids that are not null, vectors of finite numbers, not
+    all 0. Numbers other than floats become doubles; -0.0 is 0.0, so that equal vectors hash alike."""
+    kind = vectors.schema[embedding].dataType
+    single = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
     v = F.col("vector")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    return vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("vector")).where(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & fine).distinct()
-
-
-def nearest(vectors: DataFrame, every: int = 50, vec_id: str = "vec_id", embedding: str = "embedding", nearest: int = NEAREST, tables: int = TABLES, probes: int = PROBES, seed: int = 19) -> DataFrame:
+    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<float>" if single else "array<double>").alias("vector")).where(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & fine)
+    zero = F.lit(0.0).cast("float" if single else "double")
+    return rows.withColumn("vector", F.transform("vector", lambda x: F.when(x == 0, zero).otherwise(x))).withColumns({"h": F.xxhash64("vector"), "h2": F.xxhash64(F.lit(7), "vector")})
+
+
+def distinct_vectors(rows: DataFrame, every: int, keep: int) -> DataFrame:
+    """One entry for each distinct vector (told by 128 bits of hashes): h, vector, dim, ids (its `keep` smallest, in order),
+    lo (the first of them) and asked (whether any of its rows is a query). Vectors move once; copies are cut to `keep` ids
+    and to one vector where they lie, so a vector that very many rows share costs no more than another."""
+    place = F.row_number().over(Window.partitionBy("h", "h2").orderBy("vec_id"))
+    ids = rows.select("vec_id", "h", "h2").distinct().withColumn("place", place).where(F.col("place") <= keep).groupBy("h", "h2").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    one = rows.groupBy("h", "h2").agg(F.first("vector").alias("vector"), F.max(F.col("vec_id") % every == 0).alias("asked"))
+    return checkpointed(one.join(ids, ["h", "h2"]).select("h", "vector", F.size("vector").alias("dim"), "ids", F.col("ids")[0].alias("lo"), "asked"))
+
+
+def with_grid(coded: DataFrame, large: DataFrame | None, few: bool, other: str) -> DataFrame:
+    """coded with cell: tab, bucket, dim and the place in the bucket's grid, once for each block of the other side."""
+    if large is None:
+        return coded.withColumn("cell", F.xxhash64("tab", "bucket", "dim"))
+    own = "down" if other == "across" else "across"
+    joined = coded.join(F.broadcast(large) if few else large, ["tab", "bucket", "dim"], "left")
+    mine = F.pmod(F.xxhash64("lo"), F.coalesce(own, F.lit(1)))
+    dealt = joined.withColumn("mine", mine).withColumn("each", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(other, F.lit(1)) - 1)))
+    at = ("mine", "each") if own == "down" else ("each", "mine")
+    return dealt.withColumn("cell", F.when(F.col("down").isNull(), F.xxhash64("tab", "bucket", "dim")).otherwise(F.xxhash64("tab", "bucket", "dim", *at)))
+
+
+def nearest(vectors: DataFrame, every: int = 50, vec_id: str = "vec_id", embedding: str = "embedding", nearest: int = NEAREST, seed: int = 19) -> DataFrame:
     """query_id, rank, vec_id, score: for the rows whose id is divisible by `every`, the nearest other rows found.
 
     The cosine is taken on the original vectors in double precision; ties go to the smaller id. Rows with null ids take no
-    part, nor do vectors that are null, empty, zero or not finite; repeated rows count once; vectors of other lengths are
-    never compared. Equal vectors are one entry with their smallest ids, which are all that a result can show, so a vector
-    that very many rows share costs no more than another. The entries are dealt out over the buckets of every table;
-    queries go to several buckets of each; a large bucket is split and its queries go to each part.
-
-    `tables` and `probes` are the least: the true neighbours of a bounded sample of the queries, found in one pass over all
-    entries, tell how many more it takes to find GOAL of them in a table of this size.
+    part, nor do vectors that are null, empty, zero or not finite; repeated rows count once; an id with several vectors
+    counts with the nearest of them; vectors of other lengths are never compared; other columns, whatever their names, are
+    left out; an empty table gives no rows. Equal vectors are one entry with their smallest ids, which are all that a
+    result can show. Entries are dealt out over the buckets of every table and queries go to several buckets of each; a
+    large bucket is cut into a grid of entries and queries.
+
+    The true neighbours of a bounded sample of the queries, found in one pass over all entries, tell how many tables and
+    probes it takes to find GOAL of them. Queries whose buckets hold too few entries for a full list are searched among all
+    entries, a block of queries at a time.
     """
-    small_batches(vectors.sparkSession)
     keep = nearest + 1
-    rows = checkpointed(usable(vectors, vec_id, embedding).withColumn("h", F.xxhash64("vector")).withColumn("place", F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))).where((F.col("place") <= keep) | (F.col("vec_id") % every == 0)))
-    entries = rows.where(F.col("place") <= keep).groupBy("vector", "h").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    entries = entries.select(F.col("ids")[0].alias("lo"), "h", F.size("vector").alias("dim"), F.col("vector").cast("array<double>").alias("vector"), "ids")
-    asked = rows.where(F.col("vec_id") % every == 0)
-    firsts = rows.where("place = 1").select("vector", F.col("vec_id").alias("lo"))
-    asking = asked.join(firsts, "vector").select(F.col("vec_id").alias("query_id"), F.col("lo").alias("q_lo"), F.col("h").alias("q_h"), "vector")
-    queries = asking.groupBy("q_lo", "q_h", "vector").agg(F.lit(1)).select(F.col("q_lo").alias("lo"), F.col("q_h").alias("h"), F.size("vector").alias("dim"), F.col("vector").cast("array<double>").alias("vector"))
-    bits = max(1, round(math.log2(max(2.0, rows.where("place = 1").count() / BUCKET))))
-    tables, probes, bits, _ = plan(entries, queries, tables, probes, bits, every, nearest, seed)
-    shape = "lo long, h long, dim int, vector array<double>"
-    index = entries.mapInPandas(hashed(tables, 1, bits, seed), f"{shape}, ids array<long>, tab int, bucket long")
-    looked = queries.mapInPandas(hashed(tables, probes, bits, seed), f"{shape}, tab int, bucket long")
-    large = index.groupBy("tab", "bucket", "dim").count().where(F.col("count") > BLOCK).select("tab", "bucket", "dim", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"))
-    cell = F.xxhash64("tab", "bucket", "dim", "part")
-    dealt = index.join(large, ["tab", "bucket", "dim"], "left").withColumn("part", F.pmod(F.xxhash64("lo", "h"), F.coalesce("parts", F.lit(1))).cast("int"))
-    spread = looked.join(large, ["tab", "bucket", "dim"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)).cast("int") - 1)))
-    found = dealt.select(cell.alias("cell"), "lo", "h", "vector", "ids").groupBy("cell").cogroup(spread.select(cell.alias("cell"), "lo", "h", "vector").groupBy("cell")).applyInPandas(rerank(keep), "q_lo long, q_h long, score double, ids array<long>")
-    one = found.select("q_lo", "q_h", "score", F.explode("ids").alias("vec_id")).groupBy("q_lo", "q_h", "vec_id").agg(F.max("score").alias("score"))
+    rows = usable(vectors, vec_id, embedding)
+    entries = distinct_vectors(rows, every, keep)
+    bits = max(1, round(math.log2(max(2.0, entries.count() / BUCKET))))
+    tables, probes, bits, _ = plan(entries, bits, every, nearest, seed)
+    kind = entries.schema["vector"].dataType.simpleString()
+    queries = entries.where("asked").select("lo", "h", "dim", "vector")
+    index = entries.select("lo", "dim", "ids", "vector").mapInArrow(hashed(tables, 1, bits, seed, ["lo", "ids", "vector"]), f"tab int, bucket long, dim int, lo long, ids array<long>, vector {kind}")
+    looked = queries.mapInArrow(hashed(tables, probes, bits, seed, ["lo", "h", "vector"]), f"tab int, bucket long, dim int, lo long, h long, vector {kind}")
+    sizes = [side.select("dim", "vector").mapInArrow(hashed(tables, p, bits, seed, []), "tab int, bucket long, dim int").withColumns({"x": F.lit(x), "q": F.lit(1 - x)}) for side, p, x in ((entries, 1, 1), (queries, probes, 0))]
+    blocks = reduce(DataFrame.unionByName, sizes).groupBy("tab", "bucket", "dim").agg(*[F.ceil(F.sum(c) / BLOCK).cast("long").alias(name) for c, name in (("x", "down"), ("q", "across"))])
+    large = checkpointed(blocks.where("down > 1 or across > 1 and down > 0").withColumn("across", F.greatest("across", F.lit(1))))
+    n_large = large.count()
+    grid = (large, n_large <= FEW) if n_large else (None, True)
+    left, right = with_grid(index, *grid, "across").select("cell", "ids", "vector"), with_grid(looked, *grid, "down").select("cell", "lo", "h", "vector")
+    shape = "q_lo long, q_h long, score double, ids array<long>"
+    found = checkpointed(left.groupBy("cell").cogroup(right.groupBy("cell")).applyInArrow(rerank(keep), shape).select("q_lo", "q_h", "score", F.explode("ids").alias("vec_id")).repartition("q_lo", "q_h").groupBy("q_lo", "q_h", "vec_id").agg(F.max("score").alias("score")))
+    there = F.broadcast(entries.groupBy("dim").agg(F.sum(F.size("ids")).alias("there")))  # a row for each length of vectors
+    got = found.groupBy("q_lo", "q_h").agg(F.count("*").alias("n"))
+    short = queries.join(got, (F.col("lo") == F.col("q_lo")) & (F.col("h") == F.col("q_h")), "left").join(there, "dim").where(F.coalesce("n", F.lit(0)) < F.least("there", F.lit(keep))).select("lo", "h", "dim", "vector")
+    short = checkpointed(short)
+    parts = -(-short.count() // (8 * SAMPLED))
+    for k in range(parts):
+        some = short.where(F.pmod(F.xxhash64("lo", "h"), F.lit(parts)) == k).toArrow()  # about 8 * SAMPLED queries
+        names = found.sparkSession.createDataFrame(pd.DataFrame({"query": np.arange(len(some)), "q_lo": some["lo"].to_numpy(), "q_h": some["h"].to_numpy()}), "query long, q_lo long, q_h long")
+        more = searched(entries, some, keep, True).join(F.broadcast(names), "query").select("q_lo", "q_h", F.explode("ids").alias("vec_id"), "score")
+        found = found.unionByName(more)
+    if parts:
+        found = found.groupBy("q_lo", "q_h", "vec_id").agg(F.max("score").alias("score"))
     order = (F.desc("score"), F.asc("vec_id"))
-    top = one.withColumn("n", F.row_number().over(Window.partitionBy("q_lo", "q_h").orderBy(*order))).where(F.col("n") <= keep).drop("n")
-    out = asking.drop("vector").join(top, ["q_lo", "q_h"]).where("vec_id != query_id")
-    return out.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "q_lo", "q_h").orderBy(*order))).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
+    top = found.withColumn("n", F.row_number().over(Window.partitionBy("q_lo", "q_h").orderBy(*order))).where(F.col("n") <= keep).drop("n")
+    asking = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("h").alias("q_h"), "h2").distinct().drop("h2")
+    first = queries.select(F.col("lo").alias("q_lo"), F.col("h").alias("q_h"))
+    out = asking.join(first, "q_h").join(top, ["q_lo", "q_h"]).where("vec_id != query_id")
+    best = out.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The neighbours of every row of `embeddings` whose id is divisible by 50, among all rows."""
     return nearest(table(spark, sf_dir, "embeddings"))
