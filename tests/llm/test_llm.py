@@ -8,10 +8,11 @@ from array import array
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.llm import language, media, mixing, neighbours, packing, quality, simhash, tokens, toxicity, urls
+from wardlake.llm import common, language, media, mixing, neighbours, packing, quality, simhash, tokens, toxicity, urls
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -47,9 +48,9 @@ def test_mix_reaches_targets(spark):
 
 def test_mix_of_odd_rows(spark):
     out = mixing.mix(docs_of(spark, ODD))
-    assert out.sized.count() == len(ODD)
+    assert out.stream.count() == len(ODD)
     taken = out.pieces.groupBy("key").agg(F.sum("length").alias("n"))
-    assert {r["key"]: r["n"] for r in taken.collect()} == {r["key"]: r["goal"] for r in out.sources.where("goal > 0").collect()}
+    assert {r["key"]: r["n"] for r in taken.collect()} == {r["key"]: r["goal"] for r in out.stream.where("goal > 0").collect()}
     assert mixing.mixed_documents(spark.createDataFrame([], DOCS)).count() == 0
 
 
@@ -228,7 +229,7 @@ def test_url_scores_use_the_ratio_of_every_string(spark, monkeypatch):
     rng = np.random.default_rng(6)
     names = ["".join(chr(0x4E00 + k) for k in rng.integers(0, 20_000, 400)) for _ in range(400)]  # more distinct strings than 2^17
     rows = [(i, f"http://{('shop.com', 'x.net', 'y.org')[i % 3]}/{('a', 'fr', 'b')[i % 3]}/{n}") for i, n in enumerate(names)] + [(9000, None), (9001, None)]
-    monkeypatch.setattr(urls, "OFTEN", 500)  # both ways of looking up are taken
+    monkeypatch.setattr(common, "OFTEN", 500)  # both ways of looking up are taken
     pages = spark.createDataFrame(rows, "page_id long, url string")
     got = {r["page_id"]: r for r in urls.filtered(pages).collect()}
     counted = defaultdict(lambda: [0, 0])
@@ -286,10 +287,15 @@ def test_rows_with_null_and_repeated_ids_stay(spark):
 
 
 def test_toxic_evidence_of_a_text():
-    for raw in [b"", b"a", b"aa", b"aaa", b"aaaa b", b"abbbcccd   eeee!!!", b"\n\n\n\n"]:
-        assert toxicity.drawn_out(raw) == len(re.findall(rb"([^\x00-\x20])\1{2,}", raw))
+    raw = ["", "a", "aa", "aaa", "aaaa b", "abbbcccd   eeee!!!", "\n\n\n\n", "a", "aa"]
+    drawn = toxicity.drawn_out(*common.text_bytes(pa.array(raw)))
+    assert drawn.tolist() == [len(re.findall(r"([^\x00-\x20])\1{2,}", x)) for x in raw]
+    raw = ["SHUT UP NOW", "", "ABC", "ABc ABCd A1B2C3", " XYZ!", "ab"]
+    assert toxicity.shouted(*common.text_bytes(pa.array(raw))).tolist() == [2, 0, 1, 1, 1, 0]
     tool = toxicity.Toxic(toxicity.Lexicon(frozenset({"bad*"}), (("bad*", 2.0), ("badly", 3.0))))
     assert [tool.weight(w) for w in ("badly", "badge", "ba", "")] == [3.0, 2.0, 0.0, 0.0]
-    x = dict(zip(toxicity.FEATURES, tool.features("Badly badly badge here"), strict=True))
+    x = dict(zip(toxicity.FEATURES, tool.matrix(pa.array(["other", "Badly badly badge here"]))[1], strict=True))
     assert x["evidence"] == pytest.approx(math.log1p(5.0)) and x["strongest"] == 3.0 and x["learned_hits"] == pytest.approx(math.log1p(3))
-    assert len(tool.features(None)) == len(toxicity.FEATURES)
+    x = [dict(zip(toxicity.FEATURES, r, strict=True)) for r in tool.matrix(pa.array([None, "you i d i o t", "b4d.d" + "g" * 40, "an 1d!0t " * 3, "you " + "w " * 9 + "idiot"]))]
+    assert [r["spelled_out"] for r in x] == [0, 1, 0, 0, 0] and [r["hidden_hits"] > 0 for r in x] == [False, True, True, True, False]
+    assert x[4]["insult_hits"] == pytest.approx(math.log1p(1)) and x[4]["hits_near_second_person"] == 0
