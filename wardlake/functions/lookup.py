@@ -28,6 +28,13 @@ def first_hit(text: Column, table: Iterable[tuple[str, Column]]) -> Column:
     return out
 
 
+def first_word(text: Column, table: dict[str, list[str]]) -> Column:
+    """The group of the first word, in the table's order, that the text contains. One pattern tells most texts apart from
+    those with any word; only the latter are asked word by word."""
+    any_ = text.rlike("|".join(w.replace(".", r"\.") for words in table.values() for w in words))
+    return F.when(any_, first_hit(text, [(w, F.lit(group)) for group, words in table.items() for w in words]))
+
+
 def first_match(text: Column, table: Iterable[tuple[str, str]], other: str | None = None) -> Column:
     """The value of the first entry whose pattern the text matches."""
     out = None

@@ -91,6 +91,8 @@ VITAL_RANGES = {
 }
 VITAL_LIMITS = {
     "heart_rate": (0, 300), "respiratory_rate": (0, 100), "systolic_bp": (0, 300), "diastolic_bp": (0, 200), "temperature": (80, 115), "oxygen_saturation": (0, 100),
+    "mean_arterial_pressure": (0, 250), "fio2": (0.21, 1.0), "weight": (0, float("inf")), "height": (0, float("inf")), "bmi": (0, 100), "pain_score": (0, 10),
+    "gcs_total": (3, 15), "gcs_eye": (1, 4), "gcs_verbal": (1, 5), "gcs_motor": (1, 6),
 }
 #: Upper bounds and points, in order; the last bound is open.
 NEWS = {
@@ -110,6 +112,7 @@ MEDICATION_STATUS = {
     "active": "active", "on-hold": "on_hold", "cancelled": "cancelled", "canceled": "cancelled", "completed": "completed", "stopped": "stopped",
     "entered-in-error": "error", "draft": "draft", "unknown": "unknown",
 }
+MEDICATION_LENGTHS = {"medication_name": 500, "route": 50, "frequency": 100, "dose_unit": 30, "status": 30}
 HIGH_ALERT = {
     "anticoagulants": ["warfarin", "heparin", "enoxaparin", "rivaroxaban", "apixaban", "dabigatran"],
     "insulins": ["insulin", "humalog", "novolog", "lantus", "levemir", "tresiba"],

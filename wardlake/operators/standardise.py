@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wardlake.functions import tables as T
 from wardlake.functions.dates import age, age_band, parse_date
-from wardlake.functions.lookup import any_word, filled, first_hit, first_match, mapped, steps
+from wardlake.functions.lookup import any_word, filled, first_hit, first_match, first_word, mapped, steps
 
 
 def errors(*rules: tuple[str, Column]) -> Column:
@@ -24,6 +24,16 @@ def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(F.size("_errors") == 0).drop("_errors"), df.where(F.size("_errors") > 0)
 
 
+def held(df: DataFrame, name: str, kind: str = "string") -> Column:
+    """The column, or nulls of that type where records do not have it."""
+    return F.col(name) if name in df.columns else F.lit(None).cast(kind)
+
+
+def present(df: DataFrame, **columns: Column) -> list[Column]:
+    """Those of the named columns whose field the records have."""
+    return [c.alias(name) for name, c in columns.items() if name in df.columns]
+
+
 def title_name(c: Column) -> Column:
     """Trimmed; title case only where all letters are upper or all lower; every run of letters is capitalised."""
     t = F.trim(c)
@@ -63,24 +73,26 @@ def patients(df: DataFrame, as_of: str, salt: str = "wardlake") -> DataFrame:
         ssn_hash(F.col("ssn"), salt).alias("ssn_hash"),
         years.alias("age"),
         age_band(years).alias("age_group"),
+        *present(df, address_line1=F.col("address_line1") if "address_line1" in df.columns else F.lit(None), country=F.coalesce(filled(held(df, "country")), F.lit("USA"))),
         errors(("patient_id is missing", filled(F.col("patient_id")).isNull())).alias("_errors"),
     )
 
 
 def encounters(df: DataFrame) -> DataFrame:
-    """Reversed stays are turned round; stays in hours and days, flags, and arrival hour and weekday of emergencies."""
+    """Statuses are mapped; reversed stays are turned round; stays in hours and days, flags, and arrival hour and weekday of emergencies."""
     kind = F.lower(filled(F.col("encounter_type")))
     kind = mapped(kind, T.ENCOUNTER_TYPE, kind)
     a, b = F.col("admission_date"), F.col("discharge_date")
     both = a.isNotNull() & b.isNotNull()
     start, end = F.when(both, F.least(a, b)).otherwise(a), F.when(both, F.greatest(a, b)).otherwise(b)
     hours = F.timestamp_diff("SECOND", start, end) / 3600.0
-    er = kind == "emergency"
+    er, status = kind == "emergency", F.lower(filled(held(df, "status")))
     return df.select(
         "encounter_id", "patient_id", kind.alias("encounter_type"), start.alias("admission_date"), end.alias("discharge_date"), "department", "discharge_disposition", "primary_diagnosis_code", "drg_code", "total_charges",
         F.round(hours, 2).alias("los_hours"), F.round(hours / 24, 2).alias("los_days"),
         F.coalesce(kind == "inpatient", F.lit(False)).alias("is_inpatient"), F.coalesce(er, F.lit(False)).alias("is_emergency"), end.isNotNull().alias("is_completed"),
         F.when(er, F.hour(start)).alias("arrival_hour"), F.when(er, F.date_format(start, "EEEE")).alias("arrival_day"),
+        *present(df, status=mapped(status, T.ENCOUNTER_STATUS, status), **{c: held(df, c) for c in ("facility", "location", "attending_provider", "admit_source", "financial_class")}),
         errors(("encounter_id is missing", filled(F.col("encounter_id")).isNull()), ("patient_id is missing", filled(F.col("patient_id")).isNull())).alias("_errors"),
     )
 
@@ -89,9 +101,15 @@ def diagnosis_code(c: Column) -> Column:
     return F.nullif(F.replace(F.upper(F.trim(c)), F.lit("."), F.lit("")), F.lit(""))
 
 
+def code_system(df: DataFrame, aliases: dict[str, str], found: Column) -> Column:
+    """The system that a record names, by its usual name, else the one that its code's form tells."""
+    named = F.upper(filled(held(df, "code_system")))
+    return F.coalesce(mapped(named, aliases, named), found)
+
+
 def diagnoses(df: DataFrame) -> DataFrame:
     code = diagnosis_code(F.col("code"))
-    system = first_match(code, T.DIAGNOSIS_CODES, "UNKNOWN")
+    system = code_system(df, T.DIAGNOSIS_SYSTEM, first_match(code, T.DIAGNOSIS_CODES, "UNKNOWN"))
     icd10, three = system == "ICD-10-CM", F.substring(code, 1, 3)
     kind, poa = F.lower(filled(F.col("diagnosis_type"))), F.upper(filled(F.col("present_on_admission")))
     flags = {"is_diabetes": three.isin("E10", "E11", "E13"), "is_hypertension": three.isin("I10", "I11", "I12", "I13"), "is_chf": three == "I50", "is_copd": three == "J44", "is_ckd": three == "N18", "is_cancer": code.startswith("C")}
@@ -100,22 +118,24 @@ def diagnoses(df: DataFrame) -> DataFrame:
         F.when(icd10, mapped(F.substring(code, 1, 1), T.CHAPTERS)).alias("chapter"), F.when(icd10 & (F.length(code) >= 3), three).alias("category"), F.when(icd10 & (F.length(code) >= 4), F.substring(code, 1, 4)).alias("subcategory"),
         *[F.coalesce(c, F.lit(False)).alias(name) for name, c in flags.items()],
         F.when(F.length(code) > 3, F.concat(three, F.lit("."), F.expr("substring(upper(replace(trim(code), '.', '')), 4)"))).otherwise(code).alias("display_code"),
+        *present(df, onset_date=held(df, "onset_date", "date"), description=F.substring(held(df, "description"), 1, 500)),
         errors(("code is missing", code.isNull()), ("rank is below 1", F.col("rank") < 1)).alias("_errors"),
     )
 
 
 def procedures(df: DataFrame) -> DataFrame:
     code = diagnosis_code(F.col("code"))
-    system = first_match(code, T.PROCEDURE_CODES, "UNKNOWN")
+    system = code_system(df, T.PROCEDURE_SYSTEM, first_match(code, T.PROCEDURE_CODES, "UNKNOWN"))
+    status = F.lower(filled(held(df, "status")))
     cpt = system == "CPT-4"
-    number = F.when(cpt, code.cast("int"))
+    number = F.when(cpt, code.try_cast("int"))
     low, high, name = T.CPT_CATEGORIES[0]
     category = F.when(number.between(low, high), name)
     for low, high, name in T.CPT_CATEGORIES[1:]:
         category = category.when(number.between(low, high), name)
     return df.select(
         "encounter_id", "patient_id", code.alias("code"), system.alias("code_system"), category.alias("category"), F.coalesce(number.between(10000, 69999), F.lit(False)).alias("is_surgical"),
-        F.coalesce(cpt & code.startswith("99"), F.lit(False)).alias("is_em"), "duration_minutes", "performed_date", F.date_format("performed_date", "EEEE").alias("procedure_day"), F.hour("performed_date").alias("procedure_hour"), "charges",
+        F.coalesce(cpt & code.startswith("99"), F.lit(False)).alias("is_em"), "duration_minutes", "performed_date", F.date_format("performed_date", "EEEE").alias("procedure_day"), F.hour("performed_date").alias("procedure_hour"), "charges", *present(df, status=mapped(status, T.PROCEDURE_STATUS, status)),
         errors(("code is missing", code.isNull())).alias("_errors"),
     )
 
@@ -126,12 +146,14 @@ def lab_number(c: Column) -> Column:
 
 
 def labs(df: DataFrame) -> DataFrame:
-    """Missing bounds come from the table of usual ranges; flags are null where nothing is known."""
+    """A record's own bounds stay; missing ones come from the table of usual ranges where there is a number. Flags are null
+    where nothing is known."""
     name, value = F.upper(F.col("test_name")), lab_number(F.col("value"))
     n = F.lit(None).cast("double")
     struct = lambda r: F.struct(*[(n if x is None else F.lit(float(x))).alias(k) for k, x in zip(("low", "high", "critical_low", "critical_high"), r, strict=True)])
     usual = first_hit(name, [(k, struct(r)) for k, r in T.LAB_RANGES.items()])
-    low, high = F.when(value.isNotNull(), usual["low"]), F.when(value.isNotNull(), usual["high"])
+    low, high = (F.coalesce(held(df, f"reference_range_{k}", "double"), F.when(value.isNotNull(), usual[k])) for k in ("low", "high"))
+    status = F.lower(filled(held(df, "status")))
     abnormal = F.when(value.isNull(), None).when(value < low, True).when(value > high, True).when(low.isNotNull() | high.isNotNull(), False)
     critical = F.when(value.isNull() | usual.isNull(), None).when(value < usual["critical_low"], True).when(value > usual["critical_high"], True).otherwise(False)
     delta = F.when(value.isNull(), None).when(value < low, F.round(value - low, 2)).when(value > high, F.round(value - high, 2)).otherwise(0.0)
@@ -141,6 +163,7 @@ def labs(df: DataFrame) -> DataFrame:
         "source_id", "patient_id", "test_name", value.alias("value"), F.when(value.isNull(), F.col("value")).alias("value_string"), low.alias("reference_low"), high.alias("reference_high"),
         mapped(flag, T.INTERPRETATION, F.lower(flag)).alias("interpretation"), abnormal.alias("is_abnormal"), critical.alias("is_critical"), delta.alias("delta"),
         F.coalesce(first_hit(name, words), F.lit("other")).alias("category"), F.col("effective_date"),
+        *present(df, value_unit=held(df, "value_unit"), status=mapped(status, T.LAB_STATUS, status)),
         errors(("source_id is missing", F.col("source_id").isNull())).alias("_errors"),
     )
 
@@ -161,32 +184,49 @@ def bp_class(s: Column, d: Column) -> Column:
 
 
 def vitals(df: DataFrame) -> DataFrame:
+    """Temperatures below 50 are Celsius. A measured mean pressure and a given body mass index stay, others are worked out,
+    in pounds and inches too. A value outside its limits rejects the record."""
     t = F.col("temperature")
     t = F.when(t < 50, F.round(t * 9 / 5 + 32, 1)).otherwise(t)
-    s, d, m = F.col("systolic_bp"), F.col("diastolic_bp"), F.col("height") / 100
+    s, d = F.col("systolic_bp"), F.col("diastolic_bp")
+    own = lambda name: F.nullif(held(df, name, "double"), F.lit(0.0))  # noqa: E731  zero counts as missing
+    unit = lambda name: F.lower(held(df, name))
+    m = F.when(unit("height_unit").isin("in", "inches"), F.col("height") * 0.0254).otherwise(F.col("height") / 100)
+    kilos = F.when(unit("weight_unit").isin("lb", "lbs", "pounds"), F.col("weight") * 0.453592).otherwise(F.col("weight"))
     v = {k: F.col(k) for k in ("heart_rate", "respiratory_rate", "systolic_bp", "diastolic_bp", "oxygen_saturation")} | {"temperature": t}
-    news = news_score({k: v[k] for k in T.NEWS}, filled(F.col("oxygen_device")).isNotNull())
+    news = news_score({k: v[k] for k in T.NEWS}, filled(F.col("oxygen_device")).isNotNull() | F.coalesce(held(df, "fio2", "double") > 0.21, F.lit(False)))
+    if "pain_score" in df.columns:
+        v["pain_score"] = F.col("pain_score")
+    pressure = F.coalesce(own("mean_arterial_pressure"), F.round((F.nullif(s, F.lit(0.0)) + 2 * F.nullif(d, F.lit(0.0))) / 3, 1))
+    bmi = F.coalesce(own("bmi"), F.when((m > 0) & (kilos > 0), F.round(kilos / (m * m), 1)))
+    limited = v | {"mean_arterial_pressure": pressure, "bmi": bmi} | {k: held(df, k, "double") for k in T.VITAL_LIMITS if k not in v and k not in ("mean_arterial_pressure", "bmi")}
     return df.select(
         "source_id", "patient_id", "recorded_date", "heart_rate", "respiratory_rate", "systolic_bp", "diastolic_bp", t.alias("temperature"), "oxygen_saturation",
-        F.round((s + 2 * d) / 3, 1).alias("mean_arterial_pressure"), F.when(m > 0, F.round(F.col("weight") / (m * m), 1)).alias("bmi"),
+        pressure.alias("mean_arterial_pressure"), bmi.alias("bmi"),
         *[vital_status(k, c).alias(f"{k}_status") for k, c in v.items()], news.alias("news_score"),
         F.when(news <= 4, "low").when(news <= 6, "medium").when(news.isNotNull(), "high").alias("news_risk"), bp_class(s, d).alias("bp_class"),
-        errors(*[(f"{k} is out of range", ~v[k].between(*T.VITAL_LIMITS[k])) for k in T.VITAL_LIMITS]).alias("_errors"),
+        errors(*[(f"{k} is out of range", ~limited[k].between(*T.VITAL_LIMITS[k])) for k in T.VITAL_LIMITS]).alias("_errors"),
     )
 
 
 def medications(df: DataFrame, compat: bool = False) -> DataFrame:
-    """Dose from the name, class, alerts and doses a day. With compat, dose patterns are tried in the table's order."""
+    """Status, the dose that the record gives or else its name, class, alerts and doses a day. With compat, dose patterns are tried in the table's order."""
     name, route, often = F.lower(F.col("medication_name")), F.lower(filled(F.col("route"))), F.lower(F.col("frequency"))
     dose = r"(\d+\.?\d*)\s*(mg|g|mcg|ml|unit|units|meq)"
     patterns = list(T.DOSES_A_DAY.items()) if compat else sorted(T.DOSES_A_DAY.items(), key=lambda x: -len(x[0]))
-    flat = lambda t: [(w, F.lit(c)) for c, ws in t.items() for w in ws]
+    alert, drug_class = first_word(name, T.HIGH_ALERT), first_word(name, T.DRUG_CLASSES)
+    status, prn = F.lower(filled(held(df, "status"))), F.lower(F.coalesce(filled(held(df, "prn")), F.col("frequency")))
+    part = lambda k: F.nullif(F.regexp_extract(name, dose, k), F.lit(""))
+    given = F.nullif(F.regexp_extract(held(df, "dose_value"), r"(\d+\.?\d*)", 1).try_cast("double"), F.lit(0.0))
     return df.select(
         "encounter_id", "line", "medication_name", mapped(route, T.ROUTE, route).alias("route"),
-        F.nullif(F.regexp_extract(name, dose, 1), F.lit("")).cast("double").alias("dose_value"), F.nullif(F.regexp_extract(name, dose, 2), F.lit("")).alias("dose_unit"),
-        F.coalesce(often.contains("prn") | often.contains("as needed"), F.lit(False)).alias("is_prn"), first_hit(name, flat(T.DRUG_CLASSES)).alias("drug_class"),
-        first_hit(name, flat(T.HIGH_ALERT)).isNotNull().alias("is_high_alert"), first_hit(name, flat(T.HIGH_ALERT)).alias("high_alert_category"),
+        F.coalesce(given, part(1).cast("double")).alias("dose_value"), F.when(given.isNotNull(), held(df, "dose_unit")).otherwise(F.coalesce(part(2), held(df, "dose_unit"))).alias("dose_unit"),
+        F.coalesce(prn.contains("prn") | prn.contains("as needed"), F.lit(False)).alias("is_prn"), drug_class.alias("drug_class"),
+        alert.isNotNull().alias("is_high_alert"), alert.alias("high_alert_category"),
         any_word(name, T.OPIOIDS).alias("is_opioid"), any_word(name, T.CONTROLLED).alias("is_controlled"), any_word(name, T.ANTICOAGULANTS).alias("is_anticoagulant"),
-        first_hit(often, [(k, F.lit(float(x))) for k, x in patterns]).alias("doses_per_day"), F.datediff("end_date", "start_date").alias("therapy_days"),
-        errors(("medication_name is missing", filled(F.col("medication_name")).isNull())).alias("_errors"),
+        first_hit(often, [(k, F.lit(float(x))) for k, x in patterns]).alias("doses_per_day"), F.datediff("end_date", "start_date").alias("therapy_days"), *present(df, status=mapped(status, T.MEDICATION_STATUS, status)),
+        errors(
+            ("medication_name is missing", filled(F.col("medication_name")).isNull()), *[(f"{c} is below 0", held(df, c, "double") < 0) for c in ("quantity", "refills", "days_supply")],
+            *[(f"{c} is too long", F.length(held(df, c)) > n) for c, n in T.MEDICATION_LENGTHS.items()],
+        ).alias("_errors"),
     )
