@@ -9,13 +9,14 @@ from wardlake.functions.dates import parse_time
 
 _coding = "array<struct<system:string,code:string,display:string>>"
 _concept = f"struct<coding:{_coding},text:string>"
-_ref = "struct<reference:string>"
+_ref = "struct<reference:string,display:string>"
 _range = "array<struct<low:struct<value:double>,high:struct<value:double>>>"
 RESOURCE = (
     "struct<resourceType:string,id:string,status:string,meta:struct<lastUpdated:string>,"
     f"identifier:array<struct<type:{_concept},value:string>>,name:array<struct<family:string,given:array<string>>>,gender:string,birthDate:string,"
     "address:array<struct<line:array<string>,city:string,state:string,postalCode:string,country:string>>,telecom:array<struct<system:string,value:string>>,"
     f"maritalStatus:{_concept},extension:array<struct<url:string,valueString:string,valueCode:string,extension:array<struct<url:string,valueString:string,valueCoding:struct<code:string>>>>>,"
+    f"deceasedBoolean:boolean,deceasedDateTime:string,communication:array<struct<language:{_concept}>>,location:array<struct<location:{_ref}>>,serviceProvider:{_ref},reasonCode:array<{_concept}>,"
     f"class:struct<code:string>,subject:{_ref},encounter:{_ref},period:struct<start:string,end:string>,hospitalization:struct<admitSource:{_concept},dischargeDisposition:{_concept}>,"
     f"code:{_concept},category:array<{_concept}>,clinicalStatus:{_concept},onsetDateTime:string,recordedDate:string,performedDateTime:string,performedPeriod:struct<start:string>,"
     f"valueQuantity:struct<value:double,unit:string>,valueString:string,valueCodeableConcept:{_concept},interpretation:array<{_concept}>,referenceRange:{_range},effectiveDateTime:string,"
@@ -33,9 +34,15 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return resources(spark.read.text(f"{folder}/*.json", wholetext=True))
 
 
-def of_type(r: DataFrame, kind: str, since: str | None = None) -> DataFrame:
+def of_type(r: DataFrame, kind: str, since: str | None = None, ids: list[str] | None = None, patients: list[str] | None = None, encounters: list[str] | None = None, category: str | None = None) -> DataFrame:
+    """Resources of a type: changed since, with one of the ids, of the patients or encounters, of a category."""
     out = r.where(F.col("r.resourceType") == kind)
-    return out if since is None else out.where(parse_time(F.col("r.meta.lastUpdated")) >= F.lit(since).cast("timestamp"))
+    if since is not None:
+        out = out.where(parse_time(F.col("r.meta.lastUpdated")) >= F.lit(since).cast("timestamp"))
+    for wanted, c in ((ids, F.col("r.id")), (patients, reference_id(F.col("r.subject"))), (encounters, reference_id(F.col("r.encounter")))):
+        if wanted is not None:
+            out = out.where(c.isin(*wanted))
+    return out if category is None else out.where(F.exists("r.category", lambda x: F.exists(x["coding"], lambda k: k["code"] == category)))
 
 
 def first_code(concept: Column) -> Column:
@@ -66,15 +73,18 @@ def patients(r: DataFrame) -> DataFrame:
         F.col("r.id").alias("patient_id"), identifier("MR").alias("mrn"), identifier("SS").alias("ssn"), F.array_join(name["given"], " ").alias("first_name"), name["family"].alias("last_name"),
         F.to_date("r.birthDate").alias("date_of_birth"), F.col("r.gender").alias("gender"), F.get(home["line"], F.lit(0)).alias("address_line1"), home["city"].alias("city"), home["state"].alias("state"),
         home["postalCode"].alias("postal_code"), telecom("phone").alias("phone"), telecom("email").alias("email"), first_code(F.col("r.maritalStatus")).alias("marital_status"),
-        extension("http://hl7.org/fhir/us/core/StructureDefinition/us-core-race").alias("race"),
+        extension("http://hl7.org/fhir/us/core/StructureDefinition/us-core-race").alias("race"), extension("http://hl7.org/fhir/us/core/StructureDefinition/us-core-ethnicity").alias("ethnicity"),
+        F.coalesce("r.deceasedBoolean", F.lit(False)).alias("deceased"), F.to_date(parse_time(F.col("r.deceasedDateTime"))).alias("deceased_date"), first_code(F.get("r.communication", F.lit(0))["language"]).alias("language"),
     )
 
 
 def encounters(r: DataFrame) -> DataFrame:
+    place = F.get("r.location", F.lit(0))["location"]
     return of_type(r, "Encounter").select(
         F.col("r.id").alias("encounter_id"), reference_id(F.col("r.subject")).alias("patient_id"), F.col("r.class.code").alias("encounter_type"), F.col("r.status").alias("status"),
         parse_time(F.col("r.period.start")).alias("admission_date"), parse_time(F.col("r.period.end")).alias("discharge_date"),
         first_code(F.col("r.hospitalization.dischargeDisposition")).alias("discharge_disposition"), first_code(F.col("r.hospitalization.admitSource")).alias("admit_source"),
+        place["display"].alias("location"), reference_id(place).alias("location_id"), F.col("r.serviceProvider.display").alias("service_provider"), first_code(F.get("r.reasonCode", F.lit(0))).alias("reason_code"),
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -29,7 +32,8 @@ ALIASES = {
         "effective_date": ["result_date", "collection_date", "test_date"],
     },
 }
-PATTERNS = {"patients": "patient*.csv", "encounters": "encounter*.csv", "diagnoses": "diagnos*.csv", "labs": "lab*.csv"}
+ALIASES["vitals"] = ALIASES["labs"]
+PATTERNS = {"patients": "patient*.csv", "encounters": "encounter*.csv", "diagnoses": "diagnos*.csv", "procedures": "procedure*.csv", "labs": "lab*.csv", "vitals": "vital*.csv", "medications": "medication*.csv"}
 CORRUPT = "_corrupt"
 
 
@@ -37,20 +41,83 @@ def plain(name: str) -> str:
     return "_".join(name.strip().lower().split())
 
 
-def read(spark: SparkSession, folder: str, kind: str, columns: list[str], sep: str = ",", encoding: str = "UTF-8", header: bool = True) -> DataFrame:
-    """All files of a kind with their provenance and, for lines that do not fit, the line in `_corrupt`. No file: no rows."""
-    schema = StructType([StructField(c, StringType()) for c in [*columns, CORRUPT]])
-    spark_path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{PATTERNS[kind]}")
-    found = spark_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark_path)
-    if not found:
-        return spark.createDataFrame([], schema).withColumn("_source_file", F.lit(None).cast("string"))
-    lines = spark.read.schema(schema).options(sep=sep, encoding=encoding, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, nullValue="", enforceSchema=True).csv(f"{folder}/{PATTERNS[kind]}")
-    return lines.withColumn("_source_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+def files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """The paths that a glob finds under a folder; of folders among them, the files in them."""
+    jvm, out = spark._jvm, []
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(path) or []:
+        inside = fs.listStatus(found.getPath()) if found.isDirectory() else [found]
+        out += [f.getPath().toString() for f in inside if f.isFile() and f.getLen() and f.getPath().getName()[0] not in "_."]
+    return sorted(out)
+
+
+def first_line(spark: SparkSession, path: str, skip: int, encoding: str) -> str:
+    """The line after `skip` others: a few KB of the file, compressed or not."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream, codec = at.getFileSystem(conf).open(at), jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec is not None else stream, encoding))
+    try:
+        for _ in range(skip):
+            reader.readLine()
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
+
+
+def header_names(line: str, sep: str) -> list[str]:
+    """Column names of a header line, plain; a name that comes again gets a number."""
+    names = [plain(n) for n in next(csv.reader([line], delimiter=sep), [])]
+    return [n if names[:i].count(n) == 0 else f"{n}_{names[:i].count(n) + 1}" for i, n in enumerate(names)]
+
+
+def read(spark: SparkSession, folder: str, kind: str, columns: list[str] | None = None, sep: str = ",", encoding: str = "UTF-8", header: bool = True, skip_rows: int = 0) -> DataFrame:
+    """All files of a kind, each bound by the names of its own header, with their provenance and, for lines that do not fit
+    it, the line in `_corrupt`. Files with the same header are one scan; a column that some files lack is null there. Without
+    a header all files have `columns`, in order. No file: no rows.
+
+    skip_rows lines before the header are dropped; such files are read whole, one to a task, and a quoted field may not hold
+    a line break there.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in files(spark, folder, PATTERNS[kind]):
+        names = header_names(first_line(spark, path, skip_rows, encoding), sep) if header else [plain(c) for c in columns]
+        groups.setdefault(tuple(names), []).append(path)
+    frames = []
+    for names, paths in sorted(groups.items()):
+        schema = StructType([StructField(c, StringType()) for c in [*names, CORRUPT]])
+        options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "nullValue": ""}
+        if skip_rows:
+            text = spark.read.text(paths, wholetext=True).withColumn("_source_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+            lines = text.select(F.explode(F.slice(F.split("value", "\r?\n"), F.lit(skip_rows + 1 + header), F.lit(2**31 - 1))).alias("line"), "_source_file").where("line != ''")
+            ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
+            frames.append(lines.select(F.from_csv("line", ddl, options).alias("r"), "_source_file").select("r.*", "_source_file"))
+        else:
+            lines = spark.read.schema(schema).options(encoding=encoding, header=header, **options).csv(paths)
+            frames.append(lines.withColumn("_source_file", F.element_at(F.split(F.input_file_name(), "/"), -1)))
+    if not frames:
+        none = StructType([StructField(c, StringType()) for c in [*map(plain, columns or []), CORRUPT, "_source_file"]])
+        frames = [spark.createDataFrame([], none)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).withColumn("_import_timestamp", F.current_timestamp())
+
+
+def preview(spark: SparkSession, path: str, rows: int = 5, sep: str = ",") -> DataFrame:
+    """The first rows of one file, under its own column names."""
+    return spark.read.csv(path, header=True, sep=sep).limit(rows)
+
+
+def arriving(spark: SparkSession, folder: str, kind: str, columns: list[str], archive: str | None = None, sep: str = ",") -> DataFrame:
+    """The files of a kind as a stream, each read once. Consumed ones are moved to the archive folder, if one is given."""
+    reader = spark.readStream.schema(StructType([StructField(c, StringType()) for c in columns])).options(sep=sep, header=True, enforceSchema=False, pathGlobFilter=PATTERNS[kind])
+    if archive:
+        reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
+    return reader.csv(folder)
 
 
 def canonical(df: DataFrame, kind: str, custom: dict[str, str] | None = None) -> DataFrame:
     """The canonical columns that the file has, blank as null. Names are compared without case; several names of one
-    column are coalesced, custom ones (file's name: canonical) first."""
+    column are coalesced, custom ones (file's name: canonical) first. Kinds without names of their own keep all columns."""
     have = {plain(c): c for c in df.columns}
     own: dict[str, list[str]] = {}
     for name, to in (custom or {}).items():
@@ -58,7 +125,9 @@ def canonical(df: DataFrame, kind: str, custom: dict[str, str] | None = None) ->
     for to, names in ALIASES.get(kind, {}).items():
         own.setdefault(to, []).extend(names)
     cols = [F.coalesce(*[F.nullif(F.trim(F.col(f"`{have[n]}`")), F.lit("")) for n in names if n in have]).alias(to) for to, names in own.items() if any(n in have for n in names)]
-    return df.select(*cols, *[c for c in df.columns if c.startswith("_source")])
+    if not own:
+        cols = [F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).alias(n) for n, c in have.items() if not c.startswith("_")]
+    return df.select(*cols, *[c for c in df.columns if c in ("_source_file", "_import_timestamp")])
 
 
 def quarantined(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -22,20 +22,22 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return messages(spark.read.text(f"{folder}/*.hl7", wholetext=True))
 
 
-def quoted(c: Column) -> Column:
-    return F.concat(F.lit("\\Q"), c, F.lit("\\E"))
+#: What the delimiters of a message become, so that all are split by the same ones: of fields, components, repetitions.
+FIELD, COMPONENT, REPETITION = "\x1d", "\x1e", "\x1f"
 
 
 def parsed(raw: DataFrame) -> DataFrame:
-    """raw with segs: segments of fields of repetitions of components. The delimiters are the message's own; MSH-2, which
-    lists them, stays whole."""
-    f, marks = F.substring("raw", 4, 1), F.substring("raw", 5, 4)
-    comp, rep = (F.when(F.substring(marks, k, 1) == "", F.lit(d)).otherwise(F.substring(marks, k, 1)) for k, d in ((1, "^"), (2, "~")))
-    lines = F.filter(F.split(F.regexp_replace("raw", "\r\n|\n", "\r"), "\r"), lambda s: F.length(F.trim(s)) > 0)
-    pieces = lambda x: F.transform(F.split(x, quoted(rep)), lambda r: F.split(r, quoted(comp)))
-    fields = lambda s: F.transform(F.split(s, quoted(f)), lambda x: F.when(x == marks, F.array(F.array(x))).otherwise(pieces(x)))
+    """raw with segs: segments of fields of repetitions of components. The delimiters are the message's own, translated to
+    fixed ones in one go; MSH-2, which lists them, stays whole."""
+    marks = F.substring("raw", 5, 4)
+    comp, rep = (F.when(F.substring(marks, k, 1).isin("", FIELD), F.lit(d)).otherwise(F.substring(marks, k, 1)) for k, d in ((1, "^"), (2, "~")))
+    plain = F.call_function("translate", F.regexp_replace("raw", "\r\n|\n", "\r"), F.concat(F.substring("raw", 4, 1), comp, rep), F.lit(FIELD + COMPONENT + REPETITION))
+    text = raw.withColumns({"_marks": marks, "_text": plain})
+    lines = F.filter(F.split("_text", "\r"), lambda s: F.length(F.trim(s)) > 0)
+    pieces = lambda x: F.transform(F.split(x, REPETITION), lambda r: F.split(r, COMPONENT))
+    fields = lambda s: F.transform(F.split(s, FIELD), lambda x, i: F.when(s.startswith("MSH") & (i == 1), F.array(F.array(F.col("_marks")))).otherwise(pieces(x)))
     # explode, so that the message is split once and not again for every field taken from it
-    return raw.select("*", F.explode(F.array(F.transform(lines, fields))).alias("segs"))
+    return text.select(*raw.columns, F.explode(F.array(F.transform(lines, fields))).alias("segs"))
 
 
 def segment(name: str, n: int = 0) -> Column:
@@ -58,6 +60,12 @@ def headed(df: DataFrame) -> DataFrame:
     return df.withColumns({"sending_app": field(m, 2), "receiving_app": field(m, 4), "message_time": timestamp(field(m, 6)), "message_type": kind, "control_id": field(m, 9)})
 
 
+def changed(df: DataFrame, since: str | None = None, ids: list[str] | None = None) -> DataFrame:
+    """Messages at or after a time, and of the given patients."""
+    out = df if since is None else df.where(F.col("message_time") >= F.lit(since).cast("timestamp"))
+    return out if ids is None else out.where(field(segment("PID"), 3).isin(*ids))
+
+
 def patients(df: DataFrame) -> DataFrame:
     p = segment("PID")
     return df.where(F.col("message_type").startswith("ADT")).select(

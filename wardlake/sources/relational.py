@@ -14,10 +14,11 @@ def read_jdbc(spark: SparkSession, url: str, name: str, split_on: str | None = N
     return reader.load()
 
 
-def read_table(spark: SparkSession, name: str, since: str | None = None, at: str = "updated_at", ids: DataFrame | None = None, id_column: str = "patient_id") -> DataFrame | None:
-    """A catalog table; rows changed since, and rows of the given ids, where it has the columns. None if there is no table."""
+def read_table(spark: SparkSession, name: str, since: str | None = None, at: str = "updated_at", ids: DataFrame | None = None, id_column: str = "patient_id", schema: str = "source_id string") -> DataFrame:
+    """A catalog table; rows changed since, and rows of the given ids, where it has the columns. Without such a table: no
+    rows, with the schema asked for."""
     if not spark.catalog.tableExists(name):
-        return None
+        return spark.createDataFrame([], schema)
     df = spark.table(name)
     if since is not None and at in df.columns:
         df = df.where(F.col(at) >= F.lit(since).cast(dict(df.dtypes)[at]))
@@ -26,6 +27,23 @@ def read_table(spark: SparkSession, name: str, since: str | None = None, at: str
     return df
 
 
+#: SQL of two common hospital systems' tables, as canonical fields.
+MAPPINGS = {
+    "a_patients": "select PAT_ID as source_id, PAT_MRN_ID as mrn, PAT_FIRST_NAME as first_name, PAT_LAST_NAME as last_name, BIRTH_DATE as date_of_birth, SEX_C as gender, ADD_LINE_1 as address_line1, CITY as city, STATE_C as state, ZIP as postal_code, HOME_PHONE as phone, EMAIL_ADDRESS as email, UPDATE_DATE as updated_at from PATIENT where UPDATE_DATE > :since",
+    "a_encounters": "select PAT_ENC_CSN_ID as source_id, PAT_ID as patient_id, ENC_TYPE_C as encounter_type, HOSP_ADMSN_TIME as admission_date, HOSP_DISCH_TIME as discharge_date, DEPARTMENT_ID as location, VISIT_PROV_ID as attending_provider, UPDATE_DATE as updated_at from PAT_ENC where UPDATE_DATE > :since",
+    "b_patients": "select person_id as source_id, alias as mrn, name_first as first_name, name_last as last_name, birth_dt_tm as date_of_birth, sex_cd as gender, street_addr as address_line1, city, state, zipcode as postal_code, phone_num as phone, p.updt_dt_tm as updated_at from PERSON p join PERSON_ALIAS using (person_id) join ADDRESS a on p.person_id = a.parent_entity_id where p.updt_dt_tm > :since and alias_pool_cd = (select code_value from CODE_VALUE where CDF_MEANING = 'MRN')",
+}
+
+
+def mapped_records(spark: SparkSession, name: str, since: str) -> DataFrame:
+    """The records of a known system whose tables are in the catalog, changed after a time."""
+    return spark.sql(MAPPINGS[name], args={"since": since})
+
+
+def tables(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(t.name, t.isTemporary) for t in spark.catalog.listTables()], "name string, temporary boolean")
+
+
 def query(spark: SparkSession, text: str, **parameters: object) -> DataFrame:
     return spark.sql(text, args=parameters)
 
