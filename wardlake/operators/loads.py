@@ -1,13 +1,17 @@
 """Table loads: upserts, history, retention and watermarks over Parquet tables.
 
-Every load is a function from the old table and new rows to the next table; publish() writes that as a new version and
-then moves the pointer, so a path that is being read is never overwritten.
+Every load is a function from the old table and new rows to the next table. publish() writes that to a folder of its own and
+then records it as the table's next version, so a path that is being read is never overwritten; upsert_bucketed() writes only
+the part of a table that a load touches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from uuid import uuid4
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as st
 
 
 def latest(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
@@ -68,20 +72,151 @@ def advance(watermarks: DataFrame, moved: DataFrame) -> DataFrame:
     return watermarks.unionByName(moved).groupBy("source_system", "entity_type").agg(F.max("last_value").alias("last_value"))
 
 
+def marks_of(watermarks: DataFrame, source_system: str | None = None) -> DataFrame:
+    """The marks of a source, or all of them."""
+    return watermarks if source_system is None else watermarks.where(F.col("source_system") == source_system)
+
+
+def reset(watermarks: DataFrame, source_system: str, entity_type: str, to: str) -> DataFrame:
+    """watermarks with one mark set, back as well as on."""
+    at = F.lit(to).cast(watermarks.schema["last_value"].dataType)
+    one = watermarks.sparkSession.range(1).select(F.lit(source_system).alias("source_system"), F.lit(entity_type).alias("entity_type"), at.alias("last_value"))
+    return forgotten(watermarks, source_system, entity_type).unionByName(one)
+
+
+def forgotten(watermarks: DataFrame, source_system: str, entity_type: str) -> DataFrame:
+    return watermarks.where(~((F.col("source_system") == source_system) & (F.col("entity_type") == entity_type)))
+
+
+def fitted(rows: DataFrame, schema: st.StructType) -> DataFrame:
+    """rows in the columns and types of a table: unknown columns go, missing ones are null."""
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def append(rows: DataFrame, path: str, schema: st.StructType) -> int:
+    """Appends the fitted rows to the Parquet table at path and returns how many they were."""
+    seen = Observation()
+    fitted(rows, schema).observe(seen, F.count("*").alias("rows")).write.mode("append").parquet(path)
+    return seen.get["rows"]
+
+
+def create(spark: SparkSession, path: str, schema: st.StructType) -> None:
+    """An empty table of that schema, in place of what is there: also how a table is truncated."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """The numbers of the versions that root/_versions records, in order."""
+    at, fs = _files(spark, f"{root}/_versions")
+    return sorted(int(f.getPath().getName()) for f in fs.listStatus(at) if f.getPath().getName().isdigit()) if fs.exists(at) else []
+
+
+def _record(spark: SparkSession, root: str, paths: list[str], after: int | None) -> bool:
+    """Records paths as the version after `after`; False if another writer was first. The list is written aside and then
+    renamed, so a version is there whole or not at all."""
+    aside, fs = _files(spark, f"{root}/_versions/.{uuid4().hex}")
+    out = fs.create(aside)
+    out.write(bytearray("\n".join(paths).encode()))
+    out.close()
+    to, _ = _files(spark, f"{root}/_versions/{0 if after is None else after + 1:09d}")
+    if not fs.exists(to) and fs.rename(aside, to):
+        return True
+    fs.delete(aside, False)
+    return False
+
+
+def parts(spark: SparkSession, root: str) -> tuple[int | None, list[str]]:
+    """(the newest version's number, the folders that it consists of)."""
+    known = _versions(spark, root)
+    if not known:
+        return None, []
+    return known[-1], [r["value"] for r in spark.read.text(f"{root}/_versions/{known[-1]:09d}").collect()]  # a line a folder
+
+
 def publish(df: DataFrame, root: str) -> str:
-    """Writes df as the next version under root and records it in root/_versions; returns the version's path."""
+    """Writes df to a folder of its own under root and records it in root/_versions as the table's next version; returns
+    the folder. A write that fails leaves a folder that no version names. Of writers at once the last one recorded is current."""
+    spark, path = df.sparkSession, f"{root}/data/{uuid4().hex}"
+    df.write.parquet(path)
+    while not _record(spark, root, [path], parts(spark, root)[0]):
+        pass
+    return path
+
+
+def current(spark: SparkSession, root: str, schema: st.StructType | None = None) -> DataFrame:
+    """The newest version under root; without one, no rows of the given schema."""
+    paths = parts(spark, root)[1]
+    if not paths and schema is not None:
+        return spark.createDataFrame([], schema)
+    if not paths:
+        raise FileNotFoundError(f"no version under {root}")
+    return spark.read.parquet(*paths)
+
+
+BUCKET = "_bucket"
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def create_bucketed(df: DataFrame, root: str, keys: list[str], buckets: int = 64) -> None:
+    """Publishes df as a table of one folder for each bucket of its keys, so that a load can replace some of them."""
+    path = f"{root}/data/{uuid4().hex}"
+    df.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
     spark = df.sparkSession
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    n = 0
-    while fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v{n:06d}")):
-        n += 1
-    df.write.parquet(f"{root}/v{n:06d}")
-    return f"{root}/v{n:06d}"
-
-
-def current(spark: SparkSession, root: str) -> DataFrame:
-    """The newest complete version under root."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v*/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return spark.read.parquet(str(found[len(found) - 1].getPath().getParent()))
+    if not _record(spark, root, [path_of for _, path_of in sorted(_buckets(spark, [path]).items())], parts(spark, root)[0]):
+        raise RuntimeError(f"another writer changed {root}")
+
+
+def _buckets(spark: SparkSession, paths: list[str]) -> dict[int, str]:
+    out = {}
+    for path in paths:
+        at, fs = _files(spark, path)
+        found = [at] if at.getName().startswith(f"{BUCKET}=") else [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith(f"{BUCKET}=")]
+        out |= {int(p.getName().split("=")[1]): p.toString() for p in found}
+    return out
+
+
+def upsert_bucketed(updates: DataFrame, root: str, keys: list[str], by: str, buckets: int = 64) -> list[int]:
+    """Upserts into a table of create_bucketed: only the buckets that the updates' keys fall in are read and written again,
+    the others stay as they are; returns the buckets written. The new version names old and new folders, so readers see all
+    of the load or none. updates may hold columns that the table lacks; they go. Another load in between is an error."""
+    spark = updates.sparkSession
+    version, paths = parts(spark, root)
+    have = _buckets(spark, paths)
+    new = updates.withColumn(BUCKET, bucket_of(keys, buckets))
+    touched = sorted(r[BUCKET] for r in new.select(BUCKET).distinct().collect())  # `buckets` rows at most
+    old = [have[b] for b in touched if b in have]
+    if not touched:
+        return []
+    base = spark.read.parquet(*(old or list(have.values())))
+    base = base if old else base.limit(0)
+    rows = upsert(base, fitted(latest(updates, keys, by), base.schema).withColumn("_by", F.lit(1)), keys, "_by")
+    path = f"{root}/data/{uuid4().hex}"
+    rows.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
+    have |= _buckets(spark, [path])
+    if not _record(spark, root, [p for _, p in sorted(have.items())], version):
+        raise RuntimeError(f"another writer changed {root}")
+    return touched
+
+
+def incremental_load(rows: DataFrame, root: str, marks_root: str, source_system: str, entity_type: str, keys: list[str], times: list[str], lookback_hours: int = 2) -> dict[str, int]:
+    """One incremental load: rows from the mark on (less the lookback) are upserted into the table at root by their latest
+    event time, and then the mark moves to it. If the load fails the mark stays, and running it again does no harm."""
+    spark = rows.sparkSession
+    marks = current(spark, marks_root, st.StructType([st.StructField("source_system", st.StringType()), st.StructField("entity_type", st.StringType()), st.StructField("last_value", st.TimestampNTZType())]))
+    mine = marks.where((F.col("source_system") == source_system) & (F.col("entity_type") == entity_type)).agg(F.max("last_value").cast("string")).first()[0]
+    fresh = since(rows.withColumn("_at", event_time(*times)), F.col("_at"), mine, lookback_hours)
+    moved = fresh.agg(F.count("*").alias("rows"), F.max("_at").cast("timestamp_ntz").alias("last_value")).first()
+    if not moved["rows"]:
+        return {"rows": 0}
+    publish(upsert(current(spark, root, rows.schema), fresh, keys, "_at"), root)
+    step = spark.createDataFrame([(source_system, entity_type, moved["last_value"])], marks.schema)
+    publish(advance(marks, step), marks_root)
+    return {"rows": moved["rows"]}
