@@ -44,11 +44,13 @@ def ed_daily(enc: DataFrame) -> DataFrame:
 
 def next_admission(enc: DataFrame) -> DataFrame:
     """enc with the patient's first admission after the discharge. Admissions and discharges are put in one order for each
-    patient and the next admission is carried back, so no stay is joined with another."""
+    patient and the next admission is carried back, so no stay is joined with another. Stays without a patient have none:
+    they are spread by their own ids."""
     event = lambda at, kind: F.struct(at.alias("at"), F.lit(kind).alias("kind"))
     events = enc.withColumn("e", F.explode(F.array(event(F.col("discharge_date"), 1), event(F.col("admission_date"), 0))))
-    back = Window.partitionBy("patient_id").orderBy(F.col("e.at").desc_nulls_first(), F.col("e.kind").desc(), "encounter_id").rowsBetween(Window.unboundedPreceding, 0)
-    marked = events.withColumn("next_admission", F.last(F.when(F.col("e.kind") == 0, F.col("e.at")), True).over(back))
+    who = F.coalesce(F.col("patient_id").cast("string"), F.concat(F.lit("-"), F.col("encounter_id").cast("string")))
+    back = Window.partitionBy(who).orderBy(F.col("e.at").desc_nulls_first(), F.col("e.kind").desc(), "encounter_id").rowsBetween(Window.unboundedPreceding, 0)
+    marked = events.withColumn("next_admission", F.when(F.col("patient_id").isNotNull(), F.last(F.when(F.col("e.kind") == 0, F.col("e.at")), True).over(back)))
     return marked.where("e.kind = 1").select(*enc.columns, "next_admission")
 
 

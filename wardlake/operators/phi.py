@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as st
@@ -9,31 +11,44 @@ from pyspark.sql import types as st
 from wardlake.functions import tables as T
 
 REDACTED = "[REDACTED]"
+#: What every text with information of a kind holds, as a pattern that is cheap to look for.
+NEEDS = {
+    "ssn": r"\d{4}", "phone": r"\d{4}", "email": "@", "date_of_birth": r"\d[-/]|[:=]", "mrn": r"\d{6}|(?i)mrn|(?i)record", "credit_card": r"\d{4}", "ip_address": r"\d\.\d", "license_number": "(?i)license|(?i)dl|(?i)driver",
+}
 
 
 def has_kind(c: Column, kind: str) -> Column:
-    """Whether the text holds information of that kind; alternatives are one pattern, in either case."""
-    return F.coalesce(c.rlike("(?i)" + "|".join(f"(?:{p})" for p in T.PHI_PATTERNS[kind])), F.lit(False))
+    """Whether the text holds information of that kind; alternatives are one pattern, in either case. No pattern fits a text
+    without the sign that NEEDS names, so most texts are told apart by that alone."""
+    return F.coalesce(c.rlike(NEEDS[kind]) & c.rlike("(?i)" + "|".join(f"(?:{p})" for p in T.PHI_PATTERNS[kind])), F.lit(False))
 
 
 def preview(c: Column) -> Column:
     return F.concat(F.substring(c, 1, 4), F.repeat(F.lit("*"), F.greatest(F.length(c) - 4, F.lit(0))))
 
 
+def of_field(name: str) -> Callable[[Column], Column]:
+    return lambda x: x[name]
+
+
 def text_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> dict[str, Column]:
-    """Each text in the schema by its path; texts in arrays are joined, structs are walked."""
+    """Each text in the schema by its path: structs are walked, and arrays and the values of maps too, whose texts are
+    joined line by line."""
     out: dict[str, Column] = {}
 
-    def walk(kind: st.DataType, at: Column, path: str) -> None:
+    def walk(kind: st.DataType, at: Column, path: str, depth: int = 0) -> None:
+        """at: a value, or, inside arrays (depth > 0), an array of values."""
         if path in exclude:
             return
         if isinstance(kind, st.StringType):
-            out[path] = at
+            out[path] = F.array_join(at, "\n") if depth else at
         elif isinstance(kind, st.StructType):
             for f in kind.fields:
-                walk(f.dataType, at[f.name], f"{path}.{f.name}")
-        elif isinstance(kind, st.ArrayType) and isinstance(kind.elementType, st.StringType):
-            out[path] = F.array_join(at, "\n")
+                walk(f.dataType, F.transform(at, of_field(f.name)) if depth else at[f.name], f"{path}.{f.name}", depth=depth)
+        elif isinstance(kind, st.ArrayType):
+            walk(kind.elementType, F.flatten(F.filter(at, lambda x: x.isNotNull())) if depth else at, path, depth=1)
+        elif isinstance(kind, st.MapType):
+            walk(st.ArrayType(kind.valueType), F.transform(at, lambda m: F.map_values(m)) if depth else F.map_values(at), path, depth=depth)
 
     for f in df.schema.fields:
         walk(f.dataType, F.col(f"`{f.name}`"), f.name)
@@ -67,6 +82,36 @@ def scan_summary(df: DataFrame, key: str, exclude: tuple[str, ...] = ()) -> Data
     return scan(df, key, exclude).groupBy("kind", "field").agg(F.count("*").alias("findings"), F.countDistinct(key).alias("records"))
 
 
+def batch_summary(df: DataFrame, key: str, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """One row: records scanned, those with findings, their share in percent, and all findings."""
+    scanned = df.agg(F.count("*").alias("n"))
+    found = scan(df, key, exclude).agg(F.countDistinct(key).alias("records_with_findings"), F.count("*").alias("findings"))
+    out = found.select(scanned.scalar().alias("records_scanned"), "records_with_findings", "findings")
+    return out.withColumn("rate_pct", F.round(F.col("records_with_findings") / F.nullif("records_scanned", F.lit(0)) * 100, 2))
+
+
+#: Fields that are never logged.
+SENSITIVE = ("ssn", "social_security", "mrn", "medical_record_number", "patient_id", "dob", "date_of_birth", "phone", "email", "address", "name", "patient_name", "first_name", "last_name")
+
+
+def redacted_by_name(df: DataFrame, names: tuple[str, ...] = SENSITIVE) -> DataFrame:
+    """df in which every text, number or date in a field of one of the names is replaced, at any depth: structs are rebuilt,
+    items of arrays take their array's name, values of maps their keys'."""
+
+    def clean(kind: st.DataType, at: Column, name: str) -> Column:
+        if isinstance(kind, st.StructType):
+            return F.when(at.isNotNull(), F.struct(*[clean(f.dataType, at[f.name], f.name).alias(f.name) for f in kind.fields]))
+        if isinstance(kind, st.ArrayType):
+            return F.transform(at, lambda x: clean(kind.elementType, x, name))
+        if isinstance(kind, st.MapType) and isinstance(kind.keyType, st.StringType) and isinstance(kind.valueType, st.StringType):
+            return F.transform_values(at, lambda k, v: F.when(F.lower(k).isin(*names), REDACTED).otherwise(v))
+        if name.lower() in names:
+            return F.lit(REDACTED)
+        return at
+
+    return df.select(*[clean(f.dataType, F.col(f"`{f.name}`"), f.name).alias(f.name) for f in df.schema.fields])
+
+
 def redacted(df: DataFrame, columns: list[str]) -> DataFrame:
     """df with every pattern's matches in the columns replaced."""
     pattern = "(?i)" + "|".join(f"(?:{p})" for ps in T.PHI_PATTERNS.values() for p in ps)

@@ -84,3 +84,40 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
 def npi_valid(npi: Column) -> Column:
     """Ten digits whose Luhn sum, after the fixed prefix 80840, fits."""
     return F.coalesce(npi.rlike(r"^\d{10}$") & F.call_function("luhn_check", F.concat(F.lit("80840"), npi)), F.lit(False))
+
+
+def dotted_icd10(code: Column) -> Column:
+    """A letter, two digits and, after a dot, up to four letters or digits."""
+    return F.coalesce(code.rlike(r"^[A-Z][0-9]{2}(\.[0-9A-Z]{0,4})?$"), F.lit(False))
+
+
+def not_deprecated(code: Column, deprecated: list[str]) -> Column:
+    return ~F.coalesce(code.isin(*deprecated), F.lit(False)) if deprecated else F.lit(True)
+
+
+def future_admissions(encounters: DataFrame, as_of: str) -> DataFrame:
+    """Admissions more than a day ahead."""
+    return encounters.agg(F.count_if(F.col("admission_date") > F.lit(as_of).cast("timestamp_ntz") + F.make_interval(days=F.lit(1))).alias("future"))
+
+
+def encounter_checks(encounters: DataFrame, as_of: str, created: str = "created_at") -> DataFrame:
+    """Missing admissions, types and patients among the rows of the last day."""
+    recent = encounters.where(F.col(created) >= F.date_sub(F.lit(as_of).cast("date"), 1))
+    return missing_counts(recent, ["admission_date", "encounter_type", "patient_id"])
+
+
+def issues(encounters: DataFrame, patients: DataFrame, diagnoses: DataFrame, as_of: str, created: str = "created_at") -> DataFrame:
+    """check, count, severity: one row for each table check that finds something."""
+    one = lambda name, severity, df, c: df.select(F.lit(name).alias("check"), F.col(c).cast("long").alias("count"), F.lit(severity).alias("severity"))
+    missing = encounter_checks(encounters, as_of, created)
+    found = [
+        one("orphaned_encounters", "warning", orphans(encounters, patients, "patient_id"), "orphans"),
+        one("required_fields_encounters", "error", missing.select(sum((F.col(c) for c in missing.columns), F.lit(0)).alias("n")), "n"),
+        one("duplicate_mrns", "warning", duplicates(patients, "mrn").agg(F.count("*").alias("n")), "n"),
+        one("future_dates", "warning", future_admissions(encounters, as_of), "future"),
+        one("invalid_icd_codes", "warning", diagnoses.agg(F.count_if(F.col("code").isNotNull() & ~dotted_icd10(F.col("code"))).alias("n")), "n"),
+    ]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.where("count > 0")

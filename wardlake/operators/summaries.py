@@ -18,13 +18,10 @@ def readmission_flags(enc: DataFrame, days: int = 30) -> DataFrame:
     return enc.withColumn("days_since_discharge", gap).withColumn("is_readmission", F.coalesce((F.col("days_since_discharge") > 0) & (F.col("days_since_discharge") <= days), F.lit(False)))
 
 
-def upper_median(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    """keys and the upper median of value: the middle row, or the upper of the two. Values are counted first, so a group
-    of any size is a few distinct values to sort."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-    ranked = counts.withColumn("upto", F.sum("n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum("n").over(w))
-    return ranked.where("upto > floor(all / 2)").groupBy(*keys).agg(F.min(value).alias(f"median_{value}"))
+def upper_median(value: str) -> Column:
+    """The upper median as an aggregate: the middle value, or the upper of the two. Distinct values are counted, so a group
+    of any size takes as much memory as it has different values."""
+    return -F.expr(f"percentile_disc(0.5) within group (order by -({value}))")
 
 
 def ed_summary(enc: DataFrame) -> DataFrame:
@@ -32,11 +29,11 @@ def ed_summary(enc: DataFrame) -> DataFrame:
     done = enc.where("is_emergency and is_completed")
     hours = F.when(F.col("los_hours") > 0, F.col("los_hours"))
     how = F.col("discharge_disposition")
-    one = done.agg(
+    return done.agg(
         F.count("*").alias("total_visits"), F.avg(hours).alias("avg_los_hours"), F.min(hours).alias("min_los_hours"), F.max(hours).alias("max_los_hours"),
         F.count_if(how == "admitted").alias("admitted"), F.count_if(how.isin("discharged", "home")).alias("discharged"), F.count_if(how.isin("ama", "left_ama")).alias("left_ama"),
+        upper_median("if(los_hours > 0, los_hours, null)").alias("median_los_hours"),
     )
-    return one.join(upper_median(done.where("los_hours > 0"), "los_hours", []), how="left")
 
 
 def ed_counts(enc: DataFrame, by: str) -> DataFrame:
@@ -45,8 +42,9 @@ def ed_counts(enc: DataFrame, by: str) -> DataFrame:
 
 def charlson(diagnoses: DataFrame, ages: DataFrame) -> DataFrame:
     """patient_id, one 0/1 column for each condition, the index and the age-adjusted index. One pass: the maximum of each
-    condition over a patient's codes."""
-    conditions = diagnoses.groupBy("patient_id").agg(*[F.max(F.col("code").rlike(p).cast("int")).alias(name) for name, (_, p) in T.CHARLSON.items()])
+    condition over a patient's distinct codes, so a code is matched once for each patient who has it."""
+    codes = diagnoses.select("patient_id", "code").distinct()
+    conditions = codes.groupBy("patient_id").agg(*[F.max(F.col("code").rlike(p).cast("int")).alias(name) for name, (_, p) in T.CHARLSON.items()])
     score = sum((F.col(name) * w for name, (w, _) in T.CHARLSON.items()), F.lit(0))
     points = F.when(F.col("age") >= 50, F.floor((F.col("age") - 40) / 10)).otherwise(0)
     out = conditions.withColumn("charlson_index", score).join(ages.select("patient_id", "age"), "patient_id", "left")
@@ -62,9 +60,9 @@ def or_daily(procs: DataFrame, hours: float = 10.0) -> DataFrame:
 def or_utilisation(procs: DataFrame, hours: float = 10.0) -> DataFrame:
     """One row: cases, minutes, mean, upper median, range, operating days and the mean of the days' utilisation."""
     cases = procs.where("is_surgical and duration_minutes is not null")
-    one = cases.agg(F.count("*").alias("total_cases"), F.sum("duration_minutes").alias("total_minutes"), F.avg("duration_minutes").alias("avg_minutes"), F.min("duration_minutes").alias("min_minutes"), F.max("duration_minutes").alias("max_minutes"))
-    of_days = or_daily(procs, hours).agg(F.count("*").alias("operating_days"), F.avg("utilisation_pct").alias("avg_utilisation_pct"))
-    return one.join(upper_median(cases, "duration_minutes", []), how="left").join(of_days, how="left")
+    one = cases.agg(F.count("*").alias("total_cases"), F.sum("duration_minutes").alias("total_minutes"), F.avg("duration_minutes").alias("avg_minutes"), F.min("duration_minutes").alias("min_minutes"), F.max("duration_minutes").alias("max_minutes"), upper_median("duration_minutes").alias("median_duration_minutes"))
+    days = or_daily(procs, hours)
+    return one.select("*", days.agg(F.count("*").alias("n")).scalar().alias("operating_days"), days.agg(F.avg("utilisation_pct").alias("a")).scalar().alias("avg_utilisation_pct"))
 
 
 def vital_trend(vitals: DataFrame, name: str) -> DataFrame:

@@ -60,7 +60,8 @@ def census_by_weekday(census: DataFrame, as_of: str) -> DataFrame:
 
 def inpatients_by_unit(stays: DataFrame, as_of: str) -> DataFrame:
     """Distinct stays that are open at as_of, by place. Stays are counted by place, whose attributes are part of the key."""
-    here = stays.where(F.col("discharge_date").isNull() | (F.col("discharge_date") > F.lit(as_of).cast("timestamp_ntz")))
+    now = F.lit(as_of).cast("timestamp_ntz")
+    here = stays.where((F.col("admission_date") <= now) & (F.col("discharge_date").isNull() | (F.col("discharge_date") > now)))
     out = here.groupBy("unit", "location_type", "service_line", "operational_beds").agg(F.countDistinct("encounter_id").alias("active_encounters"))
     return out.withColumn("occupancy_pct", F.round(F.col("active_encounters") / F.nullif("operational_beds", F.lit(0)) * 100, 1)).orderBy("unit")
 
