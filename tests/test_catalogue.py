@@ -3,7 +3,8 @@
 import pytest
 from oracle_check import difference
 
-from wardlake.plans.dashboards import ORACLE_SQL, QUERIES
+from wardlake.plans import dashboards, intake  # noqa: F401
+from wardlake.plans.catalogue import ORACLE_SQL, QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -98,7 +98,7 @@ def test_hl7_observations(spark):
 def test_tables(spark):
     spark.createDataFrame([(1, "2024-01-01"), (2, "2024-02-01")], "patient_id int, updated_at string").createOrReplaceTempView("people")
     assert relational.read_table(spark, "people", since="2024-01-15").count() == 1
-    assert relational.read_table(spark, "nowhere") is None
+    assert relational.read_table(spark, "nowhere").count() == 0
     assert relational.query(spark, "select * from people where patient_id = :id", id=2).count() == 1
 
 

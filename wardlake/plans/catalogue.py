@@ -384,9 +384,12 @@ def phi_summary(spark, sf_dir):
     return phi.scan_summary(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
-@query(_phi.replace("documents", "conversations").replace("doc_id", "conv_id, turn"))
+_SAID = "concat(text, case conv_id % 6 when 0 then ' SSN: 123456789' when 1 then ' call (555) 123-4567' when 2 then ' a.b@example.org' when 3 then ' dob: 1/2/1990' when 4 then ' 10.0.0.1' else '' end)"
+
+
+@query(f"with said as (select conv_id, turn, {_SAID} as text from conversations) " + _phi.replace("documents", "said").replace("doc_id", "conv_id, turn"))
 def phi_hits(spark, sf_dir):
-    df = table(spark, sf_dir, "conversations").select(F.struct("conv_id", "turn").alias("id"), "text")
+    df = table(spark, sf_dir, "conversations").select(F.struct("conv_id", "turn").alias("id"), F.expr(_SAID).alias("text"))
     return phi.scan(df, "id").select("id.conv_id", "id.turn", "kind")
 
 
@@ -395,11 +398,16 @@ def hash_match(spark, sf_dir):
     return raw(spark, sf_dir, "patients").select("patient_id", phi.matching_hash(F.col("mrn"), "s1").alias("mrn_hash"), phi.matching_hash(F.col("ssn"), "s1").alias("ssn_hash"))
 
 
-@query(cte("patients") + "select patient_id, ssn, phone from patients")
+@query(cte("patients") + "select patient_id, ssn, phone, true as hidden, true as salted, true as moved from patients")
 def encrypt_roundtrip(spark, sf_dir):
+    """Values after encryption, rotation and decryption; whether what was stored differs from them, from a second encryption
+    and from what rotation made of it."""
     old, new = (F.lit(k * 16).cast("binary") for k in ("a", "b"))
-    secret = phi.encrypted(raw(spark, sf_dir, "patients").select("patient_id", "ssn", "phone"), ["ssn", "phone"], old)
-    return phi.decrypted(phi.rotated(secret, ["ssn", "phone"], old, new), ["ssn", "phone"], new)
+    plain = raw(spark, sf_dir, "patients").select("patient_id", "ssn", "phone").withColumns({"once": F.col("ssn"), "twice": F.concat("ssn", F.substring("phone", 1, 0)), "own": F.col("ssn")})
+    secret = phi.encrypted(plain, ["phone", "once", "twice"], old)
+    moved = phi.rotated(secret.withColumns({"before": F.col("once"), "ssn": F.col("once")}), ["phone", "ssn"], old, new)
+    seen = moved.withColumns({"hidden": ~F.col("before").contains(F.col("own")), "salted": F.col("once") != F.col("twice"), "moved": F.col("ssn") != F.col("before")})
+    return phi.decrypted(seen, ["ssn", "phone"], new).select("patient_id", "ssn", "phone", "hidden", "salted", "moved")
 
 
 @query(cte("ed_hourly") + "select * from ed_hourly where facility = 'FAC-1'")
@@ -506,7 +514,7 @@ def _fhir(spark, sf_dir) -> DataFrame:
     code = lambda c: F.struct(F.array(F.struct(c.alias("code"))).alias("coding"))
     one = lambda *fields: F.to_json(F.struct(F.lit("Bundle").alias("resourceType"), F.array(F.struct(F.struct(*fields).alias("resource"))).alias("entry")))
     people = p.select(one(F.lit("Patient").alias("resourceType"), F.col("patient_id").cast("string").alias("id"), F.array(F.struct(code(F.lit("MR")).alias("type"), F.col("mrn").alias("value"))).alias("identifier"), F.array(F.struct(F.col("last_name").alias("family"), F.array(F.col("first_name"), F.lit("Q")).alias("given"))).alias("name"), F.date_format("date_of_birth", "yyyy-MM-dd").alias("birthDate"), F.array(F.struct(F.lit("phone").alias("system"), F.col("phone").alias("value"))).alias("telecom")).alias("value"))
-    visits = e.select(one(F.lit("Encounter").alias("resourceType"), F.col("encounter_id").cast("string").alias("id"), F.lit("finished").alias("status"), F.struct(F.col("encounter_type").alias("code")).alias("class"), F.struct(F.concat(F.lit("Patient/"), F.col("patient_id").cast("string")).alias("reference")).alias("subject"), F.struct(F.date_format("admission_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start"), F.date_format("discharge_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("end")).alias("period"), F.struct(code(F.col("discharge_disposition")).alias("dischargeDisposition")).alias("hospitalization")).alias("value"))
+    visits = e.select(one(F.lit("Encounter").alias("resourceType"), F.col("encounter_id").cast("string").alias("id"), F.lit("finished").alias("status"), F.struct(F.col("encounter_type").alias("code")).alias("class"), F.struct(F.concat(F.lit("Patient/"), F.col("patient_id").cast("string")).alias("reference")).alias("subject"), F.struct(F.date_format("admission_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start"), F.date_format("discharge_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("end")).alias("period"), F.struct(code(F.col("discharge_disposition")).alias("dischargeDisposition")).alias("hospitalization"), F.array(F.struct(F.struct(F.lit("Location/7").alias("reference"), F.col("department").alias("display")).alias("location"))).alias("location"), F.struct(F.lit("Hospital").alias("display")).alias("serviceProvider"), F.array(code(F.col("primary_diagnosis_code"))).alias("reasonCode")).alias("value"))
     return fhir.resources(people.unionByName(visits))
 
 
@@ -515,7 +523,7 @@ def fhir_patients(spark, sf_dir):
     return fhir.patients(_fhir(spark, sf_dir)).select("patient_id", "mrn", "first_name", "last_name", "date_of_birth", "phone")
 
 
-@query(cte("encounters") + "select cast(encounter_id as string) as encounter_id, cast(patient_id as string) as patient_id, encounter_type, 'finished' as status, admission_date, discharge_date, discharge_disposition from encounters")
+@query(cte("encounters") + "select cast(encounter_id as string) as encounter_id, cast(patient_id as string) as patient_id, encounter_type, 'finished' as status, admission_date, discharge_date, discharge_disposition, department as location, '7' as location_id, 'Hospital' as service_provider, primary_diagnosis_code as reason_code from encounters")
 def fhir_encounters(spark, sf_dir):
     out = fhir.encounters(_fhir(spark, sf_dir)).drop("admit_source")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("admission_date", "discharge_date")})

@@ -139,7 +139,7 @@ def v_census_by_day_of_week(spark, sf_dir):
     return views.census_by_weekday(census(spark, sf_dir), AS_OF)
 
 
-@query(_LOCATED + f"select unit, location_type, service_line, operational_beds, count(distinct encounter_id) as active_encounters, round(count(distinct encounter_id) / nullif(operational_beds, 0) * 100, 1) as occupancy_pct from st where discharge_date is null or discharge_date > timestamp '{AS_OF} 00:00:00' group by 1, 2, 3, 4")
+@query(_LOCATED + f"select unit, location_type, service_line, operational_beds, count(distinct encounter_id) as active_encounters, round(count(distinct encounter_id) / nullif(operational_beds, 0) * 100, 1) as occupancy_pct from st where admission_date <= timestamp '{AS_OF} 00:00:00' and (discharge_date is null or discharge_date > timestamp '{AS_OF} 00:00:00') group by 1, 2, 3, 4")
 def v_inpatient_by_unit(spark, sf_dir):
     return views.inpatients_by_unit(stays(spark, sf_dir), AS_OF)
 
