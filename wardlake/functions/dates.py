@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,16 +11,22 @@ DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "d/M/yyyy", "yyyyMMdd")
 TIME_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "M/d/yyyy HH:mm:ss", "M/d/yyyy HH:mm", "M/d/yyyy", "yyyyMMddHHmmss", "yyyyMMddHHmm", "yyyyMMdd")
 
 
+def shaped(text: Column, form: str) -> Column:
+    """Whether a text looks like a format: a cheap question, where trying a format that does not fit is not."""
+    digits = {1: r"\d{1,2}", 2: r"\d{2}", 4: r"\d{4}"}
+    return text.rlike("^" + re.sub("yyyy|MM|dd|HH|mm|ss|M|d", lambda m: digits[len(m[0])], form.replace("'T'", "T")) + "$")
+
+
 def parse_date(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
     """The first format that fits, else null."""
     text = F.trim(c.cast("string"))
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(*[F.when(shaped(text, f), F.try_to_date(text, f)) for f in formats])
 
 
 def parse_time(c: Column, formats: tuple[str, ...] = TIME_FORMATS) -> Column:
     """As parse_date, with fractions, a final Z and offsets cut off."""
     text = F.regexp_replace(F.trim(c.cast("string")), r"(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$", "")
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.when(shaped(text, f), F.try_to_timestamp(text, F.lit(f))) for f in formats])
 
 
 def date_key(d: Column) -> Column:

@@ -108,8 +108,10 @@ def code_system(df: DataFrame, aliases: dict[str, str], found: Column) -> Column
 
 
 def diagnoses(df: DataFrame) -> DataFrame:
-    code = diagnosis_code(F.col("code"))
-    system = code_system(df, T.DIAGNOSIS_SYSTEM, first_match(code, T.DIAGNOSIS_CODES, "UNKNOWN"))
+    """What several columns need is worked out first, in steps of its own."""
+    df = df.withColumn("_code", diagnosis_code(F.col("code")))
+    df = df.withColumn("_system", code_system(df, T.DIAGNOSIS_SYSTEM, first_match(F.col("_code"), T.DIAGNOSIS_CODES, "UNKNOWN")))
+    code, system = F.col("_code"), F.col("_system")
     icd10, three = system == "ICD-10-CM", F.substring(code, 1, 3)
     kind, poa = F.lower(filled(F.col("diagnosis_type"))), F.upper(filled(F.col("present_on_admission")))
     flags = {"is_diabetes": three.isin("E10", "E11", "E13"), "is_hypertension": three.isin("I10", "I11", "I12", "I13"), "is_chf": three == "I50", "is_copd": three == "J44", "is_ckd": three == "N18", "is_cancer": code.startswith("C")}
@@ -117,18 +119,20 @@ def diagnoses(df: DataFrame) -> DataFrame:
         "encounter_id", "patient_id", "rank", code.alias("code"), system.alias("code_system"), mapped(kind, T.DIAGNOSIS_TYPE, kind).alias("diagnosis_type"), mapped(poa, T.PRESENT_ON_ADMISSION, poa).alias("present_on_admission"),
         F.when(icd10, mapped(F.substring(code, 1, 1), T.CHAPTERS)).alias("chapter"), F.when(icd10 & (F.length(code) >= 3), three).alias("category"), F.when(icd10 & (F.length(code) >= 4), F.substring(code, 1, 4)).alias("subcategory"),
         *[F.coalesce(c, F.lit(False)).alias(name) for name, c in flags.items()],
-        F.when(F.length(code) > 3, F.concat(three, F.lit("."), F.expr("substring(upper(replace(trim(code), '.', '')), 4)"))).otherwise(code).alias("display_code"),
+        F.when(F.length(code) > 3, F.concat(three, F.lit("."), F.expr("substring(_code, 4)"))).otherwise(code).alias("display_code"),
         *present(df, onset_date=held(df, "onset_date", "date"), description=F.substring(held(df, "description"), 1, 500)),
         errors(("code is missing", code.isNull()), ("rank is below 1", F.col("rank") < 1)).alias("_errors"),
     )
 
 
 def procedures(df: DataFrame) -> DataFrame:
-    code = diagnosis_code(F.col("code"))
-    system = code_system(df, T.PROCEDURE_SYSTEM, first_match(code, T.PROCEDURE_CODES, "UNKNOWN"))
+    """What several columns need is worked out first, in steps of its own."""
+    df = df.withColumn("_code", diagnosis_code(F.col("code")))
+    df = df.withColumn("_system", code_system(df, T.PROCEDURE_SYSTEM, first_match(F.col("_code"), T.PROCEDURE_CODES, "UNKNOWN")))
+    df = df.withColumn("_number", F.when(F.col("_system") == "CPT-4", F.col("_code").try_cast("int")))
+    code, system, number = F.col("_code"), F.col("_system"), F.col("_number")
     status = F.lower(filled(held(df, "status")))
     cpt = system == "CPT-4"
-    number = F.when(cpt, code.try_cast("int"))
     low, high, name = T.CPT_CATEGORIES[0]
     category = F.when(number.between(low, high), name)
     for low, high, name in T.CPT_CATEGORIES[1:]:
@@ -148,21 +152,21 @@ def lab_number(c: Column) -> Column:
 def labs(df: DataFrame) -> DataFrame:
     """A record's own bounds stay; missing ones come from the table of usual ranges where there is a number. Flags are null
     where nothing is known."""
-    name, value = F.upper(F.col("test_name")), lab_number(F.col("value"))
-    n = F.lit(None).cast("double")
+    df = df.withColumns({"_name": F.upper("test_name"), "_value": lab_number(F.col("value"))})
+    name, value, n = F.col("_name"), F.col("_value"), F.lit(None).cast("double")
     struct = lambda r: F.struct(*[(n if x is None else F.lit(float(x))).alias(k) for k, x in zip(("low", "high", "critical_low", "critical_high"), r, strict=True)])
-    usual = first_hit(name, [(k, struct(r)) for k, r in T.LAB_RANGES.items()])
+    df = df.withColumn("_usual", first_hit(name, [(k, struct(r)) for k, r in T.LAB_RANGES.items()]))
+    usual = F.col("_usual")
     low, high = (F.coalesce(held(df, f"reference_range_{k}", "double"), F.when(value.isNotNull(), usual[k])) for k in ("low", "high"))
     status = F.lower(filled(held(df, "status")))
     abnormal = F.when(value.isNull(), None).when(value < low, True).when(value > high, True).when(low.isNotNull() | high.isNotNull(), False)
     critical = F.when(value.isNull() | usual.isNull(), None).when(value < usual["critical_low"], True).when(value > usual["critical_high"], True).otherwise(False)
     delta = F.when(value.isNull(), None).when(value < low, F.round(value - low, 2)).when(value > high, F.round(value - high, 2)).otherwise(0.0)
-    words = [(w, F.lit(c)) for c, ws in T.LAB_CATEGORIES.items() for w in ws]
     flag = F.upper(filled(F.col("interpretation")))
     return df.select(
         "source_id", "patient_id", "test_name", value.alias("value"), F.when(value.isNull(), F.col("value")).alias("value_string"), low.alias("reference_low"), high.alias("reference_high"),
         mapped(flag, T.INTERPRETATION, F.lower(flag)).alias("interpretation"), abnormal.alias("is_abnormal"), critical.alias("is_critical"), delta.alias("delta"),
-        F.coalesce(first_hit(name, words), F.lit("other")).alias("category"), F.col("effective_date"),
+        F.coalesce(first_word(name, T.LAB_CATEGORIES), F.lit("other")).alias("category"), F.col("effective_date"),
         *present(df, value_unit=held(df, "value_unit"), status=mapped(status, T.LAB_STATUS, status)),
         errors(("source_id is missing", F.col("source_id").isNull())).alias("_errors"),
     )
@@ -211,10 +215,12 @@ def vitals(df: DataFrame) -> DataFrame:
 
 def medications(df: DataFrame, compat: bool = False) -> DataFrame:
     """Status, the dose that the record gives or else its name, class, alerts and doses a day. With compat, dose patterns are tried in the table's order."""
-    name, route, often = F.lower(F.col("medication_name")), F.lower(filled(F.col("route"))), F.lower(F.col("frequency"))
+    df = df.withColumns({"_name": F.lower("medication_name"), "_often": F.lower("frequency")})
+    df = df.withColumn("_alert", first_word(F.col("_name"), T.HIGH_ALERT))
+    name, route, often = F.col("_name"), F.lower(filled(F.col("route"))), F.col("_often")
     dose = r"(\d+\.?\d*)\s*(mg|g|mcg|ml|unit|units|meq)"
     patterns = list(T.DOSES_A_DAY.items()) if compat else sorted(T.DOSES_A_DAY.items(), key=lambda x: -len(x[0]))
-    alert, drug_class = first_word(name, T.HIGH_ALERT), first_word(name, T.DRUG_CLASSES)
+    alert, drug_class = F.col("_alert"), first_word(name, T.DRUG_CLASSES)
     status, prn = F.lower(filled(held(df, "status"))), F.lower(F.coalesce(filled(held(df, "prn")), F.col("frequency")))
     part = lambda k: F.nullif(F.regexp_extract(name, dose, k), F.lit(""))
     given = F.nullif(F.regexp_extract(held(df, "dose_value"), r"(\d+\.?\d*)", 1).try_cast("double"), F.lit(0.0))
