@@ -180,7 +180,10 @@ def with_language(docs: DataFrame, model: LanguageModel | None, text: str = "tex
 
 def known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents with a language that was learned and a score of at least `least`; lang becomes that language where
-    it was null. All of them stay where nothing can be learned."""
+    it was null. All of them stay where nothing can be learned.
+
+    Null texts and texts without a letter go; equal texts stay or go together; null ids stay as they are; columns that
+    documents do not have are left out, whatever their names; an empty table stays empty; very long texts are read whole."""
     model = fit(docs)
     if model is None:
         return docs.select(*DOCUMENT_COLUMNS)
@@ -189,6 +192,7 @@ def known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A language of every document, also of those with null, empty or repeated ids and texts (see with_language)."""
     docs = table(spark, sf_dir, "documents")
     found = with_language(docs.select("doc_id", "text"), fit(docs))
     return found.select("doc_id", held_out(F.col("doc_id"), MODULUS, REMAINDER).alias("held_out"), "lang_pred", "score")

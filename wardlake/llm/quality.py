@@ -107,7 +107,11 @@ def with_quality(docs: DataFrame, model: QualityModel | None, text: str = "text"
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose score reaches CUT; all of them where nothing can be learned."""
+    """The documents whose score reaches CUT; all of them where nothing can be learned.
+
+    Null texts score as empty ones, equal texts score the same, so repeated rows stay or go together; null ids stay as they
+    are; columns that documents do not have are left out, whatever their names; an empty table stays empty; very long texts
+    are scored whole, one at a time."""
     model = fit(docs, labels)
     if model is None:
         return docs.select(*DOCUMENT_COLUMNS)
@@ -115,6 +119,7 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score of every document, also of those with null, empty or repeated ids and texts (see with_quality)."""
     docs = table(spark, sf_dir, "documents")
     scored = with_quality(docs.select("doc_id", "text"), fit(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id"), MODULUS, REMAINDER).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

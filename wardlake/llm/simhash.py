@@ -285,7 +285,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The document of each component with the smallest doc_id; where rows with other contents repeat that id, the one whose
-    content has the smallest hash, so reruns agree. Of equal rows one stays. Rows with a null doc_id all stay."""
+    content has the smallest hash, so reruns agree. Of equal rows one stays. Rows with a null doc_id all stay. Null and
+    empty texts are one group; columns that documents do not have are left out, whatever their names; an empty table stays
+    empty; very long texts are hashed whole."""
     docs = docs.select(*DOCUMENT_COLUMNS).withColumn("_row", row_key(DOCUMENT_COLUMNS))
     named = with_components(docs, "doc_id", "text", "_row").where("doc_id is not null")
     firsts = named.groupBy("root").agg(F.min(F.struct("doc_id", "_row")).alias("one")).select("one._row")
@@ -294,4 +296,5 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document (null, empty and repeated ones: see near_duplicates)."""
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -165,7 +165,8 @@ def length_histogram(docs: DataFrame, text: str = "text", path: str | None = Non
     share of documents of at most that length. Null and empty texts have 0 tokens. An empty table gives no rows.
     Documents are counted where they lie and only (length, count) pairs move; these are written to the checkpoint folder,
     so that both of their uses below read them there and no text is tokenised twice. The suffix sums run over ranges of
-    lengths and then over the ranges' totals, so no task holds all lengths.
+    lengths and then over the ranges' totals, so no task holds all lengths. Repeated rows count each time; other columns are
+    left out, whatever their names; a very long text is tokenised alone.
     """
     counted = docs.select(token_counter(path or tokenizer_path())(F.col(text)).alias("n_tokens"))
     bins = counted.groupBy("n_tokens").agg(F.count("*").alias("documents")).withColumn("tokens", F.col("n_tokens") * F.col("documents"))
@@ -198,4 +199,5 @@ def length_histogram(docs: DataFrame, text: str = "text", path: str | None = Non
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The histogram of every document's text (null and empty ones: see length_histogram)."""
     return length_histogram(table(spark, sf_dir, "documents"))

@@ -121,4 +121,5 @@ def filtered(pages: DataFrame, url: str = "url", rules: tuple[tuple[str, str], .
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's URL (null, empty and repeated ones: see filtered)."""
     return filtered(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "url_score")
