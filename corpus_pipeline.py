@@ -1,4 +1,8 @@
-"""A training corpus from raw documents: quality, language, near-duplicates, mixing, packing."""
+"""A training corpus from raw documents: quality, language, near-duplicates, mixing, packing.
+
+Every stage takes null, empty, repeated and very long texts, null and repeated ids, columns of other names and an empty table;
+what it makes of them is said where it calls an operator. All but the last give the columns of documents.
+"""
 
 from __future__ import annotations
 
