@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from oracle_check import difference
 from pyspark.sql import functions as F
 
 from wardlake.llm import common, language, media, mixing, neighbours, packing, quality, simhash, tokens, toxicity, urls
-from wardlake.llm.registry import QUERIES
+from wardlake.llm.registry import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -287,6 +288,17 @@ def test_url_verdicts_by_the_best_threshold(spark):
 ODD = [(1, None, None, None, None), (2, "", "en", "b", 0), (3, " \t\n", "en", "b", 3), (4, "one two  three", "en", "a", 14), (4, "one two  three", "en", "a", 14), (None, "x", None, "a", 1), (6, "w " * 400_000, "de", None, 800_000)]
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    assert difference(spark, SF, QUERIES[name], ORACLE_SQL[name]) == ""
+
+
+def test_url_sql_on_odd_urls(spark, tmp_path):
+    odd = [None, "", "no scheme", "https://EXAMPLE.com/en/a?b#c", "https://www.example.com/en/", "http://x.net/es/q", "http://net/fr", "a://b.COM", "https://x.org/ü", "://", "http://x.net/es/q"]
+    spark.createDataFrame(list(enumerate(odd)), "page_id long, url string").toPandas().to_parquet(tmp_path / "pages.parquet")
+    assert difference(spark, str(tmp_path), QUERIES["op9_urls"], ORACLE_SQL["op9_urls"]) == ""
+
+
 def test_empty_tables(spark):
     docs, labels = spark.createDataFrame([], DOCS), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert tokens.length_histogram(docs).count() == packing.pack(docs).count() == mixing.mix(docs).pieces.count() == 0

@@ -11,9 +11,9 @@ from wardlake.llm.quality import op4_quality
 from wardlake.llm.simhash import op8_simhash
 from wardlake.llm.tokens import op3_token_counts
 from wardlake.llm.toxicity import op7_toxicity
-from wardlake.llm.urls import op9_urls
+from wardlake.llm.urls import op9_urls, verdicts_sql
 
 QUERIES = {f.__name__: f for f in (op1_neighbours, op2_mixing, op3_token_counts, op4_quality, op5_language, op6_packing, op7_toxicity, op8_simhash, op9_urls, op10_media)}
 
-#: None can be put in SQL as it is: they hash with functions that DuckDB lacks, tokenise, or fit models.
-ORACLE_SQL: dict[str, str] = {}
+#: The others cannot be put in SQL as they are: they hash with functions that DuckDB lacks, tokenise, or fit models.
+ORACLE_SQL: dict[str, str] = {"op9_urls": verdicts_sql()}

@@ -123,3 +123,30 @@ def filtered(pages: DataFrame, url: str = "url", rules: tuple[tuple[str, str], .
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on every page's URL (null, empty and repeated ones: see filtered)."""
     return filtered(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "url_score")
+
+
+def verdicts_sql(rules: tuple[tuple[str, str], ...] = RULES) -> str:
+    """op9_urls in DuckDB SQL, by its definition: every level of contexts in turn, then the best of all thresholds."""
+    first = sorted(rules, key=lambda r: (-len(r[1]), r[1]))
+    fits = lambda own, rest: f"(host = '{own}' or ends_with(host, '.{own}')) and starts_with(path, '/{rest}')"
+    rule, verdict = (f"case {' '.join(f'when {fits(*name.split(chr(47), 1))} then {chr(39)}{x}{chr(39)}' for says, name in first for x in [says if k else name])} end" for k in (0, 1))
+    form = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+    levels = """l0 as (select c as g, (a + 1::double) / (sum(a) over () + count(*) over ()) as pa, (b + 1::double) / (sum(b) over () + count(*) over ()) as pb
+  from (select right(g, 1) as c, sum(allowed)::bigint as a, sum(blocked)::bigint as b from counted group by 1))"""
+    for k in range(1, ORDER + 1):
+        levels += f""",
+l{k} as (select x.g, (a + {BACK_OFF}::double * pa) / (na + {BACK_OFF}::double) as pa, (b + {BACK_OFF}::double * pb) / (nb + {BACK_OFF}::double) as pb
+  from (select g, a, b, sum(a) over (partition by left(g, {k})) as na, sum(b) over (partition by left(g, {k})) as nb
+    from (select right(g, {k + 1}) as g, sum(allowed)::bigint as a, sum(blocked)::bigint as b from counted group by 1)) x join l{k - 1} y on right(x.g, {k}) = y.g)"""
+    return f"""with parted as (select page_id, coalesce(url, '') as url, translate(coalesce(regexp_extract(url, '{form}', 1), ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') as host, coalesce(regexp_extract(url, '{form}', 2), '') as path from pages),
+ruled as (select *, {rule} as rule, {verdict} as verdict from parted),
+judged as (select url, verdict, count(*) as n from ruled group by 1, 2),
+seen as (select *, substr(repeat(chr(2), {ORDER}) || url || chr(3), i, {ORDER + 1}) as g from (select *, unnest(range(1, length(url) + 2)) as i from judged)),
+counted as (select g, sum(case when verdict = 'allow' then n else 0 end) as allowed, sum(case when verdict = 'block' then n else 0 end) as blocked from seen group by 1),
+{levels},
+scores as (select url, any_value(verdict) as verdict, any_value(n) as n, sum(round((ln(pa) - ln(pb)) * {SCALE})::bigint)::double / (count(*) * {SCALE}::double) as score from seen join l{ORDER} using (g) group by url),
+bins as (select floor(least(greatest(score, -10), 10) * 100) as cell, sum(case when verdict = 'allow' then n else 0 end)::double as a, sum(case when verdict = 'block' then n else 0 end)::double as b from scores where verdict is not null group by 1),
+tried as (select cell, sum(a) over () as all_a, sum(b) over () as all_b, sum(a) over (order by cell rows between current row and unbounded following) as kept, coalesce(sum(b) over (order by cell rows between unbounded preceding and 1 preceding), 0) as gone from bins),
+chosen as (select coalesce((select cell / 100 from tried where all_a > 0 and all_b > 0 order by kept / all_a + gone / all_b desc, cell limit 1), 0) as threshold)
+select page_id, host, path, rule, coalesce(r.verdict, case when score >= threshold then 'allow' else 'block' end) as verdict, case when r.verdict is null then score end as url_score
+from ruled r join scores s on r.url = s.url cross join chosen"""
