@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardlake.functions import dates
 from wardlake.functions import tables as T
 from wardlake.functions.lookup import mapped
-from wardlake.operators import loads, phi, rules, standardise
+from wardlake.operators import loads, phi, rules, standardise, summaries
 from wardlake.sources import audit, flat, hl7, relational
 from wardlake.streaming import streams
 
@@ -115,3 +115,21 @@ def test_stream_equals_batch(spark, tmp_path):
     got = streams.drained(stream, "arrivals", str(tmp_path / "checkpoint"))
     want = streams.hourly_arrivals(events)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("March 5, 2024", "2024-03-05"), ("mar 5, 2024", "2024-03-05"), ("03-05-2024", "2024-03-05"), ("25/12/2023", "2023-12-25"), ("1/2/69", "1969-01-02"), ("1/2/68", "2068-01-02"),
+        ("2024-03-05T10:00:00.123Z", "2024-03-05"), ("2024-03-05 10:00:00+02:00", "2024-03-05"), ("2/29/72", "1972-02-29"), ("13/13/2023", "1900-01-01"), ("Smarch 1, 2024", "1900-01-01"), ("", "1900-01-01"), (None, "1900-01-01"),
+    ],
+)
+def test_written_dates_and_default(spark, text, want):
+    assert str(one(spark, dates.written_date(F.col("v").cast("string"), F.lit("1900-01-01")), v=text)) == want
+
+
+def test_counts_as_map_of_missing_values(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", None), ("a", "x"), ("b", None)], "g string, k string")
+    rows = {r["g"]: (r["total"], r["counts"]) for r in summaries.counts_as_map(df, ["g"], "k").collect()}
+    assert rows == {"a": (3, {"unknown": 1, "x": 2}), "b": (1, {"unknown": 1})}
+    assert summaries.counts_as_map(df.where("false"), ["g"], "k").count() == 0

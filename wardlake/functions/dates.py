@@ -9,24 +9,40 @@ from pyspark.sql import functions as F
 
 DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "d/M/yyyy", "yyyyMMdd")
 TIME_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "M/d/yyyy HH:mm:ss", "M/d/yyyy HH:mm", "M/d/yyyy", "yyyyMMddHHmmss", "yyyyMMddHHmm", "yyyyMMdd")
+#: With times of day, years of two digits and names of months, as people write dates.
+WRITTEN_FORMATS = ("yyyy-M-d", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "M/d/yy", "d/M/yyyy", "M-d-yyyy", "yyyyMMdd", "MMMM d, yyyy", "MMM d, yyyy")
+#: The last of the hundred years that two digits stand for.
+LAST_SHORT_YEAR = 2068
 
 
 def shaped(text: Column, form: str) -> Column:
     """Whether a text looks like a format: a cheap question, where trying a format that does not fit is not."""
-    digits = {1: r"\d{1,2}", 2: r"\d{2}", 4: r"\d{4}"}
-    return text.rlike("^" + re.sub("yyyy|MM|dd|HH|mm|ss|M|d", lambda m: digits[len(m[0])], form.replace("'T'", "T")) + "$")
+    shapes = {"MMMM": "[A-Za-z]+", "MMM": "[A-Za-z]{3}", "yyyy": r"\d{4}", "M": r"\d{1,2}", "d": r"\d{1,2}"}
+    return text.rlike("^" + re.sub("MMMM|MMM|yyyy|yy|MM|dd|HH|mm|ss|M|d", lambda m: shapes.get(m[0], r"\d{2}"), form.replace("'T'", "T")) + "$")
 
 
-def parse_date(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """The first format that fits, else null."""
+def parse_date(c: Column, formats: tuple[str, ...] = DATE_FORMATS, default: Column | None = None) -> Column:
+    """The first format that fits, else the default, or null. Years of two digits end at LAST_SHORT_YEAR."""
     text = F.trim(c.cast("string"))
-    return F.coalesce(*[F.when(shaped(text, f), F.try_to_date(text, f)) for f in formats])
 
+    def tried(form: str) -> Column:
+        d = F.try_to_date(text, form)
+        short = "yy" in form and "yyyy" not in form
+        return F.when(shaped(text, form), F.when(F.year(d) > LAST_SHORT_YEAR, F.add_months(d, -1200)).otherwise(d) if short else d)
 
-def parse_time(c: Column, formats: tuple[str, ...] = TIME_FORMATS) -> Column:
+    return F.coalesce(*[tried(f) for f in formats], *([] if default is None else [default.cast("date")]))
+
+
+def parse_time(c: Column, formats: tuple[str, ...] = TIME_FORMATS, default: Column | None = None) -> Column:
     """As parse_date, with fractions, a final Z and offsets cut off."""
     text = F.regexp_replace(F.trim(c.cast("string")), r"(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$", "")
-    return F.coalesce(*[F.when(shaped(text, f), F.try_to_timestamp(text, F.lit(f))) for f in formats])
+    return F.coalesce(*[F.when(shaped(text, f), F.try_to_timestamp(text, F.lit(f))) for f in formats], *([] if default is None else [default.cast("timestamp")]))
+
+
+def written_date(c: Column, default: Column | None = None) -> Column:
+    """The day of a date as people write it; a time of day, its fractions, Z and offset are cut off."""
+    text = F.regexp_replace(F.trim(c.cast("string")), r"(?<=:\d{2})(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$", "")
+    return parse_date(text, WRITTEN_FORMATS, default)
 
 
 def date_key(d: Column) -> Column:

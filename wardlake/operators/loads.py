@@ -7,8 +7,12 @@ the part of a table that a load touches.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as st
@@ -220,3 +224,30 @@ def incremental_load(rows: DataFrame, root: str, marks_root: str, source_system:
     step = spark.createDataFrame([(source_system, entity_type, moved["last_value"])], marks.schema)
     publish(advance(marks, step), marks_root)
     return {"rows": moved["rows"]}
+
+
+#: What load_sources tells of each source.
+LOAD_COUNTS = "source string, extracted long, loaded long, failed long, phi_warnings long, seconds double, error string"
+
+
+def load_sources(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], folder: str, warns: dict[str, Callable[[DataFrame], Column]] | None = None) -> DataFrame:
+    """Loads the standard records of each source (those without `_errors`) as Parquet under folder/source; one row of
+    LOAD_COUNTS for each source.
+
+    Records are counted while they are written, in one pass. A source that cannot be read or written gets its error, and the
+    others are loaded all the same. warns: for a source, the column that marks records to be warned of.
+    """
+    counts = []
+    for name, read in sources.items():
+        seen, began = Observation(), time.monotonic()
+        try:
+            df = read()
+            warned = F.count_if((warns or {}).get(name, lambda _: F.lit(False))(df))
+            good = F.size("_errors") == 0
+            df = df.observe(seen, F.count("*").alias("extracted"), F.count_if(good).alias("loaded"), F.count_if(~good).alias("failed"), warned.alias("phi_warnings"))
+            df.where(good).drop("_errors").write.mode("overwrite").parquet(f"{folder}/{name}")
+            got = seen.get
+            counts.append((name, *[got[c] for c in ("extracted", "loaded", "failed", "phi_warnings")], time.monotonic() - began, None))
+        except (PySparkException, Py4JJavaError) as e:
+            counts.append((name, 0, 0, 0, 0, time.monotonic() - began, str(e)))
+    return spark.createDataFrame(counts, LOAD_COUNTS)

@@ -40,6 +40,13 @@ def ed_counts(enc: DataFrame, by: str) -> DataFrame:
     return enc.where("is_emergency and is_completed").groupBy(by).agg(F.count("*").alias("visits"))
 
 
+def counts_as_map(df: DataFrame, group: list[str], key: str, missing: str = "unknown") -> DataFrame:
+    """group, total and counts: how often each value of key occurs, as a map in the order of the values. Values are counted
+    before they are gathered, so a map holds as many entries as a group has values, however many rows there are."""
+    one = df.groupBy(*group, F.coalesce(F.col(key).cast("string"), F.lit(missing)).alias("_key")).agg(F.count("*").alias("_n"))
+    return one.groupBy(*group).agg(F.sum("_n").alias("total"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("_key", "_n")))).alias("counts"))
+
+
 def charlson(diagnoses: DataFrame, ages: DataFrame) -> DataFrame:
     """patient_id, one 0/1 column for each condition, the index and the age-adjusted index. One pass: the maximum of each
     condition over a patient's distinct codes, so a code is matched once for each patient who has it."""
