@@ -14,6 +14,7 @@ from wardlake.llm.mixing import mixed_documents
 from wardlake.llm.packing import pack
 from wardlake.llm.quality import good_documents
 from wardlake.llm.simhash import one_of_each
+from wardlake.sources import scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +49,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages' result over the table of documents. What a stage keeps is written as Parquet in the cluster's shared
+    folder and read again, so the passes of the stages after it neither score texts anew nor read more columns than they use."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        at = scratch.folder(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(at)
+        docs = spark.read.parquet(at)
+    return STAGES[-1][1](spark, docs, sf_dir)
