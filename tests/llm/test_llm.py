@@ -274,6 +274,22 @@ def test_pipeline(spark):
     assert docs.count() > 0
 
 
+def test_run_reads_what_each_stage_wrote(spark, monkeypatch):
+    import corpus_pipeline
+
+    read = []
+
+    def stage(spark, docs, sf_dir):
+        read.append(docs.inputFiles())
+        return docs.where(f"doc_id % 7 != {len(read)}")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", stage), ("b", stage), ("c", stage)])
+    got = {r["doc_id"] for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()}
+    assert got == {r["doc_id"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 7 not in (1, 2, 3)").collect()}
+    assert [any(SF in f for f in files) for files in read] == [True, False, False]
+    assert all(f"/{name}-" in f for name, files in zip("ab", read[1:], strict=True) for f in files)
+
+
 def test_rows_with_null_and_repeated_ids_stay(spark):
     texts = [" ".join(f"{name}{k}" for k in range(80)) for name in "abcdef"]
     rows = [(7, texts[0]), (7, texts[1]), (9, texts[0]), (12, texts[1]), (3, texts[2]), (3, texts[2]), (None, texts[3]), (None, texts[4])]
