@@ -95,6 +95,19 @@ def test_hl7_observations(spark):
     assert [(r["patient_id"], r["code"], r["value"], r["value_string"], r["effective_date"]) for r in out] == [("55", "GLU", 0.0, None, datetime(2024, 1, 1)), ("55", "NOTE", None, "fine", datetime(2024, 1, 1))]
 
 
+def test_only_small_tables_are_dealt_out(spark, tmp_path):
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    spark.range(40).selectExpr("id", "id % 3 as k").coalesce(1).write.parquet(one)
+    spark.range(40).repartition(spark.sparkContext.defaultParallelism).write.parquet(many)
+    plan = lambda df: df._jdf.queryExecution().toString()
+    dealt = relational.read_parquet(spark, one, wide=True)
+    assert sorted(r["id"] for r in dealt.collect()) == list(range(40))
+    narrow = plan(dealt.where("k > 1").select("id"))
+    assert "RoundRobinPartitioning" in narrow and "GreaterThan(k,1)" in narrow
+    assert "ReadSchema: struct<id:bigint>" in plan(dealt.select("id"))
+    assert all("RoundRobin" not in plan(df) for df in (relational.read_parquet(spark, one), relational.read_parquet(spark, many, wide=True)))
+
+
 def test_tables(spark):
     spark.createDataFrame([(1, "2024-01-01"), (2, "2024-02-01")], "patient_id int, updated_at string").createOrReplaceTempView("people")
     assert relational.read_table(spark, "people", since="2024-01-15").count() == 1

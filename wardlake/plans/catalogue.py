@@ -13,6 +13,7 @@ from wardlake.operators import loads, metrics, phi, rules, standardise, summarie
 from wardlake.plans import oracle as o
 from wardlake.plans.fixtures import cte, raw
 from wardlake.sources import fhir, hl7
+from wardlake.sources.relational import read_parquet
 
 AS_OF = "2001-08-01"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,7 +39,7 @@ def std_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def std(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return standardise.split(getattr(standardise, name)(raw(spark, sf_dir, name)))[0]
+    return standardise.split(getattr(standardise, name)(raw(spark, sf_dir, name, wide=True)))[0]
 
 
 # ---- standard forms
@@ -381,7 +382,7 @@ _phi = " union all ".join("select doc_id, '{k}' as kind from documents where {w}
 
 @query(f"select kind, 'text' as field, count(*) as findings, count(distinct doc_id) as records from ({_phi}) group by 1")
 def phi_summary(spark, sf_dir):
-    return phi.scan_summary(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return phi.scan_summary(read_parquet(spark, f"{sf_dir}/documents.parquet", wide=True).select("doc_id", "text"), "doc_id")
 
 
 _SAID = "concat(text, case conv_id % 6 when 0 then ' SSN: 123456789' when 1 then ' call (555) 123-4567' when 2 then ' a.b@example.org' when 3 then ' dob: 1/2/1990' when 4 then ' 10.0.0.1' else '' end)"
@@ -480,7 +481,7 @@ def fact_encounter_build(spark, sf_dir):
 
 
 def _hl7(spark, sf_dir) -> DataFrame:
-    e = raw(spark, sf_dir, "encounters").join(raw(spark, sf_dir, "patients").select("patient_id", "last_name", F.trim("first_name").alias("given"), "date_of_birth"), "patient_id")
+    e = raw(spark, sf_dir, "encounters", wide=True).join(raw(spark, sf_dir, "patients").select("patient_id", "last_name", F.trim("first_name").alias("given"), "date_of_birth"), "patient_id")
     stamp = lambda c, f="yyyyMMddHHmmss": F.coalesce(F.date_format(c, f), F.lit(""))
     pad = lambda n: F.lit("|" * n)
     lines = [
@@ -510,7 +511,7 @@ def hl7_patients(spark, sf_dir):
 
 
 def _fhir(spark, sf_dir) -> DataFrame:
-    p, e = raw(spark, sf_dir, "patients"), raw(spark, sf_dir, "encounters")
+    p, e = raw(spark, sf_dir, "patients", wide=True), raw(spark, sf_dir, "encounters", wide=True)
     code = lambda c: F.struct(F.array(F.struct(c.alias("code"))).alias("coding"))
     one = lambda *fields: F.to_json(F.struct(F.lit("Bundle").alias("resourceType"), F.array(F.struct(F.struct(*fields).alias("resource"))).alias("entry")))
     people = p.select(one(F.lit("Patient").alias("resourceType"), F.col("patient_id").cast("string").alias("id"), F.array(F.struct(code(F.lit("MR")).alias("type"), F.col("mrn").alias("value"))).alias("identifier"), F.array(F.struct(F.col("last_name").alias("family"), F.array(F.col("first_name"), F.lit("Q")).alias("given"))).alias("name"), F.date_format("date_of_birth", "yyyy-MM-dd").alias("birthDate"), F.array(F.struct(F.lit("phone").alias("system"), F.col("phone").alias("value"))).alias("telecom")).alias("value"))

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardlake.sources.relational import read_parquet
+
 PATIENTS = """
 select c_custkey as patient_id, concat('FAKE-', lpad(cast(c_custkey as string), 6, '0')) as mrn,
   case c_custkey % 4 when 0 then 'ALICE' when 1 then '  bob ' when 2 then 'McKay' else 'o''brien-smith' end as first_name, c_name as last_name,
@@ -87,9 +89,11 @@ SPARK = {"patients": PATIENTS, "encounters": ENCOUNTERS, "diagnoses": DIAGNOSES,
 DUCKDB = SPARK | {"encounters": ENCOUNTERS_DUCKDB}
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
+    """The records of one kind. For wide work the table that they are made from row by row is dealt out if it is small."""
     text = SPARK[name]
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(re.findall(r"\{(\w+)\}", text))})
+    found = re.findall(r"\{(\w+)\}", text)
+    return spark.sql(text, **{t: read_parquet(spark, f"{sf_dir}/{t}.parquet", wide=wide and t == found[0]) for t in found})
 
 
 def cte(*names: str) -> str:

@@ -48,7 +48,7 @@ select cast(encounter_id as string) as encounter_id, cast(patient_id as string)
   case when encounter_id % 2 = 0 then 'medicare' end as financial_class from s"""
 )
 def encounters_raw_std(spark, sf_dir):
-    e = raw(spark, sf_dir, "encounters")
+    e = raw(spark, sf_dir, "encounters", wide=True)
     n = F.col("encounter_id")
     form = lambda c: F.when(n % 4 == 0, F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(n % 4 == 1, F.date_format(c, "yyyy-MM-dd HH:mm:ss")).when(n % 4 == 2, F.date_format(c, "MM/dd/yyyy HH:mm:ss")).otherwise(F.date_format(c, "yyyyMMddHHmmss"))
     turned = (n % 10 == 3) & F.col("discharge_date").isNotNull()
@@ -93,7 +93,7 @@ select cast(encounter_id as string) as encounter_id, cast(patient_id as string)
   c like 'C%' as is_cancer, case when length(c) > 3 then concat(substr(c, 1, 3), '.', substr(c, 4)) else c end as display_code, date '2001-01-31' + cast(rank as int) as onset_date, 'Text' as description from d2"""
 )
 def diagnoses_raw_std(spark, sf_dir):
-    d = raw(spark, sf_dir, "diagnoses")
+    d = raw(spark, sf_dir, "diagnoses", wide=True)
     rank = F.when((F.col("rank") == 1) & (F.col("encounter_id") % 9 == 0), "0").otherwise(text("rank"))
     onset = F.date_add(F.lit("2001-01-31").cast("date"), F.col("rank").cast("int"))
     source = d.select(text("encounter_id").alias("encounter_id"), text("patient_id").alias("patient_id"), rank.alias("rank"), "code", pick(F.col("rank"), *_SYSTEMS).alias("code_system"), F.col("diagnosis_type").alias("type"), "present_on_admission", F.date_format(onset, "MM/dd/yyyy").alias("onset_date"), F.lit(" Text ").alias("description"))
@@ -110,7 +110,7 @@ select cast(encounter_id as string) as encounter_id, cast(patient_id as string)
   dayname(performed_date) as procedure_day, cast(hour(performed_date) as int) as procedure_hour, charges, {o.mapped('k', T.PROCEDURE_STATUS, 'k')} as status from q0"""
 )
 def procedures_raw_std(spark, sf_dir):
-    p = raw(spark, sf_dir, "procedures")
+    p = raw(spark, sf_dir, "procedures", wide=True)
     named = F.when(F.col("code") == "99213", "cpt").when(F.col("code") == "8151", " icd9")
     source = p.select(text("encounter_id").alias("encounter_id"), text("patient_id").alias("patient_id"), "code", named.alias("code_system"), pick(F.col("encounter_id"), *_DONE).alias("status"), F.concat(text("duration_minutes"), F.lit(".0")).alias("duration_minutes"), F.date_format("performed_date", "yyyy-MM-dd'T'HH:mm:ss").alias("performed_date"), text("charges").alias("charges"))
     return kept(source, "procedures")
@@ -130,7 +130,7 @@ select cast(source_id as string) as source_id, cast(patient_id as string) as pat
 )
 def labs_raw_std(spark, sf_dir):
     n = F.col("source_id")
-    source = raw(spark, sf_dir, "labs").select(
+    source = raw(spark, sf_dir, "labs", wide=True).select(
         text("source_id").alias("source_id"), text("patient_id").alias("patient_id"), F.col("test_name").alias("description"), "value", F.lit("mg/dL").alias("unit"), F.when(n % 3 == 0, " 5").alias("reference_range_low"),
         F.when(n % 4 == 0, ">300").alias("reference_range_high"), F.col("interpretation").alias("abnormal_flag"), pick(n, *_FINAL).alias("status"), F.date_format("effective_date", "yyyy-MM-dd HH:mm:ss").alias("effective_date"),
     )
@@ -152,7 +152,7 @@ select cast(source_id as string) as source_id, cast(patient_id as string) as pat
 )
 def vitals_raw_std(spark, sf_dir):
     n = F.col("source_id")
-    source = raw(spark, sf_dir, "vitals").select(
+    source = raw(spark, sf_dir, "vitals", wide=True).select(
         text("source_id").alias("source_id"), text("patient_id").alias("patient_id"), F.date_format("recorded_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("effective_date"), F.lit(0.0).alias("heart_rate"), F.concat(F.lit(" "), text("heart_rate")).alias("pulse"),
         text("respiratory_rate").alias("resp_rate"), text("systolic_bp").alias("sbp"), text("diastolic_bp").alias("dbp"), F.when(n % 7 == 0, "77").alias("map"), text("temperature").alias("temp"), text("oxygen_saturation").alias("spo2"),
         "oxygen_device", F.when(n % 5 == 0, "0.4").otherwise("0.21").alias("fio2"), "weight", F.when(n % 2 == 0, "LBS").otherwise("kg").alias("weight_unit"), F.when(n % 2 == 0, F.col("height") / 2).otherwise(F.col("height")).alias("height"),
@@ -175,7 +175,7 @@ select cast(encounter_id as string) as encounter_id, cast(line as string) as lin
 )
 def medications_raw_std(spark, sf_dir):
     n = F.col("line")
-    source = raw(spark, sf_dir, "medications").select(
+    source = raw(spark, sf_dir, "medications", wide=True).select(
         text("encounter_id").alias("encounter_id"), text("line").alias("source_id"), F.col("medication_name").alias("drug_name"), pick(n, *_ORDERS).alias("status"), pick(n, "250 tablets", "two", None).alias("dose"), F.lit("tab").alias("dose_unit"), "route",
         F.col("frequency").alias("sig"), F.date_format("start_date", "MM/dd/yyyy").alias("start_date"), text("end_date").alias("end_date"), F.when(n == 7, "-1").otherwise("30").alias("quantity"),
     )
@@ -251,7 +251,7 @@ def fhir_observations(spark, sf_dir):
     v = F.col("value").try_cast("double")
     category = F.when(F.col("source_id") % 2 == 0, "laboratory").otherwise("vital-signs")
     r = bundled(
-        raw(spark, sf_dir, "labs"), "Observation", "patient_id", text("source_id").alias("id"), F.array(coded(category)).alias("category"), coded(F.lit("C1")).alias("code"), F.when(v.isNotNull(), F.struct(v.alias("value"), F.lit("mg").alias("unit"))).alias("valueQuantity"),
+        raw(spark, sf_dir, "labs", wide=True), "Observation", "patient_id", text("source_id").alias("id"), F.array(coded(category)).alias("category"), coded(F.lit("C1")).alias("code"), F.when(v.isNotNull(), F.struct(v.alias("value"), F.lit("mg").alias("unit"))).alias("valueQuantity"),
         F.when(v.isNull(), F.col("value")).alias("valueString"), F.array(coded(F.col("interpretation"))).alias("interpretation"), F.array(F.struct(F.struct(F.lit(1.5).alias("value")).alias("low"))).alias("referenceRange"), F.date_format("effective_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("effectiveDateTime"),
     )
     r = fhir.of_type(r, "Observation", category="laboratory")
@@ -260,7 +260,7 @@ def fhir_observations(spark, sf_dir):
 
 @query(cte("medications") + "select concat(encounter_id, '-', line) as source_id, cast(line as string) as patient_id, cast(encounter_id as string) as encounter_id, medication_name, 'active' as status, frequency as dosage, route, cast(start_date as timestamp) as authored_date from medications")
 def fhir_medications(spark, sf_dir):
-    m = raw(spark, sf_dir, "medications")
+    m = raw(spark, sf_dir, "medications", wide=True)
     dose = F.array(F.struct(F.col("frequency").alias("text"), coded(F.col("route")).alias("route")))
     out = fhir.medications(bundled(m, "MedicationRequest", "line", F.concat_ws("-", "encounter_id", "line").alias("id"), visit(), F.struct(F.col("medication_name").alias("text")).alias("medicationCodeableConcept"), F.lit("active").alias("status"), dose.alias("dosageInstruction"), text("start_date").alias("authoredOn")))
     return out.withColumn("authored_date", F.col("authored_date").cast("timestamp_ntz"))
@@ -269,7 +269,7 @@ def fhir_medications(spark, sf_dir):
 def varied(spark, sf_dir) -> DataFrame:
     """Two messages to a text, with delimiters of their own in one of them: discharges of any class with two diagnoses, and
     results with a number and a text."""
-    e = raw(spark, sf_dir, "encounters")
+    e = raw(spark, sf_dir, "encounters", wide=True)
     n, stamp = text("encounter_id"), F.date_format("admission_date", "yyyyMMddHHmmss")
     classes = pick(F.col("encounter_id"), *T.HL7_CLASS, "Z")
     adt = F.concat_ws("\r", F.concat(F.lit("MSH|@~\\&|ADM|H|L|H|"), stamp, F.lit("||ADT@A03|A"), n, F.lit("|P|2.5")), F.concat(F.lit("PID|1||"), text("patient_id"), F.lit("~second||Doe@Jo||19700102|"), pick(F.col("encounter_id"), *T.HL7_GENDER)), F.concat(F.lit("PV1|1|"), classes, F.lit("|"), F.col("department"), F.lit("@1|" + "|" * 15), n), F.lit("DG1|1||I10@One^two@X|||A"), F.lit("DG1|2||J44.1@Two|||F"))

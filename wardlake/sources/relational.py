@@ -6,6 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes below which a table is small.
+SMALL = 1 << 30
+
+
+def read_parquet(spark: SparkSession, *paths: str, wide: bool = False) -> DataFrame:
+    """Parquet files. For wide work, much of it for each row, a small table of fewer files than the session has cores is dealt
+    out over them, as a small file is often one row group and so one task. Other tables are read as they lie, without a
+    shuffle. Filters and columns reach the scan either way."""
+    df = spark.read.parquet(*paths)
+    cores = spark.sparkContext.defaultParallelism
+    if not wide or len(df.inputFiles()) >= cores:
+        return df
+    size = spark.read.format("binaryFile").load(list(paths)).agg(F.sum("length")).first()[0] or 0  # lists files, opens none
+    return df.repartition(cores) if size < SMALL else df
+
+
 def read_jdbc(spark: SparkSession, url: str, name: str, split_on: str | None = None, low: int = 0, high: int = 0, parts: int = 8, **options: str) -> DataFrame:
     """A table read in `parts` ranges of a numeric column, or in one."""
     reader = spark.read.format("jdbc").options(url=url, dbtable=name, **options)
