@@ -1,15 +1,13 @@
 """Table loads: upserts, history, retention and watermarks over Parquet tables.
 
-Every load is a function from the old table and new rows to the next table. publish() writes that to a folder of its own and
-then records it as the table's next version, so a path that is being read is never overwritten; upsert_bucketed() writes only
-the part of a table that a load touches.
+Every load is a function from the old table and new rows to the next table. versioned.py writes that to folders of its own and
+then records it as the table's next version, so a path that is being read is never overwritten.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -17,11 +15,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as st
 
+from wardlake.operators import versioned
+from wardlake.operators.versioned import current, fitted, latest, publish
 
-def latest(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """The newest row of each key; all of a key's columns decide between equals."""
-    order = [F.col(by).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in rows.columns if c not in keys and c != by]]
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
+__all__ = ["append", "create", "current", "fitted", "latest", "publish"]
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], by: str) -> DataFrame:
@@ -40,7 +37,10 @@ def upsert_columns(base: DataFrame, updates: DataFrame, keys: list[str], columns
 
 
 def insert_if_absent(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    return base.unionByName(rows.dropDuplicates(keys).join(base, keys, "left_anti").select(base.columns))
+    """Rows whose key the base lacks are added; of several of one key the first in the order of all columns."""
+    first = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in rows.columns if c not in keys], F.lit(0))
+    once = rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    return base.unionByName(once.join(base, keys, "left_anti").select(base.columns))
 
 
 def retain(df: DataFrame, at: str, as_of: str, days: int = 90) -> DataFrame:
@@ -49,10 +49,12 @@ def retain(df: DataFrame, at: str, as_of: str, days: int = 90) -> DataFrame:
 
 def scd2(dim: DataFrame, source: DataFrame, key: str, tracked: list[str], effective: str) -> DataFrame:
     """Type-2 history: current rows whose tracked columns differ (nulls count as values) are closed at `effective`, and new
-    versions and new keys are added. dim has key, tracked, effective_date, expiration_date, is_current."""
+    versions and new keys are added. dim has key, tracked, effective_date, expiration_date, is_current. Of several rows of one
+    key in the source the first in the order of the tracked columns counts; history.py takes all of them, and late ones."""
     day = F.lit(effective).cast("date")
     sign = F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in tracked]), {"ignoreNullFields": "false"}), 256)
-    now = source.dropDuplicates([key]).select(key, *tracked).withColumn("_sign", sign)
+    least = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in tracked], F.lit(0))
+    now = source.select(key, *tracked).withColumn("_n", F.row_number().over(least)).where("_n = 1").drop("_n").withColumn("_sign", sign)
     marked = dim.withColumn("_mine", sign).join(now.select(key, F.col("_sign").alias("_theirs")), key, "left")
     stale = F.col("is_current") & F.col("_theirs").isNotNull() & (F.col("_mine") != F.col("_theirs"))
     kept = marked.withColumn("expiration_date", F.when(stale, day).otherwise(F.col("expiration_date"))).withColumn("is_current", F.col("is_current") & ~stale).select(dim.columns)
@@ -92,11 +94,6 @@ def forgotten(watermarks: DataFrame, source_system: str, entity_type: str) -> Da
     return watermarks.where(~((F.col("source_system") == source_system) & (F.col("entity_type") == entity_type)))
 
 
-def fitted(rows: DataFrame, schema: st.StructType) -> DataFrame:
-    """rows in the columns and types of a table: unknown columns go, missing ones are null."""
-    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def append(rows: DataFrame, path: str, schema: st.StructType) -> int:
     """Appends the fitted rows to the Parquet table at path and returns how many they were."""
     seen = Observation()
@@ -109,120 +106,25 @@ def create(spark: SparkSession, path: str, schema: st.StructType) -> None:
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
-def _files(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """The numbers of the versions that root/_versions records, in order."""
-    at, fs = _files(spark, f"{root}/_versions")
-    return sorted(int(f.getPath().getName()) for f in fs.listStatus(at) if f.getPath().getName().isdigit()) if fs.exists(at) else []
-
-
-def _record(spark: SparkSession, root: str, paths: list[str], after: int | None) -> bool:
-    """Records paths as the version after `after`; False if another writer was first. The list is written aside and then
-    renamed, so a version is there whole or not at all."""
-    aside, fs = _files(spark, f"{root}/_versions/.{uuid4().hex}")
-    out = fs.create(aside)
-    out.write(bytearray("\n".join(paths).encode()))
-    out.close()
-    to, _ = _files(spark, f"{root}/_versions/{0 if after is None else after + 1:09d}")
-    if not fs.exists(to) and fs.rename(aside, to):
-        return True
-    fs.delete(aside, False)
-    return False
-
-
-def parts(spark: SparkSession, root: str) -> tuple[int | None, list[str]]:
-    """(the newest version's number, the folders that it consists of)."""
-    known = _versions(spark, root)
-    if not known:
-        return None, []
-    return known[-1], [r["value"] for r in spark.read.text(f"{root}/_versions/{known[-1]:09d}").collect()]  # a line a folder
-
-
-def publish(df: DataFrame, root: str) -> str:
-    """Writes df to a folder of its own under root and records it in root/_versions as the table's next version; returns
-    the folder. A write that fails leaves a folder that no version names. Of writers at once the last one recorded is current."""
-    spark, path = df.sparkSession, f"{root}/data/{uuid4().hex}"
-    df.write.parquet(path)
-    while not _record(spark, root, [path], parts(spark, root)[0]):
-        pass
-    return path
-
-
-def current(spark: SparkSession, root: str, schema: st.StructType | None = None) -> DataFrame:
-    """The newest version under root; without one, no rows of the given schema."""
-    paths = parts(spark, root)[1]
-    if not paths and schema is not None:
-        return spark.createDataFrame([], schema)
-    if not paths:
-        raise FileNotFoundError(f"no version under {root}")
-    return spark.read.parquet(*paths)
-
-
-BUCKET = "_bucket"
-
-
-def bucket_of(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def create_bucketed(df: DataFrame, root: str, keys: list[str], buckets: int = 64) -> None:
-    """Publishes df as a table of one folder for each bucket of its keys, so that a load can replace some of them."""
-    path = f"{root}/data/{uuid4().hex}"
-    df.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
-    spark = df.sparkSession
-    if not _record(spark, root, [path_of for _, path_of in sorted(_buckets(spark, [path]).items())], parts(spark, root)[0]):
-        raise RuntimeError(f"another writer changed {root}")
-
-
-def _buckets(spark: SparkSession, paths: list[str]) -> dict[int, str]:
-    out = {}
-    for path in paths:
-        at, fs = _files(spark, path)
-        found = [at] if at.getName().startswith(f"{BUCKET}=") else [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith(f"{BUCKET}=")]
-        out |= {int(p.getName().split("=")[1]): p.toString() for p in found}
-    return out
-
-
-def upsert_bucketed(updates: DataFrame, root: str, keys: list[str], by: str, buckets: int = 64) -> list[int]:
-    """Upserts into a table of create_bucketed: only the buckets that the updates' keys fall in are read and written again,
-    the others stay as they are; returns the buckets written. The new version names old and new folders, so readers see all
-    of the load or none. updates may hold columns that the table lacks; they go. Another load in between is an error."""
-    spark = updates.sparkSession
-    version, paths = parts(spark, root)
-    have = _buckets(spark, paths)
-    new = updates.withColumn(BUCKET, bucket_of(keys, buckets))
-    touched = sorted(r[BUCKET] for r in new.select(BUCKET).distinct().collect())  # `buckets` rows at most
-    old = [have[b] for b in touched if b in have]
-    if not touched:
-        return []
-    base = spark.read.parquet(*(old or list(have.values())))
-    base = base if old else base.limit(0)
-    rows = upsert(base, fitted(latest(updates, keys, by), base.schema).withColumn("_by", F.lit(1)), keys, "_by")
-    path = f"{root}/data/{uuid4().hex}"
-    rows.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
-    have |= _buckets(spark, [path])
-    if not _record(spark, root, [p for _, p in sorted(have.items())], version):
-        raise RuntimeError(f"another writer changed {root}")
-    return touched
+_MARKS = st.StructType([st.StructField("source_system", st.StringType()), st.StructField("entity_type", st.StringType()), st.StructField("last_value", st.TimestampNTZType())])
 
 
 def incremental_load(rows: DataFrame, root: str, marks_root: str, source_system: str, entity_type: str, keys: list[str], times: list[str], lookback_hours: int = 2) -> dict[str, int]:
-    """One incremental load: rows from the mark on (less the lookback) are upserted into the table at root by their latest
-    event time, and then the mark moves to it. If the load fails the mark stays, and running it again does no harm."""
+    """One incremental load: rows from the mark on (less the lookback) are upserted into the keyed table at root by their
+    latest event time, and then the mark moves to it. Only the parts that may hold the rows' keys are opened. If the load
+    fails the mark stays, and running it again does no harm; of loads at once both survive, and a mark never moves back."""
     spark = rows.sparkSession
-    marks = current(spark, marks_root, st.StructType([st.StructField("source_system", st.StringType()), st.StructField("entity_type", st.StringType()), st.StructField("last_value", st.TimestampNTZType())]))
+    for at, shape, by in ((root, rows.schema, keys), (marks_root, _MARKS, ["source_system", "entity_type"])):
+        if versioned.manifest(spark, at) is None:
+            versioned.create(spark.createDataFrame([], shape), at, by)
+    marks = versioned.current(spark, marks_root)
     mine = marks.where((F.col("source_system") == source_system) & (F.col("entity_type") == entity_type)).agg(F.max("last_value").cast("string")).first()[0]
     fresh = since(rows.withColumn("_at", event_time(*times)), F.col("_at"), mine, lookback_hours)
     moved = fresh.agg(F.count("*").alias("rows"), F.max("_at").cast("timestamp_ntz").alias("last_value")).first()
     if not moved["rows"]:
         return {"rows": 0}
-    publish(upsert(current(spark, root, rows.schema), fresh, keys, "_at"), root)
-    step = spark.createDataFrame([(source_system, entity_type, moved["last_value"])], marks.schema)
-    publish(advance(marks, step), marks_root)
+    versioned.upsert(fresh, root, keys, "_at")
+    versioned.upsert(spark.createDataFrame([(source_system, entity_type, moved["last_value"])], _MARKS), marks_root, ["source_system", "entity_type"], "last_value", newer_only=True)
     return {"rows": moved["rows"]}
 
 
@@ -231,11 +133,11 @@ LOAD_COUNTS = "source string, extracted long, loaded long, failed long, phi_warn
 
 
 def load_sources(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], folder: str, warns: dict[str, Callable[[DataFrame], Column]] | None = None) -> DataFrame:
-    """Loads the standard records of each source (those without `_errors`) as Parquet under folder/source; one row of
-    LOAD_COUNTS for each source.
+    """Loads the standard records of each source (those without `_errors`) as the next version of the table at folder/source;
+    one row of LOAD_COUNTS for each source.
 
-    Records are counted while they are written, in one pass. A source that cannot be read or written gets its error, and the
-    others are loaded all the same. warns: for a source, the column that marks records to be warned of.
+    Records are counted while they are written, in one pass. A source that cannot be read or written gets its error and keeps
+    its last good version, and the others are loaded all the same. warns: for a source, the column that marks records to be warned of.
     """
     counts = []
     for name, read in sources.items():
@@ -245,7 +147,7 @@ def load_sources(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]
             warned = F.count_if((warns or {}).get(name, lambda _: F.lit(False))(df))
             good = F.size("_errors") == 0
             df = df.observe(seen, F.count("*").alias("extracted"), F.count_if(good).alias("loaded"), F.count_if(~good).alias("failed"), warned.alias("phi_warnings"))
-            df.where(good).drop("_errors").write.mode("overwrite").parquet(f"{folder}/{name}")
+            versioned.publish(df.where(good).drop("_errors"), f"{folder}/{name}")
             got = seen.get
             counts.append((name, *[got[c] for c in ("extracted", "loaded", "failed", "phi_warnings")], time.monotonic() - began, None))
         except (PySparkException, Py4JJavaError) as e:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardlake.functions import dates
 from wardlake.functions import tables as T
-from wardlake.operators import loads, phi, rules, standardise, star
+from wardlake.operators import loads, phi, rules, standardise, star, versioned
 from wardlake.operators import raw as records
 from wardlake.plans import oracle as o
 from wardlake.plans.catalogue import _LABV, AS_OF, DX, ENC, ORACLE_SQL, PX, QUERIES, _age, _any, _category, _cpt, _digits, _doses, _dx, _flat, _known, _news, _status, _ten, _title, _usual, query, std_encounters, table
@@ -299,26 +299,59 @@ def hl7_genders(spark, sf_dir):
 
 # ---- streams
 
+def census_of(spark, sf_dir, events: DataFrame, units: DataFrame) -> DataFrame:
+    """The sums of the stream's steps by unit. The events come twice, in any order, in eight files of which a batch takes two."""
+    at = scratch.folder(spark, "moves")
+    both = events.select(*[F.col(f.name).cast(f.dataType) for f in spark.createDataFrame([], streams.CENSUS_EVENT).schema.fields])
+    both.unionByName(both).repartition(8, F.xxhash64("event_id", F.rand(7))).write.parquet(f"{at}/moves")
+    steps = streams.live_census(spark.readStream.schema(streams.CENSUS_EVENT).option("maxFilesPerTrigger", 2).parquet(f"{at}/moves"), late="12000 days")
+    store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", streams.STATE_STORE)
+    try:
+        summed = streams.drained(steps, "steps", f"{at}/checkpoint", "append").groupBy("unit").agg(F.sum("step").alias("census"))
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", store)
+    return units.join(summed, "unit", "left").select("unit", F.coalesce("census", F.lit(0)).alias("census"))
+
+
+def census_events(e: DataFrame) -> DataFrame:
+    """An admission and, where there is one, a discharge for each encounter."""
+    event = lambda when, n, at, kind: e.where(when).select("encounter_id", (F.col("encounter_id") * 8 + n).alias("event_id"), F.col(at).alias("at"), F.lit(kind).alias("kind"), F.col("department").alias("unit"), F.lit(None).cast("long").alias("of"))
+    return event(F.lit(True), 0, "admission_date", "admit").unionByName(event(F.col("discharge_date").isNotNull(), 1, "discharge_date", "discharge"))
+
+
 @query(cte("encounters") + "select department as unit, count(*) - count(discharge_date) as census from encounters group by 1")
 def live_census(spark, sf_dir):
-    """Admissions and discharges as a stream of steps; its last state is the batch result."""
-    e, at = raw(spark, sf_dir, "encounters"), scratch.folder(spark, "moves")
-    step = lambda when, n: e.where(when).select(F.col("department").alias("unit"), F.lit(n).alias("step"))
-    moves = step(F.lit(True), 1).unionByName(step(F.col("discharge_date").isNotNull(), -1))
-    moves.write.parquet(f"{at}/moves")
-    stream = streams.live_census(spark.readStream.schema(moves.schema).parquet(f"{at}/moves"))
-    return streams.drained(stream, f"census_{abs(hash(at))}", f"{at}/checkpoint")
+    """Admissions and discharges as a stream of events; the steps that come of them add up to the batch result."""
+    e = raw(spark, sf_dir, "encounters")
+    return census_of(spark, sf_dir, census_events(e), e.select(F.col("department").alias("unit")).distinct())
 
 
-@query(cte("encounters") + "select concat('C', encounter_id) as control_id, cast(patient_id as string) as patient_id from encounters where encounter_id % 50 = 1")
+@query(
+    cte("encounters")
+    + """, placed as (select case when encounter_id % 10 = 0 then 'STEP' else department end as unit, (discharge_date is null or encounter_id % 13 = 0) and not (encounter_id % 17 = 0 and encounter_id % 10 <> 0) as here from encounters)
+select unit, count(case when here then 1 end) as census from placed group by 1"""
+)
+def live_census_corrected(spark, sf_dir):
+    """The same with moves, and with discharges and admissions that are taken back."""
+    e = raw(spark, sf_dir, "encounters")
+    events, id_ = census_events(e), F.col("encounter_id")
+    moves = events.where("kind = 'admit' and encounter_id % 10 = 0").withColumns({"event_id": id_ * 8 + 2, "kind": F.lit("move"), "unit": F.lit("STEP")})
+    taken_back = ((F.col("kind") == "discharge") & (id_ % 13 == 0)) | ((F.col("kind") == "admit") & (id_ % 17 == 0) & (id_ % 10 != 0))
+    cancels = events.where(taken_back).withColumns({"of": F.col("event_id"), "event_id": F.col("event_id") + 4, "kind": F.lit("cancel")})
+    units = e.select(F.when(id_ % 10 == 0, "STEP").otherwise(F.col("department")).alias("unit")).distinct()
+    return census_of(spark, sf_dir, events.unionByName(moves).unionByName(cancels), units)
+
+
+@query(cte("encounters") + "select concat('C', encounter_id) as control_id, cast(patient_id as string) as patient_id from encounters")
 def hl7_stream(spark, sf_dir):
     """Messages that land twice in a folder, taken in once."""
-    e, at = raw(spark, sf_dir, "encounters").where("encounter_id % 50 = 1"), scratch.folder(spark, "landing")
+    e, at = raw(spark, sf_dir, "encounters"), scratch.folder(spark, "landing")
     message = F.concat(F.lit("MSH|^~\\&|ADM|H|L|H|20240101120000||ADT^A01|C"), text("encounter_id"), F.lit("|P|2.5\rPID|1||"), text("patient_id"), F.lit("\r"))
     both = e.select(message.alias("value")).unionByName(e.select(message.alias("value")))
-    both.repartition(2).write.option("lineSep", "\n").text(f"{at}/in.hl7")
+    both.repartition(16).write.option("lineSep", "\n").text(f"{at}/in.hl7")
     taken = streams.hl7_intake(spark, at).select("control_id", hl7.field(hl7.segment("PID"), 3).alias("patient_id"))
-    return streams.drained(taken, f"intake_{abs(hash(at))}", f"{at}/checkpoint", "append")
+    return streams.drained(taken, "intake", f"{at}/checkpoint", "append")
 
 
 # ---- loads
@@ -330,10 +363,10 @@ _ROWS = "o_orderkey, o_orderstatus, o_totalprice"
 def upsert_by_bucket(spark, sf_dir):
     """A table in buckets of its key, of which a load writes those that it touches."""
     rows, at = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), "o_totalprice"), scratch.folder(spark, "orders")
-    loads.create_bucketed(rows.where("o_orderkey % 2 = 0 or o_orderkey % 16 = 3"), at, ["o_orderkey"], 8)
-    loads.upsert_bucketed(rows.where("o_orderkey % 16 = 3").withColumns({"status": F.lit("X"), "at": F.lit(1), "unknown": F.lit("goes")}), at, ["o_orderkey"], "at", 8)
-    loads.upsert_bucketed(rows.where("o_orderkey % 16 = 5").withColumn("at", F.lit(1)), at, ["o_orderkey"], "at", 8)
-    return loads.current(spark, at).drop(loads.BUCKET)
+    versioned.create(rows.where("o_orderkey % 2 = 0 or o_orderkey % 16 = 3"), at, ["o_orderkey"], 8)
+    versioned.upsert(rows.where("o_orderkey % 16 = 3").withColumns({"status": F.lit("X"), "at": F.lit(1), "unknown": F.lit("goes")}), at, ["o_orderkey"], "at", 8)
+    versioned.upsert(rows.where("o_orderkey % 16 = 5").withColumn("at", F.lit(1)), at, ["o_orderkey"], "at", 8)
+    return versioned.current(spark, at)
 
 
 @query("select event_id, user_id, ts from events")

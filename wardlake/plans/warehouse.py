@@ -81,7 +81,7 @@ def load_counts(spark, sf_dir):
     counts = loads.load_sources(spark, sources, folder, {"patients": lambda df: ~phi.safe_to_log(df, ["email", "first_name"])})
     stored = None
     for name in ("encounters", "patients"):
-        n = spark.read.parquet(f"{folder}/{name}").agg(F.count("*").alias("stored")).withColumn("source", F.lit(name))
+        n = loads.current(spark, f"{folder}/{name}").agg(F.count("*").alias("stored")).withColumn("source", F.lit(name))
         stored = n if stored is None else stored.unionByName(n)
     return counts.join(F.broadcast(stored), "source", "left").select("source", "extracted", "loaded", "failed", "phi_warnings", F.col("error").isNotNull().alias("broken"), F.coalesce("stored", F.lit(0)).alias("stored"))
 

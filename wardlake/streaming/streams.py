@@ -1,13 +1,18 @@
-"""Structured Streaming jobs: HL7 intake, hourly arrivals, live census, and loads batch by batch."""
+"""Structured Streaming jobs: HL7 intake, hourly arrivals, live census, and loads batch by batch, each batch once."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from wardlake.sources import hl7
+from wardlake.operators import versioned
+from wardlake.sources import hl7, scratch
+
+#: State that a processor keeps by key lies in this store.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def hourly_arrivals(events: DataFrame, at: str = "ts", late: str = "2 hours") -> DataFrame:
@@ -22,18 +27,106 @@ def hl7_intake(spark: SparkSession, folder: str, late: str = "2 hours") -> DataF
     return hl7.headed(hl7.parsed(hl7.messages(files))).withWatermark("message_time", late).dropDuplicatesWithinWatermark(["control_id"])
 
 
-def live_census(moves: DataFrame) -> DataFrame:
-    """moves (unit, step: +1 for an admission, -1 for a discharge) as a running census by unit."""
-    return moves.groupBy("unit").agg(F.sum("step").alias("census"))
+# ---- live census
+
+#: An event of an encounter: kind is admit, move, discharge or cancel; a cancel names in `of` the event that it takes back.
+CENSUS_EVENT = "encounter_id long, event_id long, at timestamp, kind string, unit string, of long"
+CENSUS_STEP = "unit string, step int, at timestamp"
+
+
+def place_of(events: dict[int, tuple]) -> str | None:
+    """Where an encounter is, by all of its events that are not taken back: the unit of its last admission or move, nowhere
+    (None) after its last discharge. Events of one time follow each other by their ids; a null unit is Unknown."""
+    gone = {of for kind, _, _, of in events.values() if kind == "cancel"}
+    stays = [(at, k, kind, unit) for k, (kind, at, unit, _) in events.items() if kind != "cancel" and k not in gone]
+    if not stays:
+        return None
+    _, _, kind, unit = max(stays)
+    return None if kind == "discharge" else unit
+
+
+class Census(StatefulProcessor):
+    """Keeps the events of each encounter until it has been over for `keep_ms`, and gives the steps by which its place changes.
+
+    The place follows from the set of events alone, so neither their order nor repeats nor corrections matter. An encounter
+    that is nowhere gets a timer at its last event's time and keep_ms; when it fires the events go. Events older than the
+    watermark come too late, and Spark leaves them out before they get here.
+    """
+
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("events", "events array<struct<id: long, kind: string, at: long, unit: string, of: long>>, place string, timer long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known = self.held.get() if self.held.exists() else None
+        timer = known[2] if known else -1
+        events = {e[0]: tuple(e[1:]) for e in known[0]} if known else {}
+        before, newest = known[1] if known else None, None
+        for r in rows:
+            at = int(r["at"].timestamp() * 1000)
+            # of an event that comes again the greatest content counts, whichever came first
+            said = (r["kind"], at, r["unit"] if r["unit"] is not None else "Unknown", r["of"] if r["of"] is not None else -1)
+            events[r["event_id"]] = max(events.get(r["event_id"], said), said)
+            newest = r["at"] if newest is None else max(newest, r["at"])
+        if not events:
+            return
+        place = place_of(events)
+        over = max(e[1] for e in events.values()) + self.keep_ms if place is None else -1
+        if timer != over:
+            if timer >= 0:
+                self.handle.deleteTimer(timer)
+            if over >= 0:
+                self.handle.registerTimer(over)
+        self.held.update(([(k, *e) for k, e in events.items()], place, over))
+        if place != before:
+            if before is not None:
+                yield Row(unit=before, step=-1, at=newest)
+            if place is not None:
+                yield Row(unit=place, step=1, at=newest)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.held.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def live_census(events: DataFrame, late: str = "2 hours", keep_days: int = 30) -> DataFrame:
+    """events (CENSUS_EVENT) as steps (unit, +1 or -1, the time of the newest event behind it). The sums of the steps by unit
+    are the census. Events later than `late` no longer count; encounters that are over are forgotten keep_days after their last
+    event."""
+    timed = events.where("encounter_id is not null and event_id is not null and at is not null").withWatermark("at", late)
+    return timed.groupBy("encounter_id").transformWithState(Census(keep_days * 86_400_000), CENSUS_STEP, "Append", "EventTime")
+
+
+# ---- loads and results
+
+
+def load_batches(stream: DataFrame, root: str, name: str, checkpoint: str, keys: list[str] | None = None, by: str | None = None) -> StreamingQuery:
+    """Loads a stream into the versioned table at root, each batch once: upserts by keys into a keyed table, appends to a dated
+    one. A version names the last batch of `name` that it holds. So a batch that was recorded, but not yet in the checkpoint
+    when the job died, is left alone when it runs again."""
 
+    def load(batch: DataFrame, number: int) -> None:
+        if keys:
+            versioned.upsert(batch, root, keys, by, batch=(name, number))
+        else:
+            versioned.append(batch, root, batch=(name, number))
 
-def load_batches(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str):
-    """Runs `load` for each micro-batch; with upserts that are idempotent by key, a batch that is run again is harmless."""
-    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def drained(stream: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Everything there is so far, through the stream, as a table."""
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return stream.sparkSession.table(name)
+    """Everything there is so far, through the stream, as a table in the shared folder: appended files, or in complete mode the
+    last batch's result as the newest version."""
+    spark, at = stream.sparkSession, scratch.folder(stream.sparkSession, name)
+    out = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "complete":
+        out.foreachBatch(lambda batch, _: versioned.publish(batch, at)).start().awaitTermination()
+        return versioned.current(spark, at, stream.schema)
+    out.format("parquet").option("path", at).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(at)
