@@ -151,3 +151,13 @@ def worker_state(key: Hashable, make: Callable = dict):
         pa.default_memory_pool().release_unused()
         _held[key] = make()
     return _held[key]
+
+
+#: DuckDB: a table of one row, the CRC-32 of every byte.
+SQL_CRC_TABLE = "crc as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc_of)"
+
+
+def sql_crc32(text: str) -> str:
+    """DuckDB: the unsigned CRC-32 of a text of characters up to U+07FF, beside the table of SQL_CRC_TABLE."""
+    bytes_ = f"flatten(list_transform(string_split({text}, ''), lambda x: case when ord(x) < 128 then [ord(x)] else [192 | (ord(x) >> 6), 128 | (ord(x) & 63)] end))"
+    return f"xor(list_reduce(list_prepend(4294967295, {bytes_}), lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])), 4294967295)"

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import checkpointed, looked_up, table
+from wardlake.llm.common import SQL_CRC_TABLE, checkpointed, looked_up, sql_crc32, table
 
 #: How conversations of a group borrow the first turns of its first one.
 GROUP, MOST_BORROWED = 5, 9
@@ -184,3 +184,18 @@ def prefix_trie(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", r
 def op13_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trie of all conversations (nulls, ties and equal rows: see prefix_trie)."""
     return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def trie_sql() -> str:
+    """op13_prefixes in DuckDB SQL, by its definition: every prefix as a list, every node under all of its own prefixes."""
+    return f"""with {SQL_CRC_TABLE},
+own as (select conv_id as c, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as s from conversations where conv_id is not null group by 1),
+heads as (select c, s, cast({sql_crc32("cast(c as varchar)")} % {MOST_BORROWED} as int) as h from own, crc),
+seqs as (select o.c, list_concat(case when h > 0 then coalesce(b.s[1:h], []) else [] end, o.s[h + 1:]) as s from heads o left join own b on b.c = o.c - o.c % {GROUP}),
+prefixes as (select c, d, s[1:d] as p, d = len(s) as ends from (select c, s, unnest(range(0, len(s) + 1)) as d from seqs)),
+nodes as (select d, p, min(c) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(case when ends then cast(c as varchar) end, ',' order by c), '')) as ends_sha256, (count(*) - 1) * coalesce(any_value(strlen(p[d].x)), 0) as saved from prefixes group by 1, 2),
+kids as (select p[1:d - 1] as p, d - 1 as d, count(*) as n_children from nodes where d > 0 group by 1, 2),
+full_nodes as (select n.*, coalesce(n_children, 0) as n_children from nodes n left join kids k on n.d = k.d and n.p = k.p),
+under as (select a as d, p[1:a] as p, sum(saved) as saved, count(case when n_children = 0 then 1 end) as leaves from (select p, saved, n_children, unnest(range(0, d + 1)) as a from full_nodes) group by 1, 2)
+select n.conv_id, n.d as depth, up.conv_id as parent_conv_id, n.n_convs, n.n_children, u.leaves as n_leaves, cast(u.saved as bigint) as saved_tokens, n.ends_sha256
+from full_nodes n join under u on n.d = u.d and n.p = u.p left join nodes up on up.d = n.d - 1 and up.p = n.p[1:n.d - 1]"""

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import checkpointed, table
+from wardlake.llm.common import SQL_CRC_TABLE, checkpointed, sql_crc32, table
 
 #: What words are made of, in any case; only A-Z are lower-cased.
 RUN = "[A-Za-zÀ-ÿ]+"
@@ -199,3 +199,22 @@ def variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of all documents (null texts and ids: see variants)."""
     return variants(table(spark, sf_dir, "documents"))
+
+
+def variants_sql() -> str:
+    """op12_spelling in DuckDB SQL: near words share what is left of them without one letter."""
+    cut = "left({w}, {i} - 1) || substr({w}, {i} + 1)"
+    return f"""with recursive {SQL_CRC_TABLE},
+runs as (select doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{RUN}')) as run from documents),
+counted as (select coalesce(cast(doc_id as varchar), '') || ':' || run as at, run, count(*) as n from runs group by 1, 2),
+marked as (select run, n, {sql_crc32("at")} as h from counted, crc),
+typed as (select case when h % {TYPO_EVERY} = 0 then {cut.format(w="run", i="(h % length(run) + 1)")} else run end as word, n from marked),
+words as (select word, cast(sum(n) as bigint) as n from typed where length(word) >= {LEAST_LETTERS} group by 1 having sum(n) >= {LEAST_SEEN}),
+less as (select *, {cut.format(w="word", i="i")} as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+longer as (select distinct a.word, a.n, b.word as other, b.n as other_n from less a join words b on a.rest = b.word),
+near as (select * from longer union all select other, other_n, word, n from longer union all select a.word, a.n, b.word, b.n from less a join less b on a.rest = b.rest and a.i = b.i and a.word <> b.word),
+best as (select *, count(*) over (partition by word) as n_near, row_number() over (partition by word order by other_n desc, other) as k from near),
+formed as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when other_n >= {RATIO} * w.n then other end as form, case when other_n >= {RATIO} * w.n then other_n end as form_n from words w left join (select * from best where k = 1) b on w.word = b.word),
+walk as (select word, word as root from formed union all select w.word, f.form from walk w join formed f on w.root = f.word where f.form is not null),
+ends as (select w.word, w.root from walk w join formed f on w.root = f.word where f.form is null)
+select f.word, form, root, n, n_near, form_n from formed f join ends e on f.word = e.word"""
