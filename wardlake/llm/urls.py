@@ -18,6 +18,9 @@ ORDER = 4
 SCALE = 1 << 32
 #: How many sightings the next shorter context counts as.
 BACK_OFF = 2.0
+#: URLs with a rule are dealt to so many folds, and each is scored for the threshold by what the others hold.
+FOLDS = 4
+HELD = [f"_{k}" for k in range(FOLDS)]
 _start, _end = "\x02" * ORDER, "\x03"
 
 
@@ -44,14 +47,14 @@ def grams(url: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(chars) - ORDER), lambda i: F.array_join(F.slice(chars, i, ORDER + 1), ""))
 
 
-def log_ratios(counted: DataFrame) -> DataFrame:
-    """counted (g, allowed, blocked: sightings) with ratio, the logarithm of P(last character | those before it) among
-    allowed URLs over that among blocked ones.
+def log_ratios(counted: DataFrame, models: tuple[str, ...] = ("",)) -> DataFrame:
+    """counted (g, and for each model, by the end of the column's name, allowed and blocked: sightings) with ratio, the logarithm
+    of P(last character | those before it) among allowed URLs over that among blocked ones.
 
     Each probability backs off: p_k = (n(context, c) + BACK_OFF * p_(k-1)) / (n(context) + BACK_OFF), down to single
     characters with one sighting added to each. So the context used is as long as the data bear.
     """
-    sides = ("allowed", "blocked")
+    sides = [s + m for m in models for s in ("allowed", "blocked")]
     alone = Window.partitionBy("all")
     shorter = counted.groupBy(F.right("g", F.lit(1)).alias("g")).agg(*[F.sum(s).alias(s) for s in sides]).withColumn("all", F.lit(1))  # the alphabet
     shorter = shorter.select("g", *[((F.col(s) + 1.0) / (F.sum(s).over(alone) + F.count("*").over(alone))).alias(f"p_{s}") for s in sides])
@@ -61,42 +64,53 @@ def log_ratios(counted: DataFrame) -> DataFrame:
         level = level.select("g", *sides, *[F.sum(s).over(context).alias(f"n_{s}") for s in sides], F.right("g", F.lit(k)).alias("tail"))
         level = level.join(shorter.select(F.col("g").alias("tail"), *[f"p_{s}" for s in sides]), "tail")
         shorter = level.select("g", *sides, *[((F.col(s) + BACK_OFF * F.col(f"p_{s}")) / (F.col(f"n_{s}") + BACK_OFF)).alias(f"p_{s}") for s in sides])
-    return shorter.select("g", "allowed", "blocked", (F.log("p_allowed") - F.log("p_blocked")).alias("ratio"))
+    return shorter.select("g", *sides, *[(F.log(f"p_allowed{m}") - F.log(f"p_blocked{m}")).alias(f"ratio{m}") for m in models])
+
+
+def fold_of(url: Column) -> Column:
+    return (F.instr(F.lit("0123456789abcdef"), F.left(F.md5(url.cast("binary")), F.lit(1))) - 1) % FOLDS
 
 
 @dataclass
 class UrlModel:
-    """ratios: g, n (its sightings), ratio (in units of 1 / SCALE) for every distinct string of characters that was seen;
-    threshold: URLs whose mean ratio reaches it are allowed."""
+    """ratios: g, n (its sightings), ratio (in units of 1 / SCALE: that of the whole model, then those of the models without
+    each fold) for every distinct string of characters that was seen; threshold: URLs whose mean ratio reaches it are allowed."""
 
     ratios: DataFrame
     threshold: float
 
-    def scored(self, urls: DataFrame) -> DataFrame:
-        """Distinct url with url_score, the mean log ratio over its characters. Whole numbers are summed, so the order of
-        rows changes nothing."""
-        looked = looked_up(urls.select("url", F.explode(grams(F.col("url"))).alias("g")), self.ratios, "g", "ratio")
-        return looked.groupBy("url").agg((F.sum("ratio") / (F.count("*") * float(SCALE))).alias("url_score"))
+    def scored(self, urls: DataFrame, model: Column | None = None) -> DataFrame:
+        """Distinct url with url_score, the mean log ratio over its characters, by the whole model or the one of that number.
+        Whole numbers are summed, so the order of rows changes nothing."""
+        asked = urls.select("url", (F.lit(0) if model is None else model).alias("model"), F.explode(grams(F.col("url"))).alias("g"))
+        looked = looked_up(asked, self.ratios, "g", "ratio")
+        return looked.groupBy("url").agg((F.sum(F.get("ratio", F.col("model"))) / (F.count("*") * float(SCALE))).alias("url_score"))
 
 
 def fit(judged: DataFrame) -> tuple[UrlModel, DataFrame]:
     """The model, and url, n, verdict and url_score of each distinct URL. judged: distinct url, n (its rows) and verdict
     (allow, block or null). All rows count: those without a verdict add what characters and contexts there are, the others
-    train the two models and set the threshold where the balanced accuracy on them is best (among cells of a histogram of
-    a fixed width). With one kind of verdict or none the threshold is 0."""
-    seen = judged.select(F.explode(grams(F.col("url"))).alias("g"), "n", (F.col("verdict") == "allow").alias("a"), (F.col("verdict") == "block").alias("b"))
-    counted = checkpointed(seen.groupBy("g").agg(F.sum(F.when(F.col("a"), F.col("n")).otherwise(0)).alias("allowed"), F.sum(F.when(F.col("b"), F.col("n")).otherwise(0)).alias("blocked"), F.count("*").alias("n")))
-    ratios = log_ratios(counted).select("g", F.round(F.col("ratio") * SCALE).cast("long").alias("ratio"))
+    train the two models. URLs with a verdict are scored by the models without their own fold, as those without one are
+    scored by models that never saw them. On those scores (in cells of a histogram of a fixed width) the threshold is where
+    the balanced accuracy is best, in the middle between the cells on both sides of it. With one kind of verdict or none it
+    is 0."""
+    models = ("", *HELD)
+    seen = judged.select(F.explode(grams(F.col("url"))).alias("g"), "n", "verdict", fold_of(F.col("url")).alias("fold"))
+    side = lambda v, k: F.sum(F.when((F.col("verdict") == v) & (F.lit(True) if k is None else F.col("fold") != k), F.col("n")).otherwise(0))
+    sums = [side(v, k).alias(name + m) for k, m in zip((None, *range(FOLDS)), models, strict=True) for v, name in (("allow", "allowed"), ("block", "blocked"))]
+    counted = checkpointed(seen.groupBy("g").agg(*sums, F.count("*").alias("n")))
+    ratios = log_ratios(counted, models).select("g", F.array(*[F.round(F.col(f"ratio{m}") * SCALE).cast("long") for m in models]).alias("ratio"))
     model = UrlModel(checkpointed(counted.select("g", "n").join(ratios, "g")), 0.0)
-    scores = checkpointed(judged.join(model.scored(judged), "url"))
+    own = F.when(F.col("verdict").isNull(), 0).otherwise(fold_of(F.col("url")) + 1)
+    scores = checkpointed(judged.join(model.scored(judged, own), "url"))
     bins = scores.where("verdict is not null").select("verdict", "n", F.floor(F.least(F.greatest(F.col("url_score"), F.lit(-10.0)), F.lit(10.0)) * 100).alias("at")).groupBy("at").agg(F.sum(F.when(F.col("verdict") == "allow", F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("verdict") == "block", F.col("n")).otherwise(0)).alias("b")).orderBy("at").collect()  # 2001 bins at most
     allowed, blocked = sum(r["a"] for r in bins), sum(r["b"] for r in bins)
     if allowed and blocked:
-        best, kept, gone = -1.0, allowed, 0
+        best, kept, gone, last = -1.0, allowed, 0, None
         for r in bins:
             if (right := kept / allowed + gone / blocked) > best:
-                best, model.threshold = right, r["at"] / 100
-            kept, gone = kept - r["a"], gone + r["b"]
+                best, model.threshold = right, (r["at"] * 2 if last is None else r["at"] + last + 1) / 200
+            kept, gone, last = kept - r["a"], gone + r["b"], r["at"]
     return model, scores
 
 
@@ -114,8 +128,9 @@ def filtered(pages: DataFrame, url: str = "url", rules: tuple[tuple[str, str], .
     known = known.withColumn("rule", rule).withColumn("verdict", verdict)
     judged = checkpointed(known.select(F.coalesce(F.col(url), F.lit("")).alias("url"), "verdict").groupBy("url", "verdict").agg(F.count("*").alias("n")))
     model, scores = fit(judged)
-    open_ = known.where("verdict is null").withColumn("_url", F.coalesce(F.col(url), F.lit("")))
-    open_ = looked_up(open_.drop("url_score"), scores.where("verdict is null").select(F.col("url").alias("_url"), "n", "url_score"), "_url", "url_score").drop("_url")
+    key = next(f"_url{k}" for k in range(len(pages.columns) + 1) if f"_url{k}" not in pages.columns)
+    open_ = known.where("verdict is null").withColumn(key, F.coalesce(F.col(url), F.lit("")))
+    open_ = looked_up(open_.drop("url_score"), scores.where("verdict is null").select(F.col("url").alias(key), "n", "url_score"), key, "url_score").drop(key)
     open_ = open_.withColumn("verdict", F.when(F.col("url_score") >= model.threshold, "allow").otherwise("block"))
     return known.where("verdict is not null").withColumn("url_score", F.lit(None).cast("double")).unionByName(open_)
 
@@ -131,22 +146,26 @@ def verdicts_sql(rules: tuple[tuple[str, str], ...] = RULES) -> str:
     fits = lambda own, rest: f"(host = '{own}' or ends_with(host, '.{own}')) and starts_with(path, '/{rest}')"
     rule, verdict = (f"case {' '.join(f'when {fits(*name.split(chr(47), 1))} then {chr(39)}{x}{chr(39)}' for says, name in first for x in [says if k else name])} end" for k in (0, 1))
     form = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-    levels = """l0 as (select c as g, (a + 1::double) / (sum(a) over () + count(*) over ()) as pa, (b + 1::double) / (sum(b) over () + count(*) over ()) as pb
-  from (select right(g, 1) as c, sum(allowed)::bigint as a, sum(blocked)::bigint as b from counted group by 1))"""
+    each = lambda f, join=", ": join.join(f(m) for m in ("", *HELD))
+    levels = f"""l0 as (select c as g, {each(lambda m: f"(a{m} + 1::double) / (sum(a{m}) over () + count(*) over ()) as pa{m}, (b{m} + 1::double) / (sum(b{m}) over () + count(*) over ()) as pb{m}")}
+  from (select right(g, 1) as c, {each(lambda m: f"sum(allowed{m})::bigint as a{m}, sum(blocked{m})::bigint as b{m}")} from counted group by 1))"""
     for k in range(1, ORDER + 1):
         levels += f""",
-l{k} as (select x.g, (a + {BACK_OFF}::double * pa) / (na + {BACK_OFF}::double) as pa, (b + {BACK_OFF}::double * pb) / (nb + {BACK_OFF}::double) as pb
-  from (select g, a, b, sum(a) over (partition by left(g, {k})) as na, sum(b) over (partition by left(g, {k})) as nb
-    from (select right(g, {k + 1}) as g, sum(allowed)::bigint as a, sum(blocked)::bigint as b from counted group by 1)) x join l{k - 1} y on right(x.g, {k}) = y.g)"""
+l{k} as (select x.g, {each(lambda m: f"(a{m} + {BACK_OFF}::double * pa{m}) / (na{m} + {BACK_OFF}::double) as pa{m}, (b{m} + {BACK_OFF}::double * pb{m}) / (nb{m} + {BACK_OFF}::double) as pb{m}")}
+  from (select g, {each(lambda m: f"a{m}, b{m}, sum(a{m}) over (partition by left(g, {k})) as na{m}, sum(b{m}) over (partition by left(g, {k})) as nb{m}")}
+    from (select right(g, {k + 1}) as g, {each(lambda m: f"sum(allowed{m})::bigint as a{m}, sum(blocked{m})::bigint as b{m}")} from counted group by 1)) x join l{k - 1} y on right(x.g, {k}) = y.g)"""
+    ratio = lambda m: f"sum(round((ln(pa{m}) - ln(pb{m})) * {SCALE})::bigint)::double / (count(*) * {SCALE}::double)"
+    score = f"case when any_value(verdict) is null then {ratio('')} " + " ".join(f"when any_value(fold) = {k} then {ratio(m)}" for k, m in enumerate(HELD)) + " end"
+    held = "".join(f", sum(case when verdict = '{v}' and fold <> {k} then n else 0 end) as {name}_{k}" for k in range(FOLDS) for v, name in (("allow", "allowed"), ("block", "blocked")))
     return f"""with parted as (select page_id, coalesce(url, '') as url, translate(coalesce(regexp_extract(url, '{form}', 1), ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') as host, coalesce(regexp_extract(url, '{form}', 2), '') as path from pages),
 ruled as (select *, {rule} as rule, {verdict} as verdict from parted),
-judged as (select url, verdict, count(*) as n from ruled group by 1, 2),
+judged as (select url, verdict, count(*) as n, (strpos('0123456789abcdef', left(md5(url), 1)) - 1) % {FOLDS} as fold from ruled group by 1, 2),
 seen as (select *, substr(repeat(chr(2), {ORDER}) || url || chr(3), i, {ORDER + 1}) as g from (select *, unnest(range(1, length(url) + 2)) as i from judged)),
-counted as (select g, sum(case when verdict = 'allow' then n else 0 end) as allowed, sum(case when verdict = 'block' then n else 0 end) as blocked from seen group by 1),
+counted as (select g, sum(case when verdict = 'allow' then n else 0 end) as allowed, sum(case when verdict = 'block' then n else 0 end) as blocked{held} from seen group by 1),
 {levels},
-scores as (select url, any_value(verdict) as verdict, any_value(n) as n, sum(round((ln(pa) - ln(pb)) * {SCALE})::bigint)::double / (count(*) * {SCALE}::double) as score from seen join l{ORDER} using (g) group by url),
+scores as (select url, any_value(verdict) as verdict, any_value(n) as n, {score} as score from seen join l{ORDER} using (g) group by url),
 bins as (select floor(least(greatest(score, -10), 10) * 100) as cell, sum(case when verdict = 'allow' then n else 0 end)::double as a, sum(case when verdict = 'block' then n else 0 end)::double as b from scores where verdict is not null group by 1),
-tried as (select cell, sum(a) over () as all_a, sum(b) over () as all_b, sum(a) over (order by cell rows between current row and unbounded following) as kept, coalesce(sum(b) over (order by cell rows between unbounded preceding and 1 preceding), 0) as gone from bins),
-chosen as (select coalesce((select cell / 100 from tried where all_a > 0 and all_b > 0 order by kept / all_a + gone / all_b desc, cell limit 1), 0) as threshold)
+tried as (select cell, lag(cell) over (order by cell) as last, sum(a) over () as all_a, sum(b) over () as all_b, sum(a) over (order by cell rows between current row and unbounded following) as kept, coalesce(sum(b) over (order by cell rows between unbounded preceding and 1 preceding), 0) as gone from bins),
+chosen as (select coalesce((select case when last is null then cell * 2 else cell + last + 1 end / 200 from tried where all_a > 0 and all_b > 0 order by kept / all_a + gone / all_b desc, cell limit 1), 0) as threshold)
 select page_id, host, path, rule, coalesce(r.verdict, case when score >= threshold then 'allow' else 'block' end) as verdict, case when r.verdict is null then score end as url_score
 from ruled r join scores s on r.url = s.url cross join chosen"""
