@@ -96,7 +96,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, modulus: in
     """About `bound` labelled documents at most (doc_id, text, y), by a hash of doc_id, none of them held out.
 
     Labels that contradict each other for one id count as their largest. The sample of labels is bounded by
-    `bound`, so it is broadcast and no text is shuffled.
+    `bound`, so it is broadcast. Of documents that share an id the one with the least hash of its text is taken, so
+    repeated ids do not widen the sample; only the sample's texts are shuffled for that.
     """
     known = (
         labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), modulus, remainder))
@@ -105,8 +106,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, modulus: in
     )
     share = bound / max(1, known.count())
     if share < 1:
-        known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+        known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 40)) < int(share * (1 << 40)))
+    mine = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    return mine.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")).select("doc_id", "first.text", "y")
 
 
 def part_of(doc_id: Column, parts: int, seed: int) -> Column:

@@ -119,7 +119,8 @@ class LanguageModel:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", bound: int = SAMPLE, seed: int = 7) -> LanguageModel | None:
     """Learns from text and lang of documents that are not held out: every value of lang, from at most about `bound`
-    documents of each (fewer where languages are many), taken by a hash of doc_id. None where there is none to learn.
+    documents of each (fewer where languages are many), taken by a hash of doc_id and text, equal ones once. None where there
+    is none to learn.
 
     Families are told apart on the driver, by at most GATED documents; each family's pairs are fitted in a task.
     """
@@ -129,7 +130,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     if not languages:
         return None
     most = bound if languages <= LANGUAGES else min(bound, max(LEAST, bound * LANGUAGES // languages))
-    sample = known.join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(10**12)) * F.col("n").cast("double") < float(10**12) * most)
+    h = F.xxhash64("doc_id", "text", F.lit(seed))
+    sample = known.join(F.broadcast(counts), "lang").where(F.pmod(h, F.lit(10**12)) * F.col("n").cast("double") < float(10**12) * most)
+    sample = sample.groupBy("lang", "doc_id", h.alias("h")).agg(F.first("text").alias("text"))  # equal rows are one
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -174,8 +177,9 @@ def with_language(docs: DataFrame, model: LanguageModel | None, text: str = "tex
     A text that is null or has no letter is `und` with score 0, as every text is where nothing was learned. Equal texts
     get the same values; an empty table stays empty.
     """
-    found = docs.withColumn("_found", predictor(model)(F.col(text)))
-    return found.withColumn("lang_pred", F.col("_found.lang_pred")).withColumn("score", F.col("_found.score")).drop("_found")
+    key = next(f"_found{k}" for k in range(len(docs.columns) + 1) if f"_found{k}" not in docs.columns)
+    found = docs.withColumn(key, predictor(model)(F.col(text)))
+    return found.withColumn("lang_pred", F.col(f"{key}.lang_pred")).withColumn("score", F.col(f"{key}.score")).drop(key)
 
 
 def known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
