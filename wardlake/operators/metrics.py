@@ -33,6 +33,19 @@ def unit_census(enc: DataFrame, as_of: Column) -> DataFrame:
     return here.groupBy(F.coalesce("department", F.lit("Unknown")).alias("department")).agg(F.countDistinct("encounter_id").alias("census"), F.count_if("is_inpatient").alias("inpatients"))
 
 
+def ed_now(enc: DataFrame, as_of: Column) -> DataFrame:
+    """One row of the emergency department at a time: patients who came that day and are there, those not yet seen by a provider
+    (`provider_contact`), those in treatment, those who wait for a bed elsewhere, and the mean wait so far in minutes of those
+    not yet seen. A patient whose discharge is set for later is there; one who boards may be in treatment too."""
+    here = enc.where(F.col("is_emergency") & (F.col("admission_date") >= F.date_trunc("day", as_of)) & (F.col("admission_date") <= as_of) & (F.col("discharge_date").isNull() | (F.col("discharge_date") > as_of)))
+    unseen = F.col("provider_contact").isNull() | (F.col("provider_contact") > as_of)
+    waited = F.timestamp_diff("SECOND", F.col("admission_date"), as_of) / 60
+    return here.agg(
+        F.count("*").alias("current_volume"), F.count_if(unseen).alias("waiting"), F.count_if(~unseen & F.col("discharge_date").isNull()).alias("in_treatment"),
+        F.count_if(F.col("discharge_disposition") == "admit_pending").alias("boarding"), F.round(F.avg(F.when(unseen, waited)), 2).alias("avg_wait_minutes"),
+    )
+
+
 def ed_daily(enc: DataFrame) -> DataFrame:
     er = enc.where("is_emergency")
     left = F.col("discharge_disposition")

@@ -82,12 +82,19 @@ def scan_summary(df: DataFrame, key: str, exclude: tuple[str, ...] = ()) -> Data
     return scan(df, key, exclude).groupBy("kind", "field").agg(F.count("*").alias("findings"), F.countDistinct(key).alias("records"))
 
 
-def batch_summary(df: DataFrame, key: str, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """One row: records scanned, those with findings, their share in percent, and all findings."""
+def batch_summary(df: DataFrame, key: str, exclude: tuple[str, ...] = (), sample: int | None = None, seed: int = 5) -> DataFrame:
+    """One row: records scanned, those with findings, their share in percent, all findings, and how many there are by kind and
+    by field (maps). sample: so many records at most are scanned, those with the least hash of their key; several of a key
+    count as they come."""
+    if sample is not None:
+        df = df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(sample)
     scanned = df.agg(F.count("*").alias("n"))
-    found = scan(df, key, exclude).agg(F.countDistinct(key).alias("records_with_findings"), F.count("*").alias("findings"))
-    out = found.select(scanned.scalar().alias("records_scanned"), "records_with_findings", "findings")
-    return out.withColumn("rate_pct", F.round(F.col("records_with_findings") / F.nullif("records_scanned", F.lit(0)) * 100, 2))
+    found = scan(df, key, exclude)
+    counted = found.groupBy("kind", "field").agg(F.count("*").alias("n"))  # a row for each kind and text of the schema
+    by = lambda c: counted.groupBy(c).agg(F.sum("n").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(c, "n")))).alias("m")).scalar()
+    one = found.agg(F.countDistinct(key).alias("records_with_findings"), F.count("*").alias("findings"))
+    out = one.select(scanned.scalar().alias("records_scanned"), "records_with_findings", "findings")
+    return out.withColumn("rate_pct", F.round(F.col("records_with_findings") / F.nullif("records_scanned", F.lit(0)) * 100, 2)).withColumns({"by_kind": by("kind"), "by_field": by("field")})
 
 
 #: Fields that are never logged.
@@ -95,18 +102,35 @@ SENSITIVE = ("ssn", "social_security", "mrn", "medical_record_number", "patient_
 
 
 def redacted_by_name(df: DataFrame, names: tuple[str, ...] = SENSITIVE) -> DataFrame:
-    """df in which every text, number or date in a field of one of the names is replaced, at any depth: structs are rebuilt,
-    items of arrays take their array's name, values of maps their keys'."""
+    """df in which nothing stays under a name of the list, at any depth: structs are rebuilt, items of arrays take their array's
+    name, values of maps their keys'. A text, number or date in such a field becomes REDACTED; below a struct or a map's key of
+    such a name texts do, and all else becomes null, as a map's values have one type whatever their keys. Keys of maps are
+    kept, and so are values of maps whose keys are no texts, unless they hold named fields themselves."""
 
-    def clean(kind: st.DataType, at: Column, name: str) -> Column:
+    def gone(kind: st.DataType, at: Column) -> Column:
         if isinstance(kind, st.StructType):
-            return F.when(at.isNotNull(), F.struct(*[clean(f.dataType, at[f.name], f.name).alias(f.name) for f in kind.fields]))
+            return F.when(at.isNotNull(), F.struct(*[(F.lit(REDACTED) if f.name.lower() in names and leaf(f.dataType) else gone(f.dataType, at[f.name])).alias(f.name) for f in kind.fields]))
+        if isinstance(kind, st.ArrayType):
+            return F.transform(at, lambda x: gone(kind.elementType, x))
+        if isinstance(kind, st.MapType):
+            return F.transform_values(at, lambda k, v: gone(kind.valueType, v))
+        return F.lit(REDACTED) if isinstance(kind, st.StringType) else F.lit(None).cast(kind)
+
+    def leaf(kind: st.DataType) -> bool:
+        return not isinstance(kind, (st.StructType, st.ArrayType, st.MapType))
+
+    def clean(kind: st.DataType, at: Column, name: str) -> Column:
         if isinstance(kind, st.ArrayType):
             return F.transform(at, lambda x: clean(kind.elementType, x, name))
-        if isinstance(kind, st.MapType) and isinstance(kind.keyType, st.StringType) and isinstance(kind.valueType, st.StringType):
-            return F.transform_values(at, lambda k, v: F.when(F.lower(k).isin(*names), REDACTED).otherwise(v))
         if name.lower() in names:
-            return F.lit(REDACTED)
+            return F.lit(REDACTED) if leaf(kind) else gone(kind, at)
+        if isinstance(kind, st.StructType):
+            return F.when(at.isNotNull(), F.struct(*[clean(f.dataType, at[f.name], f.name).alias(f.name) for f in kind.fields]))
+        if isinstance(kind, st.MapType):
+            inside = lambda v: clean(kind.valueType, v, "")
+            if isinstance(kind.keyType, st.StringType):
+                return F.transform_values(at, lambda k, v: F.when(F.lower(k).isin(*names), gone(kind.valueType, v)).otherwise(inside(v)))
+            return F.transform_values(at, lambda k, v: inside(v))
         return at
 
     return df.select(*[clean(f.dataType, F.col(f"`{f.name}`"), f.name).alias(f.name) for f in df.schema.fields])

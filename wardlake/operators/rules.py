@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +52,31 @@ def standard_rules(entity: str, as_of: str) -> list[Rule]:
     ]
 
 
+def user_rule(df: DataFrame, name: str, entity: str, severity: str, text: str) -> Rule:
+    """A rule of the user's own, as SQL over the record's columns (`heart_rate * 2 < try_cast(note as int)`). A text that Spark
+    cannot resolve on df is a rule that every record fails, as a check that cannot be made has not been passed."""
+    try:
+        holds = F.expr(text)
+        df.select(holds.cast("boolean")).schema  # noqa: B018  resolves the text
+    except PySparkException:
+        holds = F.lit(False)
+    return Rule(name, entity, severity, holds)
+
+
+def with_rules(rules: list[Rule], add: list[Rule] = (), remove: tuple[str, ...] = (), only: tuple[str, ...] | None = None) -> list[Rule]:
+    """rules less those of the names to remove, and with others, which replace rules of their names; only: the names to apply."""
+    new = {r.name for r in add}
+    out = [r for r in rules if r.name not in {*remove, *new}] + [r for r in add if r.name not in remove]
+    return [r for r in out if only is None or r.name in only]
+
+
+def failures_by_rule(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """rule, severity, failures and records, for every rule, also one that no record fails."""
+    counts = df.agg(F.count("*").alias("records"), *[F.count_if(~F.coalesce(r.holds.cast("boolean"), F.lit(True))).alias(f"n{k}") for k, r in enumerate(rules)])
+    each = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"), F.col(f"n{k}").alias("failures")) for k, r in enumerate(rules)])
+    return counts.select(F.explode(each).alias("r"), "records").select("r.*", "records")
+
+
 def checked(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """df with `_violations`, an array of (rule, severity), in one pass for all rules."""
     failed = [F.when(~F.coalesce(r.holds, F.lit(True)), F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"))) for r in rules]

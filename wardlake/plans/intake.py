@@ -479,10 +479,10 @@ def messages_with_contacts(spark, sf_dir) -> DataFrame:
     n = F.col("conv_id")
     said = F.when(n % 5 == 0, F.concat(F.col("text"), F.lit(" ssn: 123-45-6789"))).otherwise(F.lit("nothing"))
     contact = F.array(F.struct(F.lit("x").alias("kind"), F.when(n % 7 == 0, "mail a.b@example.org").otherwise("none").alias("value")))
-    return table(spark, sf_dir, "conversations").where("turn = 0 or turn = 1").select(F.concat_ws("-", "conv_id", "turn").alias("id"), said.alias("said"), contact.alias("contacts"), F.create_map(F.lit("note"), F.when(n % 3 == 0, "at 10.0.0.1").otherwise("-")).alias("more"), F.struct(F.concat(F.lit("P"), n).alias("first_name"), n.alias("size")).alias("who"))
+    return table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), said.alias("said"), contact.alias("contacts"), F.create_map(F.lit("note"), F.when(n % 3 == 0, "at 10.0.0.1").otherwise("-")).alias("more"), F.struct(F.concat(F.lit("P"), n).alias("first_name"), n.alias("size")).alias("who"))
 
 
-_CONV = "with c as (select concat(conv_id, '-', turn) as id, conv_id as n from conversations where turn = 0 or turn = 1) "
+_CONV = "with c as (select concat(conv_id, '-', turn) as id, conv_id as n from conversations) "
 
 
 @query(_CONV + "select id, 'contacts.value' as field, 'email' as kind from c where n % 7 = 0 union all select id, 'more', 'ip_address' from c where n % 3 = 0")
@@ -493,7 +493,34 @@ def phi_nested(spark, sf_dir):
 
 @query(_CONV + "select count(*) as records_scanned, count(case when n % 7 = 0 or n % 3 = 0 then 1 end) as records_with_findings, count(case when n % 7 = 0 then 1 end) + count(case when n % 3 = 0 then 1 end) as findings, round(count(case when n % 7 = 0 or n % 3 = 0 then 1 end) / count(*) * 100, 2) as rate_pct from c")
 def phi_batch(spark, sf_dir):
-    return phi.batch_summary(messages_with_contacts(spark, sf_dir).select("id", "contacts", "more"), "id")
+    return phi.batch_summary(messages_with_contacts(spark, sf_dir).select("id", "contacts", "more"), "id").drop("by_kind", "by_field")
+
+
+@query(_CONV + "select 'email' as kind, 'contacts.value' as field, count(case when n % 7 = 0 then 1 end) as of_kind, count(case when n % 7 = 0 then 1 end) as in_field from c union all select 'ip_address', 'more', count(case when n % 3 = 0 then 1 end), count(case when n % 3 = 0 then 1 end) from c")
+def phi_batch_totals(spark, sf_dir):
+    """The summary's totals by kind and by field."""
+    one = phi.batch_summary(messages_with_contacts(spark, sf_dir).select("id", "contacts", "more"), "id")
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(f).alias("field"), F.element_at("by_kind", F.lit(k)).alias("of_kind"), F.element_at("by_field", F.lit(f)).alias("in_field")) for k, f in (("email", "contacts.value"), ("ip_address", "more"))])
+    return one.select(F.explode(pairs).alias("p")).select("p.*")
+
+
+@query("select least(count(*), 500) as records_scanned from conversations")
+def phi_batch_sample(spark, sf_dir):
+    """The summary of 500 records."""
+    return phi.batch_summary(messages_with_contacts(spark, sf_dir).select("id", "contacts", "more"), "id", sample=500).select("records_scanned")
+
+
+@query("select concat(conv_id, '-', turn) as id, '[REDACTED]' as deep, conv_id as kept, '[REDACTED]' as listed, cast(null as bigint) as number, case when turn = 0 then '[REDACTED]' else 'see note' end as street from conversations")
+def redacted_nested(spark, sf_dir):
+    """What lies under a listed name in maps of structs and of arrays, and under a struct of such a name, is gone."""
+    n = F.col("conv_id")
+    who = F.create_map(F.lit("contact"), F.struct(F.concat(F.lit("S"), n).alias("ssn"), n.alias("size")), F.lit("Email"), F.struct(F.lit("x").alias("ssn"), n.alias("size")))
+    lists = F.create_map(F.lit("mrn"), F.array(F.concat(F.lit("M"), n)), F.lit("notes"), F.array(F.lit("see note")))
+    place = F.create_map(F.when(F.col("turn") == 0, "address").otherwise("place"), F.array(F.struct(F.lit("see note").alias("street"))))
+    df = table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), who.alias("who"), lists.alias("lists"), place.alias("at"))
+    r = phi.redacted_by_name(df)
+    first = lambda m: F.get(F.get(F.map_values(m), F.lit(0)), F.lit(0))
+    return r.select("id", F.col("who")["contact"]["ssn"].alias("deep"), F.col("who")["contact"]["size"].alias("kept"), F.get(F.col("lists")["mrn"], F.lit(0)).alias("listed"), F.col("who")["Email"]["size"].alias("number"), first("at")["street"].alias("street"))
 
 
 @query(_CONV + "select id, '[REDACTED]' as first_name, n as size, case when n % 5 <> 0 then 'nothing' end as said, n % 5 <> 0 as safe from c")
