@@ -34,6 +34,44 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return resources(spark.read.text(f"{folder}/*.json", wholetext=True))
 
 
+def read_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """r: the resources of files that hold one in each line (*.ndjson). Such files are cut between tasks anywhere; blank lines
+    and lines that are no JSON give none."""
+    r = lines(spark, folder).select(F.from_json("value", RESOURCE).alias("r"))
+    return r.where(F.col("r.resourceType").isNotNull())
+
+
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.text(f"{folder}/*.ndjson").where("trim(value) <> ''")
+
+
+#: Where canonical columns lie in a resource, with their types. A server that puts them elsewhere overrides some.
+PATHS = {
+    "Patient": {
+        "source_id": ("$.id", "string"), "mrn": ("$.identifier[0].value", "string"), "last_name": ("$.name[0].family", "string"), "first_name": ("$.name[0].given[0]", "string"),
+        "gender": ("$.gender", "string"), "date_of_birth": ("$.birthDate", "date"), "city": ("$.address[0].city", "string"), "state": ("$.address[0].state", "string"),
+        "postal_code": ("$.address[0].postalCode", "string"), "phone": ("$.telecom[0].value", "string"), "updated_at": ("$.meta.lastUpdated", "timestamp"),
+    },
+    "Encounter": {
+        "source_id": ("$.id", "string"), "patient": ("$.subject.reference", "string"), "status": ("$.status", "string"), "class": ("$.class.code", "string"),
+        "admission_date": ("$.period.start", "timestamp"), "discharge_date": ("$.period.end", "timestamp"), "updated_at": ("$.meta.lastUpdated", "timestamp"),
+    },
+    "Observation": {
+        "source_id": ("$.id", "string"), "patient": ("$.subject.reference", "string"), "code": ("$.code.coding[0].code", "string"), "value": ("$.valueQuantity.value", "double"),
+        "unit": ("$.valueQuantity.unit", "string"), "effective_date": ("$.effectiveDateTime", "timestamp"),
+    },
+}
+
+
+def by_paths(records: DataFrame, kind: str, overrides: dict[str, tuple[str, str]] | None = None, value: str = "value") -> DataFrame:
+    """The canonical columns of the resources of a kind, by PATHS and the user's overrides (column: path and type), which may
+    add columns; a path of None leaves one out. Each text is parsed once, to a variant that keeps all of its fields; a path
+    that a resource lacks, or whose value is not of the type, gives null. Texts that are no JSON are left out."""
+    paths = {c: p for c, p in {**PATHS.get(kind, {}), **(overrides or {})}.items() if p is not None}
+    parsed = records.select(F.try_parse_json(value).alias("v")).where(F.try_variant_get("v", "$.resourceType", "string") == kind)
+    return parsed.select(*[F.try_variant_get("v", path, type_).alias(c) for c, (path, type_) in paths.items()])
+
+
 def of_type(r: DataFrame, kind: str, since: str | None = None, ids: list[str] | None = None, patients: list[str] | None = None, encounters: list[str] | None = None, category: str | None = None) -> DataFrame:
     """Resources of a type: changed since, with one of the ids, of the patients or encounters, of a category."""
     out = r.where(F.col("r.resourceType") == kind)

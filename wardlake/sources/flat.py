@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 import csv
+import io
+import re
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -35,35 +41,45 @@ ALIASES = {
 ALIASES["vitals"] = ALIASES["labs"]
 PATTERNS = {"patients": "patient*.csv", "encounters": "encounter*.csv", "diagnoses": "diagnos*.csv", "procedures": "procedure*.csv", "labs": "lab*.csv", "vitals": "vital*.csv", "medications": "medication*.csv"}
 CORRUPT = "_corrupt"
+#: A record: what lies between line breaks that are not in quotes.
+RECORD = r'(?:"(?:[^"]|"")*+"|[^"\n]++|")++'
 
 
 def plain(name: str) -> str:
     return "_".join(name.strip().lower().split())
 
 
-def files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
-    """The paths that a glob finds under a folder; of folders among them, the files in them."""
-    jvm, out = spark._jvm, []
-    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in fs.globStatus(path) or []:
-        inside = fs.listStatus(found.getPath()) if found.isDirectory() else [found]
-        out += [f.getPath().toString() for f in inside if f.isFile() and f.getLen() and f.getPath().getName()[0] not in "_."]
-    return sorted(out)
-
-
-def first_line(spark: SparkSession, path: str, skip: int, encoding: str) -> str:
-    """The line after `skip` others: a few KB of the file, compressed or not."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    stream, codec = at.getFileSystem(conf).open(at), jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec is not None else stream, encoding))
+def files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """path of each file with content that a glob finds under a folder; of folders among them, all files below. Spark lists
+    them and opens none."""
     try:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{folder}/{pattern}").where("length > 0").select("path")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string")
+
+
+def first_line(path: str, skip: int, encoding: str) -> str:
+    """The line after `skip` others: as many KB of the file as it takes, compressed or not."""
+    plain_path = re.sub("^file:/*", "/", path)
+    store, at = (fs.LocalFileSystem(), plain_path) if plain_path.startswith("/") else fs.FileSystem.from_uri(path)
+    with store.open_input_stream(at, compression="detect") as stream, io.TextIOWrapper(stream, encoding, errors="replace", newline=None) as text:
         for _ in range(skip):
-            reader.readLine()
-        return (reader.readLine() or "").removeprefix("\ufeff")
-    finally:
-        reader.close()
+            text.readline()
+        return text.readline().rstrip("\r\n").removeprefix("\ufeff")
+
+
+def headers(found: DataFrame, sep: str = ",", skip_rows: int = 0, encoding: str = "UTF-8") -> DataFrame:
+    """path and names (of the header's columns) of each of the files: tasks read their beginnings."""
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([header_names(first_line(p, skip_rows, encoding), sep) for p in paths], pa.list_(pa.string()))], ["path", "names"])
+
+    tasks = found.sparkSession.sparkContext.defaultParallelism * 4
+    return found.repartition(tasks, "path").mapInArrow(first_lines, "path string, names array<string>")
 
 
 def header_names(line: str, sep: str) -> list[str]:
@@ -72,29 +88,31 @@ def header_names(line: str, sep: str) -> list[str]:
     return [n if names[:i].count(n) == 0 else f"{n}_{names[:i].count(n) + 1}" for i, n in enumerate(names)]
 
 
-def read(spark: SparkSession, folder: str, kind: str, columns: list[str] | None = None, sep: str = ",", encoding: str = "UTF-8", header: bool = True, skip_rows: int = 0) -> DataFrame:
+def read(spark: SparkSession, folder: str, kind: str, columns: list[str] | None = None, sep: str = ",", encoding: str = "UTF-8", header: bool = True, skip_rows: int = 0, multi_line: bool = False) -> DataFrame:
     """All files of a kind, each bound by the names of its own header, with their provenance and, for lines that do not fit
     it, the line in `_corrupt`. Files with the same header are one scan; a column that some files lack is null there. Without
     a header all files have `columns`, in order. No file: no rows.
 
-    skip_rows lines before the header are dropped; such files are read whole, one to a task, and a quoted field may not hold
-    a line break there.
+    skip_rows lines before the header are dropped; such files are read whole, one to a task. A quoted field may hold line breaks
+    there, and in all files with `multi_line`, which keeps Spark from cutting a file between tasks.
+
+    Tasks read the headers, and the driver gets the paths of each distinct header, which the scans need.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in files(spark, folder, PATTERNS[kind]):
-        names = header_names(first_line(spark, path, skip_rows, encoding), sep) if header else [plain(c) for c in columns]
-        groups.setdefault(tuple(names), []).append(path)
+    found = files(spark, folder, PATTERNS[kind])
+    known = headers(found, sep, skip_rows, encoding) if header else found.withColumn("names", F.array(*[F.lit(plain(c)) for c in columns]))
+    groups = {tuple(r["names"]): sorted(r["paths"]) for r in known.groupBy("names").agg(F.collect_list("path").alias("paths")).collect()}
     frames = []
     for names, paths in sorted(groups.items()):
         schema = StructType([StructField(c, StringType()) for c in [*names, CORRUPT]])
-        options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "nullValue": ""}
+        options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "nullValue": "", "escape": '"'}
         if skip_rows:
             text = spark.read.text(paths, wholetext=True).withColumn("_source_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
-            lines = text.select(F.explode(F.slice(F.split("value", "\r?\n"), F.lit(skip_rows + 1 + header), F.lit(2**31 - 1))).alias("line"), "_source_file").where("line != ''")
+            body = F.regexp_replace("value", rf"^(?:[^\n]*\n){{{skip_rows}}}", "")
+            lines = text.select(F.explode(F.slice(F.regexp_extract_all(body, F.lit(RECORD), F.lit(0)), F.lit(1 + header), F.lit(2**31 - 1))).alias("line"), "_source_file").where("trim(line, '\r') != ''")
             ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
-            frames.append(lines.select(F.from_csv("line", ddl, options).alias("r"), "_source_file").select("r.*", "_source_file"))
+            frames.append(lines.select(F.from_csv(F.rtrim("line", F.lit("\r")), ddl, {**options, "multiLine": "true"}).alias("r"), "_source_file").select("r.*", "_source_file"))
         else:
-            lines = spark.read.schema(schema).options(encoding=encoding, header=header, **options).csv(paths)
+            lines = spark.read.schema(schema).options(encoding=encoding, header=header, multiLine=multi_line, **options).csv(paths)
             frames.append(lines.withColumn("_source_file", F.element_at(F.split(F.input_file_name(), "/"), -1)))
     if not frames:
         none = StructType([StructField(c, StringType()) for c in [*map(plain, columns or []), CORRUPT, "_source_file"]])

@@ -22,12 +22,30 @@ def read_parquet(spark: SparkSession, *paths: str, wide: bool = False) -> DataFr
     return df.repartition(cores) if size < SMALL else df
 
 
-def read_jdbc(spark: SparkSession, url: str, name: str, split_on: str | None = None, low: int = 0, high: int = 0, parts: int = 8, **options: str) -> DataFrame:
-    """A table read in `parts` ranges of a numeric column, or in one."""
+def read_jdbc(
+    spark: SparkSession, url: str, name: str, split_on: str | None = None, low: object = None, high: object = None, parts: int = 8,
+    since: str | None = None, at: str = "updated_at", ids: DataFrame | None = None, id_column: str = "patient_id", **options: str,
+) -> DataFrame:
+    """A table read in `parts` ranges of a numeric, date or time column, or in one. Without bounds the database is asked for the
+    column's least and greatest value; they only deal out the rows, none is left out. since: rows of that time or later, which
+    the database filters; ids: rows of these ids."""
     reader = spark.read.format("jdbc").options(url=url, dbtable=name, **options)
+    by_name = {c.lower(): c for c in reader.load().columns}
     if split_on:
-        reader = reader.options(partitionColumn=split_on, lowerBound=low, upperBound=high, numPartitions=parts)
-    return reader.load()
+        split_on = by_name[split_on.lower()]
+        if low is None or high is None:
+            quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(split_on)
+            found = spark.read.format("jdbc").options(url=url, dbtable=f"(select min({quoted}) as low, max({quoted}) as high from {name}) bounds", **options).load().first()
+            low, high = (b if a is None else a for a, b in zip((low, high), found, strict=True))
+        if low is not None and low != high:  # without rows, or with one value, there is nothing to deal out
+            reader = reader.options(partitionColumn=split_on, lowerBound=str(low), upperBound=str(high), numPartitions=parts)
+    df = reader.load()
+    if since is not None:
+        df = df.where(F.col(by_name[at.lower()]) >= F.lit(since).cast(dict(df.dtypes)[by_name[at.lower()]]))
+    if ids is not None:
+        key = by_name[id_column.lower()]
+        df = df.join(ids.select(F.col(id_column).alias(key)).distinct(), key, "left_semi").select(df.columns)
+    return df
 
 
 def read_table(spark: SparkSession, name: str, since: str | None = None, at: str = "updated_at", ids: DataFrame | None = None, id_column: str = "patient_id", schema: str = "source_id string") -> DataFrame:
