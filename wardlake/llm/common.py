@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.sources import scratch
+
 #: A word: what lies between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a Python worker takes apart at once.
@@ -27,15 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, written to the shared checkpoint folder and read back: its lineage ends there, on storage that outlives executors.
 
-    The folder is the session's spark.checkpoint.dir. Only a local session may go without: it gets a temporary one. On a
-    cluster such a folder would lie on each machine's own disk, so an error is raised there.
+    Where that is, and what a session without such a folder gets: see scratch.shared.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="wardlake-checkpoint-"))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch.shared(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -20,7 +20,7 @@ BUCKETS = 2048
 #: At most about so many documents of each language are learned from. All languages are learned; where they are more than
 #: LANGUAGES, the documents of each get fewer, so that the sample is no larger, but not fewer than LEAST.
 SAMPLE, LANGUAGES, LEAST = 1500, 64, 50
-#: Documents that families are told apart by, at most, but of each language two: 8 KB of the driver's memory for each.
+#: Documents that families are told apart by, at most, but of each language two: 4 KB for each are broadcast.
 GATED = 16_000
 UNKNOWN = "und"
 #: Families by ISO 639-1 code. A code that is not here is a family of its own.
@@ -122,7 +122,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     documents of each (fewer where languages are many), taken by a hash of doc_id and text, equal ones once. None where there
     is none to learn.
 
-    Families are told apart on the driver, by at most GATED documents; each family's pairs are fitted in a task.
+    Families are told apart by at most GATED documents, which all tasks get; each family's machine is fitted in a task, and so
+    are each family's pairs. The driver fits nothing.
     """
     known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null and doc_id is not null").where(~held_out(F.col("doc_id"), MODULUS, REMAINDER))
     counts = checkpointed(known.groupBy("lang").agg(F.count("*").alias("n")))  # a row for each language
@@ -151,8 +152,18 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     gates = {}
     if len(families) > 1:
         each = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("x"), "x"))
-        x, y = vectors(rows.withColumn("each", each).where(F.col("each") <= max(2, GATED // languages)).select("lang", "x").toPandas())
-        gates = {f: linear_svm(x, np.where(np.isin(y, own), 1.0, -1.0)) for f, own in families.items()}
+        shared = docs.sparkSession.sparkContext.broadcast(rows.withColumn("each", each).where(F.col("each") <= max(2, GATED // languages)).select("lang", "x").toPandas())
+
+        def fitted_gates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            x = None
+            for b in batches:
+                if x is None and len(b):
+                    x, y = vectors(shared.value)
+                yield pd.DataFrame({"family": b["family"], "w": [linear_svm(x, np.where(np.isin(y, own), 1.0, -1.0)).tobytes() for own in b["own"]]})
+
+        told = docs.sparkSession.createDataFrame(list(families.items()), "family string, own array<string>").repartition(min(len(families), 256), "family")
+        fitted = told.mapInPandas(fitted_gates, "family string, w binary").collect()  # 8 KB a family, as the model is
+        gates = {r["family"]: np.frombuffer(bytes(r["w"]), dtype=np.float32) for r in fitted}
     several = [f for f, own in families.items() if len(own) > 1]
     fitted = rows.where(F.col("family").isin(several)).groupBy("family").applyInPandas(family_pairs, "p string, q string, w binary").collect() if several else []
     pairs = {(r["p"], r["q"]): np.frombuffer(bytes(r["w"]), dtype=np.float32) for r in fitted}

@@ -206,8 +206,8 @@ def variants_sql() -> str:
     cut = "left({w}, {i} - 1) || substr({w}, {i} + 1)"
     return f"""with recursive {SQL_CRC_TABLE},
 runs as (select doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{RUN}')) as run from documents),
-counted as (select coalesce(cast(doc_id as varchar), '') || ':' || run as at, run, count(*) as n from runs group by 1, 2),
-marked as (select run, n, {sql_crc32("at")} as h from counted, crc),
+counted as (select coalesce(cast(doc_id as varchar), '') || ':' || run as said, run, count(*) as n from runs group by 1, 2),
+marked as (select run, n, {sql_crc32("said")} as h from counted, crc),
 typed as (select case when h % {TYPO_EVERY} = 0 then {cut.format(w="run", i="(h % length(run) + 1)")} else run end as word, n from marked),
 words as (select word, cast(sum(n) as bigint) as n from typed where length(word) >= {LEAST_LETTERS} group by 1 having sum(n) >= {LEAST_SEEN}),
 less as (select *, {cut.format(w="word", i="i")} as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
