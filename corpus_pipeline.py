@@ -50,10 +50,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages' result over the table of documents. What a stage keeps is written as Parquet in the cluster's shared
-    folder and read again, so the passes of the stages after it neither score texts anew nor read more columns than they use."""
-    docs = table(spark, sf_dir, "documents")
+    folder and read again, so the passes of the stages after it neither score texts anew nor read more columns than they use.
+    What no stage reads any more is removed; what the last one reads stays for as long as its result is asked for."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         at = scratch.folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(at)
         docs = spark.read.parquet(at)
+        if last:
+            scratch.remove(spark, last)
+        last = at
     return STAGES[-1][1](spark, docs, sf_dir)
