@@ -3,7 +3,7 @@
 import pytest
 from oracle_check import difference
 
-from wardlake.plans import dashboards, intake, upkeep, warehouse  # noqa: F401
+from wardlake.plans import dashboards, intake, sourcing, upkeep, warehouse  # noqa: F401
 from wardlake.plans.catalogue import ORACLE_SQL, QUERIES
 
 

@@ -125,9 +125,9 @@ def preview(spark: SparkSession, path: str, rows: int = 5, sep: str = ",") -> Da
     return spark.read.csv(path, header=True, sep=sep).limit(rows)
 
 
-def arriving(spark: SparkSession, folder: str, kind: str, columns: list[str], archive: str | None = None, sep: str = ",") -> DataFrame:
-    """The files of a kind as a stream, each read once. Consumed ones are moved to the archive folder, if one is given."""
-    reader = spark.readStream.schema(StructType([StructField(c, StringType()) for c in columns])).options(sep=sep, header=True, enforceSchema=False, pathGlobFilter=PATTERNS[kind])
+def arriving(spark: SparkSession, folder: str, kind: str | None, columns: list[str], archive: str | None = None, sep: str = ",") -> DataFrame:
+    """The files of a kind (or all) as a stream, each read once. Consumed ones are moved to the archive folder, if one is given."""
+    reader = spark.readStream.schema(StructType([StructField(c, StringType()) for c in columns])).options(sep=sep, header=True, enforceSchema=False, pathGlobFilter=PATTERNS.get(kind, "*"))
     if archive:
         reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
     return reader.csv(folder)

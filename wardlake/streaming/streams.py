@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from wardlake.operators import versioned
-from wardlake.sources import hl7, scratch
+from wardlake.sources import hl7
 
 #: State that a processor keeps by key lies in this store.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -121,10 +121,10 @@ def load_batches(stream: DataFrame, root: str, name: str, checkpoint: str, keys:
 
 
 def drained(stream: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Everything there is so far, through the stream, as a table in the shared folder: appended files, or in complete mode the
-    last batch's result as the newest version."""
-    spark, at = stream.sparkSession, scratch.folder(stream.sparkSession, name)
-    out = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    """Everything there is so far, through the stream, as a table in the folder beside the checkpoint: appended files, or in
+    complete mode the last batch's result as the newest version. Drained again from the same checkpoint it goes on."""
+    spark, at = stream.sparkSession, f"{checkpoint.rstrip('/')}-rows"
+    out = stream.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if mode == "complete":
         out.foreachBatch(lambda batch, _: versioned.publish(batch, at)).start().awaitTermination()
         return versioned.current(spark, at, stream.schema)
