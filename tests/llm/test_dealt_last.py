@@ -246,3 +246,10 @@ def test_the_pipeline_frees_what_is_read_no_more(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(corpus_pipeline.scratch, "folder", lambda spark, name: str(tmp_path / name))
     monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, lambda spark, docs, sf_dir: docs) for n in "abcd"])
     assert corpus_pipeline.run(spark, SF).count() == 200 and os.listdir(tmp_path) == ["c"]
+
+
+def test_any_context_limit(spark):
+    lengths = [0, 0, 3, 3, 7, 20]
+    bins = spark.createDataFrame([(n, lengths.count(n)) for n in set(lengths)], "n_tokens long, documents long")
+    want = [(k, sum(n > k for n in lengths), sum(min(n, k) for n in lengths), sum(max(n - k, 0) for n in lengths)) for k in (0, 1, 3, 5, 8, 100)]
+    assert sorted(map(tuple, tokens.for_limits(bins, [0, 1, 3, 5, 8, 100]).collect())) == want

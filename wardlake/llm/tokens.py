@@ -198,6 +198,15 @@ def length_histogram(docs: DataFrame, text: str = "text", path: str | None = Non
     )
 
 
+def for_limits(histogram: DataFrame, limits: list[int]) -> DataFrame:
+    """limit, documents_over (longer than it), kept and lost (tokens, when every document is cut to it) for any context limits,
+    whether documents of that length occur or not. histogram: of length_histogram, which is passed over once."""
+    n, docs = F.col("n_tokens"), F.col("documents")
+    over = lambda k: [F.coalesce(F.sum(F.when(n > k, docs)), F.lit(0)), F.coalesce(F.sum(F.least(n, F.lit(k)) * docs), F.lit(0)), F.coalesce(F.sum(F.greatest(n - k, F.lit(0)) * docs), F.lit(0))]
+    each = F.array(*[F.struct(F.lit(k).cast("long").alias("limit"), *[c.alias(name) for c, name in zip(over(k), ("documents_over", "kept", "lost"), strict=True)]) for k in limits])
+    return histogram.agg(each.alias("all")).select(F.explode("all").alias("r")).select("r.*")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The histogram of every document's text (null and empty ones: see length_histogram)."""
     return length_histogram(table(spark, sf_dir, "documents"))
