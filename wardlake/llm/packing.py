@@ -6,7 +6,6 @@ import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
