@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import gc
 from collections.abc import Callable, Hashable, Iterator
 
@@ -139,6 +141,15 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 _held: dict[Hashable, object] = {}
 
 
+def given_back() -> None:
+    """Gives memory that this Python worker has freed back to the system, where its C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(ctypes.util.find_library("c")), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def worker_state(key: Hashable, make: Callable = dict):
     """What make() gave for this key, kept in the Python worker until another key is asked for.
 
@@ -146,8 +157,7 @@ def worker_state(key: Hashable, make: Callable = dict):
     """
     if key not in _held:
         _held.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        given_back()
         _held[key] = make()
     return _held[key]
 

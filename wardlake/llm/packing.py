@@ -10,10 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import checkpointed, slices, table
+from wardlake.llm.common import checkpointed, slices, table, worker_state
 from wardlake.llm.tokens import END_ID, packed_ids, tokenizer_path
 
 WINDOW = 4096
+#: Bytes of text that are tokenised at once, beside the windows that are open.
+PART = 2 << 20
 #: Open windows that a task keeps; beyond them its fullest one is filled by pieces of its emptiest.
 MOST_OPEN = 2048
 #: Windows' worth of open pieces that a task packs once more: so many fewer than MOST_OPEN that it is not reached.
@@ -181,7 +183,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: in
         ids, packer = packed_ids(path), Packer(window, first_id(0))
         for batch in batches:
             numbers, at = batch.column(0).to_pylist(), 0
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), PART):
                 all_ids, ends = ids.of_all(part)
                 begin = 0
                 for doc, end in zip(numbers[at : at + len(part)], ends.tolist(), strict=True):
@@ -203,6 +205,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: in
         groups = groups if most is None else min(groups, max(1, most // 2))  # so that there is a last one
 
         def again(batches: Iterator[pa.RecordBatch], phase: int = phase, last: bool = groups == 1) -> Iterator[pa.RecordBatch]:
+            worker_state("packing")  # the tokenizer and its cache are needed no more
             packer = Packer(window, first_id(phase))
             for batch in batches:
                 for doc, start, total, ids in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
