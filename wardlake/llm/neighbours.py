@@ -27,6 +27,8 @@ BUCKET = 1024
 BLOCK = 20_000
 #: Large buckets that are looked up in a broadcast table; if there are more, they are joined by a shuffle.
 FEW = 50_000
+#: Queries with short lists look again into buckets of tables with so many bits less, until lists are full.
+WIDER = 6
 ROUNDS = 3
 
 
@@ -245,6 +247,22 @@ def with_grid(coded: DataFrame, large: DataFrame | None, few: bool, other: str)
     return dealt.withColumn("cell", F.when(F.col("down").isNull(), F.xxhash64("tab", "bucket", "dim")).otherwise(F.xxhash64("tab", "bucket", "dim", *at)))
 
 
+def matched(entries: DataFrame, queries: DataFrame, tables: int, probes: int, bits: int, keep: int, seed: int) -> DataFrame:
+    """q_lo, q_h, vec_id, score: the best entries of all buckets that each query looks into, once for each id."""
+    kind = entries.schema["vector"].dataType.simpleString()
+    index = entries.select("lo", "dim", "ids", "vector").mapInArrow(hashed(tables, 1, bits, seed, ["lo", "ids", "vector"]), f"tab int, bucket long, dim int, lo long, ids array<long>, vector {kind}")
+    looked = queries.mapInArrow(hashed(tables, probes, bits, seed, ["lo", "h", "vector"]), f"tab int, bucket long, dim int, lo long, h long, vector {kind}")
+    sizes = [side.select("dim", "vector").mapInArrow(hashed(tables, p, bits, seed, []), "tab int, bucket long, dim int").withColumns({"x": F.lit(x), "q": F.lit(1 - x)}) for side, p, x in ((entries, 1, 1), (queries, probes, 0))]
+    blocks = reduce(DataFrame.unionByName, sizes).groupBy("tab", "bucket", "dim").agg(*[F.ceil(F.sum(c) / BLOCK).cast("long").alias(name) for c, name in (("x", "down"), ("q", "across"))])
+    large = checkpointed(blocks.where("down > 1 or across > 1 and down > 0").withColumn("across", F.greatest("across", F.lit(1))))
+    n_large = large.count()
+    grid = (large, n_large <= FEW) if n_large else (None, True)
+    left, right = with_grid(index, *grid, "across").select("cell", "ids", "vector"), with_grid(looked, *grid, "down").select("cell", "lo", "h", "vector")
+    shape = "q_lo long, q_h long, score double, ids array<long>"
+    best = left.groupBy("cell").cogroup(right.groupBy("cell")).applyInArrow(rerank(keep), shape).select("q_lo", "q_h", "score", F.explode("ids").alias("vec_id"))
+    return checkpointed(best.repartition("q_lo", "q_h").groupBy("q_lo", "q_h", "vec_id").agg(F.max("score").alias("score")))
+
+
 def nearest(vectors: DataFrame, every: int = 50, vec_id: str = "vec_id", embedding: str = "embedding", nearest: int = NEAREST, seed: int = 19) -> DataFrame:
     """query_id, rank, vec_id, score: for the rows whose id is divisible by `every`, the nearest other rows found.
 
@@ -256,38 +274,29 @@ def nearest(vectors: DataFrame, every: int = 50, vec_id: str = "vec_id", embeddi
     large bucket is cut into a grid of entries and queries.
 
     The true neighbours of a bounded sample of the queries, found in one pass over all entries, tell how many tables and
-    probes it takes to find GOAL of them. Queries whose buckets hold too few entries for a full list are searched among all
-    entries, a block of queries at a time.
+    probes it takes to find GOAL of them. Queries whose buckets hold too few entries for a full list look again into those of
+    tables with WIDER bits less, and so on: a few joins, however many such queries there are. The last tables have two
+    buckets, both of which are looked into, so every list is as full as it can be.
     """
     keep = nearest + 1
     rows = usable(vectors, vec_id, embedding)
     entries = distinct_vectors(rows, every, keep)
     bits = max(1, round(math.log2(max(2.0, entries.count() / BUCKET))))
     tables, probes, bits, _ = plan(entries, bits, every, nearest, seed)
-    kind = entries.schema["vector"].dataType.simpleString()
     queries = entries.where("asked").select("lo", "h", "dim", "vector")
-    index = entries.select("lo", "dim", "ids", "vector").mapInArrow(hashed(tables, 1, bits, seed, ["lo", "ids", "vector"]), f"tab int, bucket long, dim int, lo long, ids array<long>, vector {kind}")
-    looked = queries.mapInArrow(hashed(tables, probes, bits, seed, ["lo", "h", "vector"]), f"tab int, bucket long, dim int, lo long, h long, vector {kind}")
-    sizes = [side.select("dim", "vector").mapInArrow(hashed(tables, p, bits, seed, []), "tab int, bucket long, dim int").withColumns({"x": F.lit(x), "q": F.lit(1 - x)}) for side, p, x in ((entries, 1, 1), (queries, probes, 0))]
-    blocks = reduce(DataFrame.unionByName, sizes).groupBy("tab", "bucket", "dim").agg(*[F.ceil(F.sum(c) / BLOCK).cast("long").alias(name) for c, name in (("x", "down"), ("q", "across"))])
-    large = checkpointed(blocks.where("down > 1 or across > 1 and down > 0").withColumn("across", F.greatest("across", F.lit(1))))
-    n_large = large.count()
-    grid = (large, n_large <= FEW) if n_large else (None, True)
-    left, right = with_grid(index, *grid, "across").select("cell", "ids", "vector"), with_grid(looked, *grid, "down").select("cell", "lo", "h", "vector")
-    shape = "q_lo long, q_h long, score double, ids array<long>"
-    found = checkpointed(left.groupBy("cell").cogroup(right.groupBy("cell")).applyInArrow(rerank(keep), shape).select("q_lo", "q_h", "score", F.explode("ids").alias("vec_id")).repartition("q_lo", "q_h").groupBy("q_lo", "q_h", "vec_id").agg(F.max("score").alias("score")))
+    found = matched(entries, queries, tables, probes, bits, keep, seed)
     there = F.broadcast(entries.groupBy("dim").agg(F.sum(F.size("ids")).alias("there")))  # a row for each length of vectors
-    got = found.groupBy("q_lo", "q_h").agg(F.count("*").alias("n"))
-    short = queries.join(got, (F.col("lo") == F.col("q_lo")) & (F.col("h") == F.col("q_h")), "left").join(there, "dim").where(F.coalesce("n", F.lit(0)) < F.least("there", F.lit(keep))).select("lo", "h", "dim", "vector")
-    short = checkpointed(short)
-    parts = -(-short.count() // (8 * SAMPLED))
-    for k in range(parts):
-        some = short.where(F.pmod(F.xxhash64("lo", "h"), F.lit(parts)) == k).toArrow()  # about 8 * SAMPLED queries
-        names = found.sparkSession.createDataFrame(pd.DataFrame({"query": np.arange(len(some)), "q_lo": some["lo"].to_numpy(), "q_h": some["h"].to_numpy()}), "query long, q_lo long, q_h long")
-        more = searched(entries, some, keep, True).join(F.broadcast(names), "query").select("q_lo", "q_h", F.explode("ids").alias("vec_id"), "score")
-        found = found.unionByName(more)
-    if parts:
-        found = found.groupBy("q_lo", "q_h", "vec_id").agg(F.max("score").alias("score"))
+    short = queries
+    while bits > 1:
+        got = found.groupBy("q_lo", "q_h").agg(F.count("*").alias("n"))
+        n = short.join(got, (F.col("lo") == F.col("q_lo")) & (F.col("h") == F.col("q_h")), "left").join(there, "dim")
+        short = checkpointed(n.where(F.coalesce("n", F.lit(0)) < F.least("there", F.lit(keep))).select("lo", "h", "dim", "vector"))
+        if short.isEmpty():
+            break
+        bits = max(1, bits - WIDER)
+        alike = entries.join(F.broadcast(short.select("dim").distinct()), "dim", "left_semi")
+        more = matched(alike, short, tables if bits > 1 else 1, probes, bits, keep, seed)
+        found = found.unionByName(more).groupBy("q_lo", "q_h", "vec_id").agg(F.max("score").alias("score"))
     order = (F.desc("score"), F.asc("vec_id"))
     top = found.withColumn("n", F.row_number().over(Window.partitionBy("q_lo", "q_h").orderBy(*order))).where(F.col("n") <= keep).drop("n")
     asking = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("h").alias("q_h"), "h2").distinct().drop("h2")
