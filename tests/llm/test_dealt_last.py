@@ -12,7 +12,7 @@ import pytest
 from oracle_check import difference
 from pyspark.sql import functions as F
 
-from wardlake.llm import binary, common, language, packing, prefixes, spelling, tokens
+from wardlake.llm import binary, common, language, neighbours, packing, prefixes, simhash, spelling, tokens
 from wardlake.llm.registry import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -253,3 +253,68 @@ def test_any_context_limit(spark):
     bins = spark.createDataFrame([(n, lengths.count(n)) for n in set(lengths)], "n_tokens long, documents long")
     want = [(k, sum(n > k for n in lengths), sum(min(n, k) for n in lengths), sum(max(n - k, 0) for n in lengths)) for k in (0, 1, 3, 5, 8, 100)]
     assert sorted(map(tuple, tokens.for_limits(bins, [0, 1, 3, 5, 8, 100]).collect())) == want
+
+
+def test_large_anchors_are_dealt_by_blocks_and_lose_no_link(spark):
+    rng = random.Random(7)
+    low, high = rng.getrandbits(30), rng.getrandbits(30)
+    fps = {low << 32 | rng.getrandbits(30) for _ in range(400)} | {rng.getrandbits(30) << 32 | high for _ in range(400)}  # two hot halves
+    centres = [rng.getrandbits(30) << 32 | rng.getrandbits(30) for _ in range(20)]
+    for c in [*rng.sample(sorted(fps), 60), *centres * 5]:
+        fps.add(c ^ sum(1 << b for b in rng.sample(range(62), rng.randint(1, 5))))
+    dense = centres[0]
+    fps |= {dense ^ sum(1 << b for b in rng.sample(range(10), rng.randint(1, 4))) for _ in range(150)}  # one group of near copies
+    fps = sorted(fps)
+    want = list(range(len(fps)))
+
+    def top(i):
+        while want[i] != i:
+            i = want[i]
+        return i
+
+    for i, x in enumerate(fps):
+        for j in range(i):
+            if (x ^ fps[j]).bit_count() <= 4:
+                want[top(i)] = top(j)
+    frame = spark.createDataFrame([(x,) for x in fps], "fp long")
+    for anchor_rows, cell_rows in ((1 << 40, 1 << 40), (40, 1 << 40), (40, 25)):
+        pairs = simhash.links(frame, anchor_rows, cell_rows).collect()
+        assert {a for p in pairs for a in p} <= set(fps)
+        got, at = list(range(len(fps))), {x: i for i, x in enumerate(fps)}
+
+        def found(i, got=got):
+            while got[i] != i:
+                i = got[i]
+            return i
+
+        for a, b in pairs:
+            got[max(found(at[a]), found(at[b]))] = min(found(at[a]), found(at[b]))
+        groups = defaultdict(set)
+        for i in range(len(fps)):
+            groups[found(i)].add(top(i))
+        assert all(len(g) == 1 for g in groups.values()) and len(groups) == len({top(i) for i in range(len(fps))})
+
+
+def test_copies_of_a_row_in_a_large_anchor_do_not_grow(spark):
+    rng = random.Random(3)
+    for n in (2_000, 8_000):
+        rows = spark.createDataFrame([(9 | 1 << 30, rng.getrandbits(63), True) for _ in range(n)], "anchor long, fp long, own boolean")
+        assert simhash.in_cells(rows, 100, 1_000).count() == 5 * n
+    assert simhash.in_cells(rows, 10_000, 1_000).count() == n
+
+
+def test_short_lists_take_joins_not_passes(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(neighbours, "BUCKET", 4)
+    monkeypatch.setattr(neighbours, "WIDER", 3)
+    x = [rng.normal(size=16 if i % 3 else 2 + i // 3 % 40) for i in range(1800)]  # many lengths with few vectors each
+    passes, real = [], neighbours.searched
+    monkeypatch.setattr(neighbours, "searched", lambda *a: passes.append(1) or real(*a))
+    out = neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), every=10).toPandas()
+    got, hits, total = out.groupby("query_id")["vec_id"].agg(set), 0, 0
+    for q in range(0, len(x), 10):
+        others = [i for i, v in enumerate(x) if len(v) == len(x[q]) and i != q]
+        best = sorted(others, key=lambda i: (-(x[i] @ x[q]) / np.linalg.norm(x[i]), i))[:5]
+        assert len(got[q]) == min(5, len(others))
+        hits, total = hits + len(got[q] & set(best)), total + len(best)
+    assert hits >= 0.9 * total and len(passes) == 1

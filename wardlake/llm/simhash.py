@@ -16,8 +16,10 @@ from pyspark.sql.types import LongType
 from wardlake.llm.common import DOCUMENT_COLUMNS, checkpointed, looked_up, row_key, table, worker_state
 
 SHINGLE, SEED, THRESHOLD = 4, 42, 4
-#: Rows of one anchor that one task compares; larger anchors are compared in a grid of such blocks.
-BLOCK = 40_000
+#: Rows of an anchor beyond which blocks of the other half are part of what its rows are shuffled by.
+ANCHOR_ROWS = 40_000
+#: Rows that are compared in one task; more of them (so many near copies) are compared in a grid of such blocks.
+CELL_ROWS = 200_000
 _lanes = np.uint64(0x0101010101010101)
 
 
@@ -154,12 +156,11 @@ def tested(group: np.ndarray, fp: np.ndarray, own: np.ndarray, at_once: int = 30
 CUTS = ((5, 1), (6, 2), (8, 4))
 
 
-def keys_of(word: np.ndarray, blocks: int, alike: int) -> Iterator[np.ndarray]:
-    """For each choice of `alike` blocks of a half, the bits of these blocks."""
+def masks_of(blocks: int, alike: int) -> list[int]:
+    """For each choice of `alike` blocks of a half, the bits that these blocks have."""
     edges = np.linspace(0, 32, blocks + 1).round().astype(int)
     masks = [((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    for chosen in combinations(masks, alike):
-        yield word & np.uint64(sum(chosen))
+    return [sum(chosen) for chosen in combinations(masks, alike)]
 
 
 def links_in(cell: np.ndarray, fp: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +182,8 @@ def links_in(cell: np.ndarray, fp: np.ndarray, own: np.ndarray) -> tuple[np.ndar
         word = (fp[at].view(np.uint64) >> np.uint64(0 if cell[bounds[k]] & 1 else 32)) & np.uint64(0xFFFFFFFF)
         rows = bounds[k + 1] - bounds[k]
         blocks, alike = min(CUTS, key=lambda c: comb(*c) * (30 * rows + tests[k] / 2 ** (32 * c[1] / c[0])))
-        for key in keys_of(word, blocks, alike):
+        for mask in masks_of(blocks, alike):
+            key = word & np.uint64(mask)
             order = np.argsort(key, kind="stable")
             out += tested(key[order], fp[at][order], own[at][order])
     out += tested(cell[small], fp[small], own[small])
@@ -215,24 +217,54 @@ def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out(pd.concat(held))
 
 
-def links(fingerprints: DataFrame) -> DataFrame:
+def in_cells(rows: DataFrame, anchor_rows: int, cell_rows: int) -> DataFrame:
+    """cell, fp, own: rows (anchor, fp, own) by what they are compared in. The last bit of a cell names the anchor's half.
+
+    A small anchor is a cell. A large one has a cell for each choice of blocks of the other half and the bits of these
+    blocks; of every two rows that link, one choice has the same bits, so each row is copied once for each choice: 5, 15 or
+    70 times by the anchor's size, whatever the corpus. Only what is large even then is cut into a grid, own rows by one hash
+    and all rows by another. There are 2^17 anchors, so the large ones' sizes are broadcast.
+    """
+    size = rows.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > anchor_rows)
+    cut = F.lit(len(CUTS) - 1)
+    for k, (blocks, alike) in reversed(list(enumerate(CUTS[:-1]))):  # the fewest copies that would halve a cell's bound, were bits even
+        cut = F.when(F.col("n") <= cell_rows / 2 * 2 ** (32 * alike / blocks), k).otherwise(cut)
+    large = checkpointed(size.select("anchor", cut.alias("cut")))
+    half = F.shiftright("anchor", 30).bitwiseAND(F.lit(1).cast("long"))
+    if large.isEmpty():
+        return rows.select(F.shiftleft(F.xxhash64("anchor"), 1).bitwiseOR(half).alias("cell"), "fp", "own")
+    keys = F.array(F.lit(0).cast("long"))
+    for k, (blocks, alike) in enumerate(CUTS):
+        low, high = (F.array(*[F.lit(int(np.uint64(m << by).view(np.int64))) for m in masks_of(blocks, alike)]) for by in (0, 32))
+        alike_in = F.transform(F.when(half == 1, low).otherwise(high), lambda m: F.xxhash64(m, F.col("fp").bitwiseAND(m)))
+        keys = F.when(F.col("cut") == k, alike_in).otherwise(keys)
+    dealt = rows.join(F.broadcast(large), "anchor", "left").select("anchor", "fp", "own", "cut", F.explode(keys).alias("key"))
+    named = dealt.select(F.shiftleft(F.xxhash64("anchor", "key"), 1).bitwiseOR(half).alias("cell"), "fp", "own", "cut")
+    over = named.where("cut is not null").groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > cell_rows)
+    over = checkpointed(over.select("cell", F.ceil(F.sqrt(F.col("n") / cell_rows) + 1).cast("long").alias("side")))
+    if over.isEmpty():
+        return named.select("cell", "fp", "own")
+    one = F.lit(1).cast("long")
+    cells = named.join(over, "cell", "left").withColumn("side", F.coalesce("side", one))
+    at, steps = F.pmod(F.xxhash64("fp"), F.col("side")), F.sequence(one * 0, F.col("side") - 1)
+    across = F.transform(steps, lambda k: F.struct((k * F.col("side") + at).alias("at"), F.lit(False).alias("own")))
+    down = F.transform(steps, lambda k: F.struct((at * F.col("side") + k).alias("at"), F.lit(True).alias("own")))
+    plain = F.array(F.struct((one * 0).alias("at"), F.col("own")))
+    placed = F.when(F.col("side") == 1, plain).when(F.col("own"), F.concat(across, down)).otherwise(across)
+    last = F.col("cell").bitwiseAND(one)
+    cells = cells.select("cell", "fp", F.explode(placed).alias("c"))
+    return cells.select(F.shiftleft(F.xxhash64("cell", "c.at"), 1).bitwiseOR(last).alias("cell"), "fp", F.col("c.own").alias("own"))
+
+
+def links(fingerprints: DataFrame, anchor_rows: int = ANCHOR_ROWS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """a, b: links between distinct fingerprints (column fp) that join all that differ in THRESHOLD bits or fewer.
 
     Each fingerprint goes to every anchor within the covering radius and the threshold of a half, and those whose own
-    anchor it is are compared with all others there. An anchor with more rows than BLOCK is cut into a grid: its own
-    fingerprints by one hash and all others by another, every cell of the grid compared. Within a cell only a forest of
-    links is kept, so a large group of near copies gives no more links than it has fingerprints.
+    anchor it is are compared with all others there, in the cells of in_cells(). Within a cell only a forest of links is
+    kept, so a large group of near copies gives no more links than it has fingerprints.
     """
     rows = fingerprints.select("fp").mapInPandas(anchored, "anchor long, fp long, own boolean")
-    grid = rows.groupBy("anchor").count().where(F.col("count") > BLOCK).select("anchor", F.ceil(F.sqrt(F.col("count") / BLOCK) + 1).cast("long").alias("side"))
-    cut = rows.join(grid, "anchor", "left").withColumn("side", F.coalesce("side", F.lit(1)).cast("long"))
-    at = F.pmod(F.xxhash64("fp"), F.col("side"))
-    across = F.transform(F.sequence(F.lit(0).cast("long"), F.col("side") - 1), lambda k: F.struct((k * F.col("side") + at).alias("cell"), F.lit(False).alias("own")))
-    down = F.transform(F.sequence(F.lit(0).cast("long"), F.col("side") - 1), lambda k: F.struct((at * F.col("side") + k).alias("cell"), F.lit(True).alias("own")))
-    plain = F.array(F.struct(F.lit(0).cast("long").alias("cell"), F.col("own")))
-    cells = cut.select("anchor", "fp", F.explode(F.when(F.col("side") == 1, plain).when(F.col("own"), F.concat(across, down)).otherwise(across)).alias("c"))
-    half = F.shiftright("anchor", 30).bitwiseAND(F.lit(1).cast("long"))
-    cells = cells.select(F.shiftleft(F.xxhash64("anchor", "c.cell"), 1).bitwiseOR(half).alias("cell"), "fp", F.col("c.own").alias("own"))
+    cells = in_cells(rows, anchor_rows, cell_rows)
     return cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(compared, "a long, b long")
 
 
