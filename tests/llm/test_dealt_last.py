@@ -318,3 +318,20 @@ def test_short_lists_take_joins_not_passes(spark, monkeypatch):
         assert len(got[q]) == min(5, len(others))
         hits, total = hits + len(got[q] & set(best)), total + len(best)
     assert hits >= 0.9 * total and len(passes) == 1
+
+
+def test_small_batches_and_the_setting_put_back(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(400, numPartitions=1).select(F.repeat(F.lit("a"), 10_000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": pa.array([b.num_rows], pa.int64())})
+
+    with common.small_batches(spark, 200_000):
+        rows = [r["rows"] for r in common.checkpointed(docs.mapInArrow(sizes, "rows long")).collect()]
+    assert sum(rows) == 400 and max(rows) <= 25 and spark.conf.get(key) == before
+    with pytest.raises(ZeroDivisionError), common.small_batches(spark, 1):
+        1 / 0
+    assert spark.conf.get(key) == before

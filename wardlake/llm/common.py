@@ -6,6 +6,7 @@ import ctypes
 import ctypes.util
 import gc
 from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int) -> Iterator[None]:
+    """What is run inside hands Python tasks batches of at most `most` bytes (longer texts come alone), for tasks that hold
+    much besides them. The session's own setting is put back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def row_key(columns: list[str]) -> Column:
     """32 hex digits by what a row holds; only rows that are equal in all columns share them. Nulls count as values."""
     held = [c for name in columns for c in (F.col(name).isNull(), F.col(name))]

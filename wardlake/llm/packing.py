@@ -10,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import checkpointed, slices, table, worker_state
+from wardlake.llm.common import checkpointed, slices, small_batches, table, worker_state
 from wardlake.llm.tokens import END_ID, packed_ids, tokenizer_path
 
 WINDOW = 4096
 #: Bytes of text that are tokenised at once, beside the windows that are open.
-PART = 2 << 20
+PART = 1 << 20
+#: Bytes of a batch that a task of packing gets.
+BATCH = 8 << 20
 #: Open windows that a task keeps; beyond them its fullest one is filled by pieces of its emptiest.
 MOST_OPEN = 2048
 #: Windows' worth of open pieces that a task packs once more: so many fewer than MOST_OPEN that it is not reached.
@@ -194,7 +196,9 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: in
                     yield placed(packer)
         yield from handed_on(packer)
 
-    done = checkpointed(docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t")).mapInArrow(packed, PLACED))
+    spark = docs.sparkSession
+    with small_batches(spark, BATCH):
+        done = checkpointed(docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t")).mapInArrow(packed, PLACED))
     out, phase, most = done.where("ids is null"), 1, None
     while True:
         rest = done.where("ids is not null")
@@ -217,7 +221,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: in
 
         order = [F.col("length").desc(), "doc_id", "start", "ids_crc32"]
         dealt = rest.repartition(groups, F.xxhash64("doc_id", "start", "ids_crc32")).sortWithinPartitions(*order)
-        done = checkpointed(dealt.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(again, PLACED))
+        with small_batches(spark, BATCH):
+            done = checkpointed(dealt.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(again, PLACED))
         out, phase, most = out.unionByName(done.where("ids is null")), phase + 1, groups
 
 
