@@ -200,6 +200,16 @@ def test_every_language_is_learned(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.97
 
 
+def test_language_of_a_text_is_found_once(spark, capsys):
+    """A second evaluation in the same task takes a second worker of each core, which stays beside the stages that follow."""
+    docs = common.table(spark, SF, "documents")
+    kept, found = language.known_language(docs), language.with_language(docs, language.fit(docs))
+    kept.explain("simple")
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+    want = found.where("lang_pred != 'und' and score >= 0.5").withColumn("lang", F.coalesce("lang", "lang_pred")).select(*common.DOCUMENT_COLUMNS)
+    assert kept.count() > 0 and sorted(map(str, kept.collect())) == sorted(map(str, want.collect()))
+
+
 def test_url_rules_and_model(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://A.Example.com/en/x?y"), (4, "http://www.example.com/en/"), (5, "http://com"), (6, "http://x.net/fr/1#z"), (7, "http://x.net/frx"), (8, "http://shop.com/a")]
     out = {r["page_id"]: r for r in urls.filtered(spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))).collect()}

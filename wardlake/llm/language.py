@@ -162,7 +162,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
                     x = x.astype(np.float32)
                 yield pd.DataFrame({"family": b["family"], "w": [linear_svm(x, np.where(np.isin(y, own), 1.0, -1.0)).tobytes() for own in b["own"]]})
 
-        told = docs.sparkSession.createDataFrame(list(families.items()), "family string, own array<string>").repartition(min(len(families), 256), "family")
+        told = rows.groupBy("family").agg(F.collect_set("lang").alias("own")).repartition(min(len(families), 256), "family")
         fitted = told.mapInPandas(fitted_gates, "family string, w binary").collect()  # 8 KB a family, as the model is
         gates = {r["family"]: np.frombuffer(bytes(r["w"]), dtype=np.float32) for r in fitted}
     several = [f for f, own in families.items() if len(own) > 1]
@@ -180,7 +180,7 @@ def predictor(model: LanguageModel | None) -> Callable:
         parts = [model.predict(text.iloc[i : i + 256].tolist()) for i in range(0, len(text), 256)]
         return pd.DataFrame({"lang_pred": [x for p in parts for x in p[0]], "score": np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)})
 
-    return predict
+    return predict.asNondeterministic()  # else a filter on what it found is pushed below it, and every text goes to two workers
 
 
 def with_language(docs: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:
