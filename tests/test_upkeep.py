@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle_check import difference
 from pyspark.sql import functions as F
@@ -149,6 +150,20 @@ def test_census_of_events_in_any_order(spark, tmp_path, seed):
     assert {r["unit"]: r["n"] for r in got.collect()} == plain_census(events)
 
 
+def test_encounters_that_are_over_are_forgotten(spark, tmp_path):
+    ended = [(e, e * 10 + k, f"2024-01-0{k + 1} 10:00:00", kind, "A", None) for e in range(30) for k, kind in enumerate(("admit", "discharge"))]
+    files = [[*ended, (30, 300, "2024-01-01 10:00:00", "admit", "B", None)], [(99, 990, "2024-03-01 10:00:00", "admit", None, None)], [(99, 991, "2024-03-02 10:00:00", "move", "C", None), (5, 59, "2024-01-03 10:00:00", "admit", "A", None)]]
+    for rows in files:
+        spark.createDataFrame(rows, streams.CENSUS_EVENT.replace("at timestamp", "at string")).withColumn("at", F.col("at").cast("timestamp")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", streams.STATE_STORE)
+    steps = streams.live_census(spark.readStream.schema(streams.CENSUS_EVENT).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), late="1 day", keep_days=1, groups=3)
+    got = streams.drained(steps, "over", str(tmp_path / "checkpoint"), "append").groupBy("unit").agg(F.sum("step").alias("n")).where("n <> 0")
+    assert {r["unit"]: r["n"] for r in got.collect()} == {"B": 1, "C": 1}
+    held = spark.read.format("statestore").option("stateVarName", "events").load(str(tmp_path / "checkpoint")).select("value.events").collect()
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert sorted({e for r in held for e in pa.ipc.open_stream(r[0]).read_all()["encounter_id"].to_pylist()}) == [30, 99]
+
+
 def test_the_database_filters(spark):
     url, driver = "jdbc:derby:memory:pushed;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     rows = spark.range(100).select(F.col("id"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("id").cast("int"))).alias("at"))

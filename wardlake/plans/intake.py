@@ -300,11 +300,11 @@ def hl7_genders(spark, sf_dir):
 # ---- streams
 
 def census_of(spark, sf_dir, events: DataFrame, units: DataFrame) -> DataFrame:
-    """The sums of the stream's steps by unit. The events come twice, in any order, in eight files of which a batch takes two."""
-    at = scratch.folder(spark, "moves")
+    """The sums of the stream's steps by unit. The events come twice, in any order, in files of which a batch takes a quarter."""
+    at, files = scratch.folder(spark, "moves"), 4 * max(2, spark.sparkContext.defaultParallelism)
     both = events.select(*[F.col(f.name).cast(f.dataType) for f in spark.createDataFrame([], streams.CENSUS_EVENT).schema.fields])
-    both.unionByName(both).repartition(8, F.xxhash64("event_id", F.rand(7))).write.parquet(f"{at}/moves")
-    steps = streams.live_census(spark.readStream.schema(streams.CENSUS_EVENT).option("maxFilesPerTrigger", 2).parquet(f"{at}/moves"), late="12000 days")
+    both.unionByName(both).repartition(files, F.xxhash64("event_id", F.rand(7))).write.parquet(f"{at}/moves")
+    steps = streams.live_census(spark.readStream.schema(streams.CENSUS_EVENT).option("maxFilesPerTrigger", files // 4).parquet(f"{at}/moves"), late="12000 days")
     store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", streams.STATE_STORE)
     try:
