@@ -1,9 +1,11 @@
 """Sketches, expected stays, redaction, rules, the census stream and sources against plain versions of what they compute."""
 
 import random
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from oracle_check import difference
@@ -150,6 +152,42 @@ def test_census_of_events_in_any_order(spark, tmp_path, seed):
     assert {r["unit"]: r["n"] for r in got.collect()} == plain_census(events)
 
 
+class OneGroup:
+    """A group's state, and how often it was read."""
+
+    def __init__(self):
+        self.value, self.reads, self.timers = None, 0, set()
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.remove
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.reads += 1
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_a_group_of_encounters_is_one_state(spark):
+    rnd, events = random.Random(5), []
+    for e in range(500):
+        for k in range(rnd.randrange(1, 6)):
+            events.append((e, e * 10 + k, rnd.randrange(1, 9) * 10**6, rnd.choice(["admit", "move", "discharge", "cancel"]), rnd.choice(["A", "B", "Unknown"]), e * 10 + rnd.randrange(k) if k and rnd.random() < 0.5 else -1))
+    both = [*events, *events]
+    rnd.shuffle(both)
+    group, census, times, steps = OneGroup(), streams.Census(10**6), SimpleNamespace(getCurrentWatermarkInMs=lambda: 0), []
+    census.init(group)
+    for k in range(4):
+        columns = dict(zip(("encounter_id", "event_id", "micros", "kind", "unit", "of"), map(list, zip(*both[k::4], strict=True)), strict=True))
+        rows = [b.to_pandas() for b in streams.dealt(iter([pa.RecordBatch.from_pydict({"group": [7] * len(both[k::4]), **columns})]))]
+        assert len(rows[0]) == 1
+        steps += census.handleInputRows(7, iter(rows), times)
+    found = pd.concat(steps).groupby("unit")["step"].sum()
+    assert {u: n for u, n in found.items() if n} == plain_census(events) and group.reads == 4 and len(group.timers) == 1
+
+
 def test_encounters_that_are_over_are_forgotten(spark, tmp_path):
     ended = [(e, e * 10 + k, f"2024-01-0{k + 1} 10:00:00", kind, "A", None) for e in range(30) for k, kind in enumerate(("admit", "discharge"))]
     files = [[*ended, (30, 300, "2024-01-01 10:00:00", "admit", "B", None)], [(99, 990, "2024-03-01 10:00:00", "admit", None, None)], [(99, 991, "2024-03-02 10:00:00", "move", "C", None), (5, 59, "2024-01-03 10:00:00", "admit", "A", None)]]

@@ -35,12 +35,13 @@ def hl7_intake(spark: SparkSession, folder: str, late: str = "2 hours") -> DataF
 #: An event of an encounter: kind is admit, move, discharge or cancel; a cancel names in `of` the event that it takes back.
 CENSUS_EVENT = "encounter_id long, event_id long, at timestamp, kind string, unit string, of long"
 CENSUS_STEP = "unit string, step int, micros long"
-#: Encounters are kept in so many groups. A group is read and written as one, whenever an event of it comes. Fixed for a
-#: checkpoint's life, as a group's number follows from it.
-CENSUS_GROUPS = 4096
+#: Encounters are kept in so many groups. A group is read and written as one, some 10 ms at least, whenever an event of it comes,
+#: so this many suit up to some ten million encounters that are kept at a time. Fixed for a checkpoint's life, as a group's number
+#: follows from it.
+CENSUS_GROUPS = 1024
 #: An event as a group keeps it, without nulls; here: whether it is what puts its encounter where it is.
 #: Events that a task gathers before it deals them to the groups.
-GATHERED = 1 << 18
+GATHERED = 1 << 17
 _HELD = pa.schema([("encounter_id", pa.int64()), ("event_id", pa.int64()), ("kind", pa.string()), ("micros", pa.int64()), ("unit", pa.string()), ("of", pa.int64()), ("here", pa.bool_())])
 
 
